@@ -231,3 +231,344 @@ says(
     "bench_formation",
     f"""SELECT {big('match_id', 'team_id', 'from_minute', 'to_minute')}, formation_code FROM tl""",
 )
+
+# ---------------------------------------------------------------- counts
+
+says(
+    "staging_counts",
+    """
+    SELECT 'competitions' AS item, count(DISTINCT competition_id) AS n FROM m
+    UNION ALL SELECT 'seasons', count(*) FROM season
+    UNION ALL SELECT 'teams', count(*) FROM team
+    UNION ALL SELECT 'players', count(*) FROM player
+    UNION ALL SELECT 'matches', count(*) FROM ms
+    UNION ALL SELECT 'events (season)', count(*) FROM ev JOIN ms USING (match_id)
+    UNION ALL SELECT 'match_lineups (season)', count(*) FROM lu JOIN ms USING (match_id)""",
+)
+says(
+    "analytics_counts",
+    """
+    SELECT 'fact (season)' AS item, count(*) AS n FROM fs
+    UNION ALL SELECT 'fact (all seasons)', count(*) FROM fact
+    UNION ALL SELECT 'fact (team, season)', count(*) FROM fs WHERE team_id = 0
+    UNION ALL SELECT 'formation (season)', count(*) FROM tl JOIN ms USING (match_id)""",
+)
+says(
+    "compression",
+    """
+    SELECT e AS events, f AS facts, CAST(e AS DOUBLE) / f AS ratio,
+           '~' || printf('%.0f', CAST(e AS DOUBLE) / f) || 'x' AS reduction
+    FROM n""",
+    n="""
+    SELECT (SELECT count(*) FROM ev JOIN ms USING (match_id)) AS e, (SELECT count(*) FROM fs) AS f""",
+)
+says(
+    "rows_per_match",
+    "SELECT CAST(match_id AS BIGINT) AS match_id, count(*) AS rows FROM ev GROUP BY match_id",
+)
+
+# ---------------------------------------------------------------- looking into matches
+
+says(
+    "goal_timeline",
+    f"""
+    SELECT {big('match_id')}, CAST(idx AS BIGINT) AS index,
+           CASE WHEN period = 5 THEN 'shootout' ELSE 'regular' END AS phase,
+           {big('minute', 'second')}, team_name AS team,
+           coalesce(player_nickname, player_name, '?') AS player,
+           '  ' || minute || '''' || printf('%02d', second) || '"  ' || rpad(team_name, 12, ' ') || ' '
+             || coalesce(player_nickname, player_name, '?')
+             || ' (xG ' || printf('%.2f', CAST(xg AS DOUBLE)) || ')' AS line
+    FROM ev LEFT JOIN team USING (team_id) LEFT JOIN player USING (player_id)
+    WHERE type = 'Shot' AND outcome = 'Goal'""",
+)
+says(
+    "event_type_share",
+    """
+    SELECT type, n, CAST(n AS DOUBLE) / total * 100 AS pct,
+           printf('%.1f', CAST(n AS DOUBLE) / total * 100) || '%' AS share
+    FROM c
+    ORDER BY n DESC, type LIMIT 12""",
+    c="SELECT type, count(*) AS n, (SELECT count(*) FROM ev) AS total FROM ev GROUP BY type",
+)
+says(
+    "shot_summary",
+    f"""
+    SELECT {big('match_id', 'team_id')}, team_name, count(*) AS shots,
+           count(*) FILTER (WHERE outcome = 'Goal') AS goals, CAST(sum(xg) AS DOUBLE) AS xg
+    FROM ev JOIN team USING (team_id) WHERE type = 'Shot' GROUP BY match_id, team_id, team_name""",
+)
+says(
+    "event_sample",
+    f"""
+    SELECT {big('match_id')}, CAST(idx AS BIGINT) AS index, {big('period', 'minute', 'second')},
+           team_name AS team, player_name AS player, type, outcome
+    FROM ev LEFT JOIN team USING (team_id) LEFT JOIN player USING (player_id)
+    WHERE type IN ('Goal', 'Shot', 'Substitution', 'Foul Committed', 'Pass')
+    ORDER BY match_id, idx LIMIT 8""",
+)
+
+# ---------------------------------------------------------------- documents, context
+
+
+def text(*parts: str) -> str:
+    """SQL joining literal and column parts; a part starting with ' is a literal."""
+    return " || ".join(parts)
+
+
+def two(col: str) -> str:
+    """A number as text with two decimals."""
+    return f"CAST(CAST({col} AS DECIMAL(28,2)) AS VARCHAR)"
+
+
+def pct(part: str, whole: str) -> str:
+    return f"CASE WHEN {whole} > 0 THEN printf('%.1f', CAST({part} AS DOUBLE) / {whole} * 100) || '%' ELSE 'n/a' END"
+
+
+def doc(kind: str, ref: str, content: str, metadata: str, source: str) -> str:
+    return f"""
+    SELECT '{kind}' AS doc_type, CAST({ref} AS BIGINT) AS ref_id, {content} AS content,
+           CAST(json_object({metadata}) AS VARCHAR) AS metadata
+    FROM {source}"""
+
+
+REPORT = doc(
+    "match_report",
+    "match_id",
+    text(
+        "'World Cup 2022 match report — '", "team_name", "' '", "team_score", "'-'", "opp_score",
+        "' '", "opponent_name", "' ('", "competition_stage", "', '", "CAST(match_date AS VARCHAR)",
+        "'). Result: '", "team_name", "' '",
+        "CASE WHEN team_score > opp_score THEN 'win' WHEN team_score < opp_score THEN 'loss' ELSE 'draw' END",
+        "'. Expected goals: '", "team_name", "' '", f"coalesce({two('team_xg')}, 'n/a')", "' xG vs '",
+        "opponent_name", "' '", f"coalesce({two('opp_xg')}, 'n/a')",
+        "' xG. Defensive actions (tackles+interceptions+pressures+blocks): '", "team_name", "' '",
+        "coalesce(CAST(team_def AS VARCHAR), 'n/a')", "', '", "opponent_name", "' '",
+        "coalesce(CAST(opp_def AS VARCHAR), 'n/a')", "'. '", "opponent_name", "' applied '",
+        "coalesce(CAST(opp_def AS VARCHAR), 'n/a')", "' defensive actions against '", "team_name",
+        "', indicating '",
+        "CASE WHEN opp_def >= 160 THEN 'a high-intensity pressing approach' ELSE 'a measured defensive approach' END",
+        "'.'",
+    ),
+    "'match_id', match_id, 'opponent_id', opponent_id, 'opponent_name', opponent_name, "
+    "'stage', competition_stage, 'focus_score', team_score, 'opp_score', opp_score, "
+    "'focus_xg', coalesce(CAST(round(team_xg, 2) AS DOUBLE), 0), "
+    "'opp_xg', coalesce(CAST(round(opp_xg, 2) AS DOUBLE), 0), "
+    "'opp_def_actions', CAST(coalesce(opp_def, 0) AS BIGINT)",
+    "vs JOIN team USING (team_id)",
+)
+PATTERN = doc(
+    "tactical_pattern",
+    "team_id",
+    text(
+        "'Tactical pattern — '", "team_name", "' at World Cup 2022 ('", "matches",
+        "' matches). Formations used: '", "coalesce(formations, 'n/a')", "'. Defensive profile: '",
+        "tackles", "' tackles, '", "interceptions", "' interceptions, '", "pressures",
+        "' pressures, '", "blocks", "' blocks. Attacking output: '", "goals", "' goals, '", two("xg"),
+        "' xG, pass completion '", pct("passes_completed", "passes_attempted"), "' ('",
+        "passes_completed", "'/'", "passes_attempted", "').'",
+    ),
+    "'team_id', team_id, 'team_name', team_name, "
+    "'formations', coalesce(string_split(formations, ', '), []), 'matches', matches, "
+    "'tackles', CAST(tackles AS BIGINT), 'interceptions', CAST(interceptions AS BIGINT), "
+    "'pressures', CAST(pressures AS BIGINT), 'blocks', CAST(blocks AS BIGINT), "
+    "'goals', CAST(goals AS BIGINT), 'xg', CAST(round(xg, 2) AS DOUBLE)",
+    "agg JOIN team USING (team_id) LEFT JOIN forms USING (team_id)",
+)
+PROFILE = doc(
+    "player_profile",
+    "player_id",
+    text(
+        "'Player profile — '", "player_name", "' ('", "team_name", "', '",
+        "coalesce(position, 'unknown position')", "') at World Cup 2022: '", "matches",
+        "' matches, '", "minutes", "' minutes. Attacking: '", "goals", "' goals, '", "assists",
+        "' assists, '", "shots", "' shots, '", two("xg"), "' xG. Passing: '", "passes_completed",
+        "'/'", "passes_attempted", "' ('", pct("passes_completed", "passes_attempted"),
+        "'). Defending: '", "tackles", "' tackles, '", "interceptions", "' interceptions, '",
+        "pressures", "' pressures, '", "blocks", "' blocks.'",
+    ),
+    "'player_id', player_id, 'player_name', player_name, 'team_id', team_id, "
+    "'team_name', team_name, 'position', position, 'minutes', CAST(minutes AS DOUBLE), "
+    "'goals', CAST(goals AS BIGINT), 'assists', CAST(assists AS BIGINT), "
+    "'xg', CAST(round(xg, 2) AS DOUBLE)",
+    "prof",
+)
+says("doc_match_reports", REPORT)
+says("doc_tactical_patterns", PATTERN)
+says("doc_player_profiles", PROFILE)
+says(
+    "doc_counts",
+    """
+    SELECT 'match_report' AS doc_type, count(*) AS n FROM vs WHERE team_id = 0
+    UNION ALL
+    SELECT 'tactical_pattern', count(*) FROM agg
+    WHERE team_id = 0 OR team_id IN (SELECT opponent_id FROM sides WHERE team_id = 0)
+    UNION ALL
+    SELECT 'player_profile', count(*) FROM prof WHERE team_id IN (0, 4)""",
+)
+
+
+def context(section: int, line: str, source: str, *keys: str) -> str:
+    padded = [*keys, *["0"] * (3 - len(keys))]
+    named = ", ".join(f"CAST({k} AS DOUBLE) AS key{i + 1}" for i, k in enumerate(padded))
+    return f"""
+    SELECT CAST(mu.match_id AS BIGINT) AS matchup_id, CAST({section} AS BIGINT) AS section, {named},
+           {line} AS line
+    FROM {source}"""
+
+
+says(
+    "matchup_context",
+    "\nUNION ALL\n".join(
+        [
+            context(
+                1,
+                text(
+                    "'## 상대팀 프로파일 — '", "coalesce(team_name, CAST(mu.away_team_id AS VARCHAR))",
+                    "' [출처: analytics.team_match_formation, fact_player_match_stats]'",
+                ),
+                "ms mu LEFT JOIN tagg ON tagg.team_id = mu.away_team_id",
+            ),
+            context(
+                2,
+                text(
+                    "team_name", "': '", "matches", "'경기, 포메이션 '", "coalesce(formations, 'n/a')",
+                    "', '", "goals", "'골 '", two("xg"), "'xG, 수비액션(태클 '", "tackles",
+                    "'/인터셉트 '", "interceptions", "'/압박 '", "pressures", "'/블록 '", "blocks",
+                    "'), 패스성공 '", "passes_completed", "'/'", "passes_attempted", "'.'",
+                ),
+                "ms mu JOIN tagg ON tagg.team_id = mu.away_team_id",
+            ),
+            context(
+                3,
+                text(
+                    "chr(10)", "'## 직전 맞대결 (match_id='", "mu.match_id",
+                    "') [출처: staging.matches, team_match_formation]'",
+                ),
+                "ms mu",
+            ),
+            context(
+                4,
+                text(
+                    "competition_stage", "' '", "CAST(match_date AS VARCHAR)", "': '", "ht.team_name",
+                    "' '", "home_score", "'-'", "away_score", "' '", "awt.team_name", "'.'",
+                ),
+                "ms mu JOIN team ht ON ht.team_id = home_team_id "
+                "JOIN team awt ON awt.team_id = away_team_id",
+            ),
+            context(
+                5,
+                text(
+                    "'  - '", "team_name", "' '", "formation_code", "' ('", "from_minute", "'''~'",
+                    "coalesce(to_minute || '''', '종료')", "')'",
+                ),
+                "ms mu JOIN tl ON tl.match_id = mu.match_id JOIN team USING (team_id)",
+                "team_id", "from_minute",
+            ),
+            context(
+                6,
+                text(
+                    "chr(10)", "'## 그 경기 Team '", "home_team_id",
+                    "' 출전 선수 [출처: fact_player_match_stats match_id='", "mu.match_id", "']'",
+                ),
+                "ms mu WHERE EXISTS (SELECT 1 FROM fact f WHERE f.match_id = mu.match_id "
+                "AND f.team_id = mu.home_team_id)",
+            ),
+            context(
+                7,
+                text(
+                    "'  - '", "player_name", "' ('", "coalesce(position_played, '?')", "', '",
+                    "CASE WHEN is_starter THEN '선발' ELSE '교체' END", "', '", two("minutes_played"),
+                    "'분): 패스 '", "passes_completed", "'/'", "passes_attempted", "', 태클 '", "tackles",
+                    "', 인터셉트 '", "interceptions", "', 압박 '", "pressures", "', '", "goals",
+                    "'골 '", "assists", "'도움'",
+                ),
+                "ms mu JOIN fact f ON f.match_id = mu.match_id AND f.team_id = mu.home_team_id "
+                "JOIN player USING (player_id)",
+                "CASE WHEN is_starter THEN 0 ELSE 1 END", "-minutes_played", "player_id",
+            ),
+            context(
+                8,
+                text(
+                    "chr(10)", "'## Team '", "home_team_id",
+                    "' 가용 선수 풀 (WC2022 시즌 집계) [출처: analytics.fact_player_match_stats team_id='",
+                    "home_team_id", "']'",
+                ),
+                "ms mu",
+            ),
+            context(
+                9,
+                text(
+                    "'  - '", "player_name", "' ('", "coalesce(position, '?')", "'): '", "matches",
+                    "'경기 '", "minutes", "'분, '", "goals", "'골 '", "assists", "'도움 '", two("xg"),
+                    "'xG, 패스 '", "passes_completed", "'/'", "passes_attempted", "', 태클 '", "tackles",
+                    "'/인터셉트 '", "interceptions", "'/압박 '", "pressures", "'/블록 '", "blocks",
+                ),
+                "ms mu JOIN prof ON prof.team_id = mu.home_team_id",
+                "-minutes", "player_id",
+            ),
+        ]
+    ),
+    tagg="SELECT * FROM agg JOIN team USING (team_id) LEFT JOIN forms USING (team_id)",
+)
+
+# ---------------------------------------------------------------- vectors
+
+says(
+    "embed_documents",
+    """
+    SELECT d.doc_id, CAST(coalesce(used, 0) AS BIGINT) AS used, coalesce(norm, 0) AS norm,
+           coalesce(weighted_sum, 0) AS weighted_sum
+    FROM documents d LEFT JOIN vec USING (doc_id)""",
+    word="""
+    SELECT doc_id, w, count(*) AS times
+    FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\r\n\f\v]+')) AS w
+          FROM documents)
+    WHERE w <> '' GROUP BY ALL""",
+    slot="""
+    SELECT doc_id, h % 384 AS dim, sum(CASE WHEN (h // 384) % 2 = 0 THEN times ELSE -times END) AS c
+    FROM (SELECT doc_id, times, CAST('0x' || substr(md5(w), 1, 8) AS UBIGINT) AS h FROM word)
+    GROUP BY ALL""",
+    scaled="""
+    SELECT doc_id, dim, c, CAST(CAST(CAST(c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)) AS DOUBLE)
+           AS FLOAT) AS DOUBLE) AS x
+    FROM slot""",
+    vec="""
+    SELECT doc_id, count(*) FILTER (WHERE c <> 0) AS used, round(sqrt(sum(x * x)), 5) AS norm,
+           round(sum(x * (dim + 1)), 4) AS weighted_sum
+    FROM scaled GROUP BY doc_id""",
+)
+ELEMENTS = """
+    SELECT vec_id, label, unnest(embedding) AS x,
+           generate_subscripts(embedding, 1) AS i FROM embeddings"""
+says(
+    "vector_topk",
+    """
+    SELECT CAST(0 AS BIGINT) AS query_id, row_number() OVER (ORDER BY s DESC, vec_id) AS rank,
+           vec_id AS doc_id, CAST(label AS VARCHAR) AS doc_type, round(s, 6) AS score
+    FROM scored ORDER BY s DESC, vec_id LIMIT 10""",
+    el=ELEMENTS,
+    mean="SELECT list(a ORDER BY i) AS v FROM (SELECT i, avg(CAST(x AS DOUBLE)) AS a FROM el GROUP BY i)",
+    scored="""
+    SELECT vec_id, label, list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT v FROM mean)) AS s
+    FROM embeddings""",
+)
+says(
+    "vector_topk_batch",
+    """
+    SELECT query_id, rank, doc_id, doc_type, score FROM ranked WHERE rank <= k""",
+    el=ELEMENTS,
+    mean="""
+    SELECT label, list(a ORDER BY i) AS v
+    FROM (SELECT label, i, avg(CAST(x AS DOUBLE)) AS a FROM el GROUP BY label, i) GROUP BY label""",
+    q="""
+    SELECT label * 2 AS query_id, label AS want, 3 AS k, v FROM mean
+    UNION ALL SELECT label * 2 + 1, NULL, 5, v FROM mean""",
+    ranked="""
+    SELECT CAST(query_id AS BIGINT) AS query_id, vec_id AS doc_id, CAST(label AS VARCHAR) AS doc_type, k,
+           round(s, 6) AS score,
+           row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank
+    FROM (SELECT q.query_id, q.k, e.vec_id, e.label,
+                 list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), q.v) AS s
+          FROM embeddings e JOIN q ON q.want IS NULL OR q.want = e.label)""",
+)

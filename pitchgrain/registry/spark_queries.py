@@ -8,12 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchgrain.operators.scope import Scope
+from pitchgrain.functions.encoder import encode_column
+from pitchgrain.operators.topk import cosine_topk
 from pitchgrain.plans import analytics as A
+from pitchgrain.plans import documents as D
+from pitchgrain.plans import explore as X
+from pitchgrain.plans import matchup as M
+from pitchgrain.plans import reporting as R
+from pitchgrain.plans import search as V
 from pitchgrain.plans.tables import MatchTables
 from pitchgrain.sources.match_events import read_tables
 from pitchgrain.sql import run_statement
@@ -114,3 +123,134 @@ over_matches("bench_match_pass_agg")(_statement("match_pass_counts", {"match_id"
 over_matches("bench_team_defence")(_statement("team_match_defence", {"team_id": None}))
 over_matches("bench_player_rows")(_statement("player_rows", {"player_id": None}))
 over_matches("bench_formation")(_statement("team_timeline", {"match_id": None, "team_id": None}))
+
+# ---------------------------------------------------------------- counts
+
+FOCUS_TEAM, RIVAL_TEAM = 0, 4
+
+over_matches("staging_counts")(lambda t: R.staging_counts(t, SCOPE))
+over_matches("analytics_counts")(lambda t: R.analytics_counts(t, SCOPE, FOCUS_TEAM))
+over_matches("compression")(lambda t: R.compression(t, SCOPE))
+over_matches("rows_per_match")(lambda t: R.rows_per_match(t.events))
+
+# ---------------------------------------------------------------- looking into matches
+
+over_matches("goal_timeline")(X.goal_timeline)
+over_matches("event_type_share")(X.event_type_share)
+over_matches("shot_summary")(X.shot_summary)
+over_matches("event_sample")(X.event_sample)
+
+# ---------------------------------------------------------------- documents, context, prompts
+
+over_matches("doc_match_reports")(lambda t: D.match_reports(t, SCOPE))
+over_matches("doc_tactical_patterns")(lambda t: D.tactical_patterns(t, SCOPE))
+over_matches("doc_player_profiles")(lambda t: D.player_documents(t.with_stored_facts(), SCOPE))
+
+
+@over_matches("doc_counts")
+def _doc_counts(t: MatchTables) -> DataFrame:
+    """The three types as the focus team's rebuild makes them."""
+    return D.counts_by_type(D.build(t.with_stored_facts(), SCOPE, FOCUS_TEAM, RIVAL_TEAM))
+
+
+def _season_matchups(t: MatchTables) -> DataFrame:
+    """Each season match seen from its home side."""
+    return SCOPE.filter(t.matches).select(
+        F.col("match_id").cast("bigint").alias("matchup_id"),
+        F.col("home_team_id").alias("focus_team_id"),
+        F.col("away_team_id").alias("rival_team_id"),
+        "match_id",
+    )
+
+
+@over_matches("matchup_context")
+def _matchup_context(t: MatchTables) -> DataFrame:
+    stored = t.with_stored_facts()
+    return M.context_lines(stored, SCOPE, _season_matchups(stored))
+
+
+@over_matches("prompt_batch")
+def _prompt_batch(t: MatchTables) -> DataFrame:
+    stored = t.with_stored_facts()
+    docs = D.tactical_patterns(stored, SCOPE).unionByName(D.player_documents(stored, SCOPE))
+    embedded = V.embed_pending(D.as_rows(docs))
+    teams = stored.teams
+    questions = (
+        _season_matchups(stored)
+        .withColumnRenamed("matchup_id", "question_id")
+        .join(teams.select(F.col("team_id").alias("rival_team_id"), "team_name"), "rival_team_id")
+        .withColumn("question", F.concat(F.lit("Who should start against "), "team_name", F.lit("?")))
+        .drop("team_name")
+    )
+    return M.prompts(stored, embedded, SCOPE, questions)
+
+
+# ---------------------------------------------------------------- vectors
+
+
+@over_dir("embed_documents")
+def _embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded whole; per vector its length and two sums that any change moves."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    vectors = docs.select("doc_id", encode_column(F.col("text")).alias("v"))
+    terms = F.transform("v", lambda x, i: x.cast("double") * (i + 1))
+    total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return vectors.select(
+        "doc_id",
+        F.size(F.filter("v", lambda x: x != 0)).alias("used"),
+        F.round(F.sqrt(norm), 5).alias("norm"),
+        F.round(total, 4).alias("weighted_sum"),
+    )
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("doc_id"), F.col("label").cast("string").alias("doc_type"), "embedding"
+    )
+
+
+def _mean_vector(df: DataFrame, *keys: str) -> DataFrame:
+    mean = Summarizer.mean(array_to_vector(F.col("embedding")))
+    return df.groupBy(*keys).agg(vector_to_array(mean).alias("embedding"))
+
+
+def _type_queries(docs: DataFrame) -> DataFrame:
+    """The mean vector of each type, asked within its type (k=3) and over all types (k=5)."""
+    means = _mean_vector(docs, "doc_type").withColumn("base", F.col("doc_type").cast("bigint") * 2)
+    within = F.struct(F.lit(0).alias("source"), F.col("doc_type"), F.lit(3).alias("k"))
+    over_all = F.struct(
+        F.lit(1).alias("source"), F.lit(None).cast("string").alias("doc_type"), F.lit(5).alias("k")
+    )
+    asked = means.select("base", "embedding", F.explode(F.array(within, over_all)).alias("a"))
+    return asked.select(
+        (F.col("base") + F.col("a.source")).alias("query_id"), "embedding", "a.doc_type", "a.k"
+    )
+
+
+def _hits(found: DataFrame, docs: DataFrame) -> DataFrame:
+    shown = found.join(docs.select("doc_id", "doc_type"), "doc_id")
+    return shown.select("query_id", "rank", "doc_id", "doc_type", F.round("score", 6).alias("score"))
+
+
+@over_dir("vector_topk")
+def _vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors nearest to the mean of all."""
+    docs = _vectors(spark, sf_dir)
+    query = _mean_vector(docs).select(
+        F.lit(0).alias("query_id"), "embedding",
+        F.lit(None).cast("string").alias("doc_type"), F.lit(10).alias("k"),
+    )
+    return _hits(cosine_topk(docs, query), docs)
+
+
+@over_dir("vector_topk_batch")
+def _vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _vectors(spark, sf_dir)
+    return _hits(cosine_topk(docs, _type_queries(docs)), docs)
+
+
+@over_dir("vector_topk_lsh")
+def _vector_topk_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _vectors(spark, sf_dir)
+    return _hits(V.approximate_topk(docs, _type_queries(docs)), docs)
