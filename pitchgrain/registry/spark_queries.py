@@ -7,6 +7,7 @@ dates), so that they compare equal with another engine's.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchgrain.operators.choose import keep_one
+from pitchgrain.operators.merge import merge_latest, replace_scope
 from pitchgrain.operators.scope import Scope
 from pitchgrain.functions.encoder import encode_column
 from pitchgrain.operators.topk import cosine_topk
@@ -21,10 +24,19 @@ from pitchgrain.plans import analytics as A
 from pitchgrain.plans import documents as D
 from pitchgrain.plans import explore as X
 from pitchgrain.plans import matchup as M
+from pitchgrain.plans import normalise as N
+from pitchgrain.plans import quality as Q
 from pitchgrain.plans import reporting as R
 from pitchgrain.plans import search as V
+from pitchgrain.plans.runlog import run_states
 from pitchgrain.plans.tables import MatchTables
-from pitchgrain.sources.match_events import read_tables
+from pitchgrain.sources.match_events import (
+    base_stream,
+    raw_events,
+    raw_lineups,
+    raw_matches,
+    read_tables,
+)
 from pitchgrain.sql import run_statement
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,3 +266,140 @@ def _vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _vector_topk_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _vectors(spark, sf_dir)
     return _hits(V.approximate_topk(docs, _type_queries(docs)), docs)
+
+
+# ---------------------------------------------------------------- normalising landed rows
+
+
+def over_landing(name: str):
+    """Register a query over the stream in its raw landing form."""
+
+    def wrap(build: Callable[[DataFrame], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return plain(build(base_stream(spark, f"{sf_dir}/events.parquet")))
+
+        QUERIES[name] = run
+        return build
+
+    return wrap
+
+
+def _landed_tables(base: DataFrame, t: MatchTables) -> MatchTables:
+    """The match tables with events taken through the raw form, so payloads hold all attributes."""
+    return replace(t, events=N.events(raw_events(base)))
+
+
+over_landing("normalize_matches")(lambda b: N.matches(raw_matches(b)))
+over_landing("teams_dim")(lambda b: N.teams(raw_matches(b)))
+over_landing("players_dim")(lambda b: N.players(raw_lineups(b), raw_matches(b)))
+over_landing("normalize_events")(lambda b: N.events(raw_events(b)).drop("payload"))
+over_landing("event_payload")(lambda b: N.events(raw_events(b)).select("event_id", "payload"))
+over_landing("lineups")(lambda b: N.lineups(raw_lineups(b), raw_matches(b)))
+over_landing("lineup_positions")(lambda b: N.positions(raw_lineups(b), raw_matches(b)))
+over_landing("unplaced_lineups")(
+    lambda b: N.unplaced_lineups(
+        # every match whose id is a multiple of 7 lands with a misspelt away side
+        raw_lineups(b),
+        raw_matches(b).withColumn(
+            "away_team",
+            F.when(F.col("match_id") % 7 == 0, F.lit("Unknown")).otherwise(F.col("away_team")),
+        ),
+    )
+)
+
+
+@over_dir("starting_xi")
+def _starting_xi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = base_stream(spark, f"{sf_dir}/events.parquet")
+    return X.starting_xi(_landed_tables(base, read_tables(spark, sf_dir)))
+
+
+@over_dir("bench_players")
+def _bench_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = base_stream(spark, f"{sf_dir}/events.parquet")
+    return X.bench_players(_landed_tables(base, read_tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- merges
+
+
+@over_matches("upsert_latest")
+def _upsert_latest(t: MatchTables) -> DataFrame:
+    """Players known from the first halves, then a load with what the other periods say."""
+
+    def said(events: DataFrame, order: Column) -> DataFrame:
+        named = events.filter(F.col("player_id").isNotNull()).select(
+            "player_id", F.col("type").alias("last_type"), "match_id", "index"
+        )
+        return keep_one(named, ["player_id"], [order])
+
+    first = F.col("period") == 1
+    known = said(t.events.filter(first), F.col("index"))
+    load = said(t.events.filter(~first), -F.col("index"))
+    return merge_latest(known, load, ["player_id"], order="index")
+
+
+@over_matches("scoped_replace")
+def _scoped_replace(t: MatchTables) -> DataFrame:
+    """Event counts of all matches, then the season's recounted over scoring matches only."""
+    counted = t.events.groupBy("match_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if((F.col("type") == "Shot") & (F.col("outcome") == "Goal")).alias("goals"),
+    )
+    old = counted.select("match_id", "events", F.lit("old").alias("version"))
+    season = SCOPE.filter(t.matches).select("match_id")
+    new = counted.filter(F.col("goals") > 1).join(season, "match_id", "left_semi")
+    fresh = new.select("match_id", "events", F.lit("new").alias("version"))
+    return replace_scope(old, fresh, season, ["match_id"])
+
+
+@over_matches("run_log_state")
+def _run_log_state(t: MatchTables) -> DataFrame:
+    """A log with one run per match: a start row, and an end row once the match has a goal."""
+    day = F.col("match_date").cast("timestamp")
+    void = F.lit(None)
+    m = t.matches
+    goals = F.col("home_score") + F.col("away_score")
+    base = {
+        "run_id": F.col("match_id").cast("string"),
+        "source": F.lit("statsbomb_open"),
+        "competition_id": F.col("competition_id"),
+        "season_id": F.col("season_id"),
+    }
+    started = {
+        **base, "started_at": day, "finished_at": void.cast("timestamp"),
+        "status": F.lit("running"), "matches_processed": void.cast("bigint"),
+        "events_processed": void.cast("bigint"), "error_message": void.cast("string"),
+        "logged_at": day,
+    }
+    later = day + F.expr("INTERVAL 1 HOUR")
+    good = F.col("home_score") >= F.col("away_score")
+    ended = {
+        **base, "started_at": void.cast("timestamp"), "finished_at": later,
+        "status": F.when(good, "success").otherwise("failed"),
+        "matches_processed": F.lit(1).cast("bigint"), "events_processed": goals.cast("bigint"),
+        "error_message": F.when(~good, "away win"), "logged_at": later,
+    }
+
+    def rows(values: dict) -> list[Column]:
+        return [c.alias(n) for n, c in values.items()]
+
+    log = m.select(*rows(started)).unionByName(m.filter(goals > 0).select(*rows(ended)))
+    state = run_states(log)
+    return state.select(
+        "run_id", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started_at"),
+        F.date_format("finished_at", "yyyy-MM-dd HH:mm:ss").alias("finished_at"),
+        "status", "matches_processed", "events_processed", "error_message",
+    )
+
+
+# ---------------------------------------------------------------- quality
+
+over_matches("dq_schema")(lambda t: Q.check_schema(t.named()))
+over_matches("dq_keys")(lambda t: Q.check_keys(t.with_stored_facts().named()))
+over_matches("dq_foreign_keys")(lambda t: Q.check_foreign_keys(t.with_stored_facts().named()))
+over_matches("dq_matches")(lambda t: Q.check_matches(t, SCOPE, FOCUS_TEAM))
+over_matches("dq_event_profile")(Q.check_event_profile)
+over_matches("dq_lineups")(Q.check_lineups)
+over_matches("dq_formations")(Q.check_formations)
+over_matches("dq_feasibility")(Q.check_feasibility)

@@ -291,13 +291,32 @@ def raw_matches(base: DataFrame) -> DataFrame:
     )
 
 
+def _slot(player: Column, k: Column, number_on_player: bool) -> Column:
+    name = F.concat(F.lit("Announced "), player.cast("string"))
+    number = (player % 40).cast("int")
+    none = F.lit(None).cast("int")
+    who = F.struct(
+        player.alias("id"), name.alias("name"),
+        (number if number_on_player else none).alias("jersey_number"),
+    )
+    where = F.struct((k % 5).alias("id"), F.concat(F.lit("P"), (k % 5).cast("string")).alias("name"))
+    return F.struct(
+        who.alias("player"), where.alias("position"),
+        (none if number_on_player else number).alias("jersey_number"),
+    )
+
+
 def raw_events(base: DataFrame) -> DataFrame:
     """The events as they would land: one wide sparse row per event."""
     k, kind = F.col("k"), F.col("type")
     outcome = _outcome(kind, k)
     card = F.when(k % 3 == 0, "Yellow Card")
     code = F.element_at(F.array(*[F.lit(c) for c in (442, 433, 4231, 352)]), k % 4 + 1)
-    tactics = F.struct(code.alias("formation"))
+    tactics = F.struct(
+        code.alias("formation"),
+        # the acting player, and a team-mate who need not be in the squad of the match
+        F.array(_slot(F.col("user_id"), k, False), _slot(F.col("user_id") + 6, k, True)).alias("lineup"),
+    )
     shaped = kind.isin(S.STARTING_XI, S.TACTICAL_SHIFT) & (k % 13 != 12)
     place = F.when(k % 20 != 19, F.array(k * F.lit(1.25), k * F.lit(0.75))).when(
         k % 40 == 19, F.array(k * F.lit(1.25))
