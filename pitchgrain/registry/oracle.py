@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pitchgrain import schemas as S
+from pitchgrain.plans.quality import METRIC_EVENTS
 from pitchgrain.registry.base_sql import half_up, with_tables
 
 STATEMENTS: dict[str, str] = {}
@@ -572,3 +574,408 @@ says(
                  list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), q.v) AS s
           FROM embeddings e JOIN q ON q.want IS NULL OR q.want = e.label)""",
 )
+
+# ---------------------------------------------------------------- normalised landing rows
+
+says(
+    "normalize_matches",
+    f"""
+    SELECT {big('match_id', 'competition_id', 'season_id', 'home_team_id', 'away_team_id',
+                'home_score', 'away_score')},
+           CAST(match_date AS VARCHAR) AS match_date,
+           CASE WHEN match_id % 3 <> 0 THEN printf('%02d:30:00', CAST(match_id % 24 AS INTEGER)) END
+             AS kick_off,
+           'available' AS match_status, competition_stage,
+           CAST(match_id // 70 AS BIGINT) AS match_week,
+           CASE WHEN match_id % 2 <> 0 THEN 'Ground ' || home_team_id END AS stadium_name,
+           CAST(NULL AS VARCHAR) AS referee_name, 'statsbomb_open' AS data_source
+    FROM m""",
+)
+says(
+    "teams_dim",
+    """
+    SELECT CAST(team_id AS BIGINT) AS team_id, team_name, 'male' AS team_gender,
+           CASE WHEN team_id < 3 THEN team_name
+                ELSE 'Country ' || (SELECT min(match_id) FROM m WHERE away_team_id = team_id) END
+             AS country_name,
+           'statsbomb_open' AS data_source
+    FROM team WHERE team_id IN (SELECT home_team_id FROM m UNION SELECT away_team_id FROM m)""",
+)
+says(
+    "players_dim",
+    """
+    SELECT DISTINCT ON (player_id) CAST(player_id AS BIGINT) AS player_id,
+           'Player ' || player_id AS player_name,
+           'Nick ' || match_id || '-' || ordinal AS player_nickname,
+           CAST(NULL AS VARCHAR) AS country_name, 'statsbomb_open' AS data_source
+    FROM pos ORDER BY player_id, match_id DESC, ordinal""",
+)
+says(
+    "normalize_events",
+    f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_id, {big('match_id')}, CAST(idx AS BIGINT) AS index,
+           {big('period')}, CASE WHEN k % 9 <> 0 THEN '00:01:02.500' END AS timestamp,
+           {big('minute', 'second')}, type, {big('team_id', 'player_id')},
+           CASE WHEN k % 20 <> 19 THEN k * CAST(1.25 AS DOUBLE) END AS location_x,
+           CASE WHEN k % 20 <> 19 THEN k * CAST(0.75 AS DOUBLE) END AS location_y,
+           CASE WHEN k % 6 <> 0 THEN k / CAST(8 AS DOUBLE) END AS duration,
+           under_pressure, outcome, CAST(xg AS DOUBLE) AS shot_statsbomb_xg
+    FROM ev""",
+)
+
+
+def announced(player: str, on_player: bool) -> str:
+    number = f"CAST({player} % 40 AS INTEGER)"
+    name = f"'Announced ' || {player}"
+    position = "json_object('id', k % 5, 'name', 'P' || (k % 5))"
+    if on_player:
+        who = f"json_object('id', {player}, 'name', {name}, 'jersey_number', {number})"
+        return f"json_object('player', {who}, 'position', {position})"
+    who = f"json_object('id', {player}, 'name', {name})"
+    return f"json_object('player', {who}, 'position', {position}, 'jersey_number', {number})"
+
+
+says(
+    "event_payload",
+    f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_id,
+           CAST(CASE
+             WHEN assist_key IS NOT NULL THEN json_object('pass_goal_assist', true)
+             WHEN duel = 'Tackle' THEN json_object('duel_type', duel)
+             WHEN type = 'Foul Committed' AND card = 'Yellow Card'
+               THEN json_object('foul_committed_card', card)
+             WHEN type = 'Bad Behaviour' AND card = 'Yellow Card'
+               THEN json_object('bad_behaviour_card', card)
+             WHEN formation IS NOT NULL
+               THEN json_object('tactics', json_object('formation', CAST(formation AS INTEGER),
+                    'lineup', json_array({announced('user_id', False)},
+                                         {announced('(user_id + 6)', True)})))
+             ELSE json_object() END AS VARCHAR) AS payload
+    FROM ev JOIN (SELECT event_id, user_id FROM b) USING (event_id)""",
+)
+says(
+    "lineups",
+    f"""
+    SELECT {big('match_id', 'team_id', 'player_id')}, CAST(player_id % 30 AS BIGINT) AS jersey_number,
+           is_starter
+    FROM lu""",
+)
+says(
+    "lineup_positions",
+    f"""
+    SELECT {big('match_id', 'team_id', 'player_id')}, CAST(ordinal * 1024 AS BIGINT) AS ordinal,
+           position_name, CAST(NULL AS BIGINT) AS statsbomb_position_id,
+           {big('from_period', 'from_minute')}, CAST(NULL AS BIGINT) AS to_period,
+           {big('to_minute')}, start_reason, CAST(NULL AS VARCHAR) AS end_reason
+    FROM pos""",
+)
+says(
+    "unplaced_lineups",
+    """
+    SELECT DISTINCT CAST(match_id AS BIGINT) AS match_id, team_name
+    FROM lu JOIN team USING (team_id) JOIN m USING (match_id)
+    WHERE away_score > home_score AND team_id = away_team_id""",
+)
+SLOTS = """
+    SELECT match_id, team_id, event_id AS idx, formation, k, 0 AS slot_no, user_id AS player_id
+    FROM ev JOIN (SELECT event_id, user_id FROM b) USING (event_id)
+    WHERE type = 'Starting XI' AND formation IS NOT NULL
+    UNION ALL
+    SELECT match_id, team_id, event_id, formation, k, 1, user_id + 6
+    FROM ev JOIN (SELECT event_id, user_id FROM b) USING (event_id)
+    WHERE type = 'Starting XI' AND formation IS NOT NULL"""
+says(
+    "starting_xi",
+    f"""
+    SELECT CAST(s.match_id AS BIGINT) AS match_id, CAST(idx AS BIGINT) AS index, {big('slot_no')},
+           CAST(s.team_id AS BIGINT) AS team_id, team_name, formation,
+           CAST(s.player_id AS BIGINT) AS player_id,
+           CASE WHEN lu.player_id IS NOT NULL AND p.player_id IS NOT NULL
+                THEN coalesce(player_nickname, player_name)
+                ELSE '#' || (s.player_id % 40) || ' Announced ' || s.player_id END AS label,
+           'P' || (k % 5) AS position
+    FROM slots s LEFT JOIN lu ON lu.match_id = s.match_id AND lu.player_id = s.player_id
+         LEFT JOIN player p ON p.player_id = s.player_id
+         LEFT JOIN team ON team.team_id = s.team_id""",
+    slots=SLOTS,
+)
+says(
+    "bench_players",
+    f"""
+    SELECT {big('match_id', 'team_id', 'player_id')}, CAST(NULL AS BIGINT) AS jersey_number,
+           coalesce(player_nickname, player_name) AS label
+    FROM lu JOIN player USING (player_id)
+    WHERE NOT EXISTS (SELECT 1 FROM slots s WHERE s.match_id = lu.match_id
+                      AND s.team_id = lu.team_id AND s.player_id = lu.player_id)""",
+    slots=SLOTS,
+)
+
+# ---------------------------------------------------------------- merges
+
+says(
+    "upsert_latest",
+    """
+    SELECT CAST(player_id AS BIGINT) AS player_id, type AS last_type,
+           CAST(match_id AS BIGINT) AS match_id, CAST(idx AS BIGINT) AS index
+    FROM (SELECT * FROM late
+          UNION ALL
+          SELECT * FROM early WHERE player_id NOT IN (SELECT player_id FROM late))""",
+    early="""
+    SELECT DISTINCT ON (player_id) player_id, type, match_id, idx FROM ev
+    WHERE player_id IS NOT NULL AND period = 1 ORDER BY player_id, idx""",
+    late="""
+    SELECT DISTINCT ON (player_id) player_id, type, match_id, idx FROM ev
+    WHERE player_id IS NOT NULL AND period <> 1 ORDER BY player_id, idx DESC""",
+)
+says(
+    "scoped_replace",
+    """
+    SELECT CAST(match_id AS BIGINT) AS match_id, events, 'old' AS version
+    FROM c WHERE match_id NOT IN (SELECT match_id FROM ms)
+    UNION ALL
+    SELECT match_id, events, 'new' FROM c WHERE goals > 1 AND match_id IN (SELECT match_id FROM ms)""",
+    c="""
+    SELECT match_id, count(*) AS events,
+           count(*) FILTER (WHERE type = 'Shot' AND outcome = 'Goal') AS goals
+    FROM ev GROUP BY match_id""",
+)
+says(
+    "run_log_state",
+    """
+    SELECT CAST(match_id AS VARCHAR) AS run_id, match_date || ' 00:00:00' AS started_at,
+           CASE WHEN goals > 0 THEN match_date || ' 01:00:00' END AS finished_at,
+           CASE WHEN goals = 0 THEN 'running' WHEN home_score >= away_score THEN 'success'
+                ELSE 'failed' END AS status,
+           CASE WHEN goals > 0 THEN CAST(1 AS BIGINT) END AS matches_processed,
+           CASE WHEN goals > 0 THEN CAST(goals AS BIGINT) END AS events_processed,
+           CASE WHEN goals > 0 AND home_score < away_score THEN 'away win' END AS error_message
+    FROM (SELECT *, home_score + away_score AS goals FROM m)""",
+)
+
+# ---------------------------------------------------------------- quality
+
+
+def finding(check: str, scope: str, observed: str, expected: str, status: str, source: str) -> str:
+    return f"""
+    SELECT '{check}' AS "check", {scope} AS scope, CAST({observed} AS DOUBLE) AS observed,
+           CAST({expected} AS DOUBLE) AS expected, {status} AS status
+    FROM {source}"""
+
+
+def union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def judged(good: str, otherwise: str) -> str:
+    return f"CASE WHEN {good} THEN 'ok' ELSE '{otherwise}' END"
+
+
+# per table: its source here and how many rows of each column are filled (c: the column's own
+# count, all: every row, none: no row)
+COLUMNS = {
+    "competitions": ("comp", {
+        "competition_id": "all", "competition_name": "all", "country_name": "none",
+        "competition_gender": "none", "data_source": "all", "ingested_at": "all",
+    }),
+    "seasons": ("season", {"competition_id": "all", "season_id": "all", "season_name": "all"}),
+    "teams": ("team", {
+        "team_id": "c", "team_name": "c", "team_gender": "none", "country_name": "none",
+        "data_source": "all", "ingested_at": "all",
+    }),
+    "players": ("player", {
+        "player_id": "c", "player_name": "c", "player_nickname": "c", "country_name": "none",
+        "data_source": "all", "ingested_at": "all",
+    }),
+    "matches": ("m", {
+        "match_id": "c", "competition_id": "c", "season_id": "c", "match_date": "c",
+        "kick_off": "none", "home_team_id": "c", "away_team_id": "c", "home_score": "c",
+        "away_score": "c", "match_status": "none", "competition_stage": "c", "match_week": "none",
+        "stadium_name": "none", "referee_name": "none", "data_source": "all", "ingested_at": "all",
+    }),
+    "events": ("ev", {
+        "event_id": "c", "match_id": "c", "index": "all", "period": "c", "timestamp": "none",
+        "minute": "c", "second": "c", "type": "c", "team_id": "c", "player_id": "c",
+        "location_x": "c", "location_y": "c", "duration": "none", "under_pressure": "c",
+        "outcome": "c", "shot_statsbomb_xg": "xg", "payload": "all", "ingested_at": "all",
+    }),
+    "match_lineups": ("lu", {
+        "match_id": "c", "team_id": "c", "player_id": "c", "jersey_number": "none",
+        "is_starter": "c",
+    }),
+    "match_lineup_positions": ("pos", {
+        "match_id": "c", "team_id": "c", "player_id": "c", "ordinal": "c", "position_name": "c",
+        "statsbomb_position_id": "none", "from_period": "c", "from_minute": "c",
+        "to_period": "none", "to_minute": "c", "start_reason": "c", "end_reason": "none",
+    }),
+    "fact_player_match_stats": ("fact", {
+        "match_id": "c", "player_id": "c", "team_id": "c", "minutes_played": "c",
+        "is_starter": "c", "position_played": "c", "passes_attempted": "c",
+        "passes_completed": "c", "pass_completion_rate": "c", "progressive_passes": "none",
+        "shots": "c", "shots_on_target": "c", "goals": "c", "assists": "c", "xg": "c", "xa": "all",
+        "tackles": "c", "interceptions": "c", "pressures": "c", "blocks": "c",
+        "dribbles_attempted": "c", "dribbles_completed": "c", "carries": "c", "yellow_cards": "c",
+        "red_cards": "c", "aggregated_at": "all",
+    }),
+    "team_match_formation": ("tl", {
+        "match_id": "c", "team_id": "c", "from_minute": "c", "to_minute": "c",
+        "formation_code": "c", "source_event_type": "c",
+    }),
+}
+COMP = "SELECT DISTINCT competition_id, 'Competition 43' AS competition_name FROM m"
+
+
+def filled_count(column: str, how: str) -> str:
+    return {"all": "count(*)", "none": "0", "c": f"count({column})"}.get(how, f"count({how})")
+
+
+def schema_statement(table: str) -> str:
+    source, columns = COLUMNS[table]
+    return union(
+        [
+            finding("column", f"'{table}.{c}'", filled_count(c, how), "count(*)", "'ok'", source)
+            for c, how in columns.items()
+        ]
+    )
+
+
+says("dq_schema", union([schema_statement(t) for t in COLUMNS]), comp=COMP)
+
+
+def key_statement(table: str, keys: list[str], required: list[str]) -> str:
+    source = COLUMNS[table][0]
+    names = ["idx" if k == "index" else k for k in keys]
+    twice = f"(SELECT {', '.join(names)} FROM {source} GROUP BY ALL HAVING count(*) > 1)"
+    n = "count(*)"
+    parts = [finding("duplicate key", f"'{table}'", n, "0", judged(f"{n} = 0", "fail"), twice)]
+    for c in [*keys, *required]:
+        how = COLUMNS[table][1][c]
+        nulls = f"count(*) - {filled_count(c, how)}"
+        parts.append(
+            finding("null", f"'{table}.{c}'", nulls, "0", judged(f"{nulls} = 0", "fail"), source)
+        )
+    return union(parts)
+
+
+says(
+    "dq_keys",
+    union([key_statement(t, S.PRIMARY_KEYS[t], S.NOT_NULL[t]) for t in COLUMNS]),
+    comp=COMP,
+)
+
+
+def reference_statement(child: str, keys: list[str], parent: str, parent_keys: list[str]) -> str:
+    source, target = COLUMNS[child][0], COLUMNS[parent][0]
+    match = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(keys, parent_keys))
+    given = " AND ".join(f"c.{a} IS NOT NULL" for a in keys)
+    orphans = (
+        f"(SELECT 1 FROM {source} c WHERE {given} "
+        f"AND NOT EXISTS (SELECT 1 FROM {target} p WHERE {match}))"
+    )
+    n = "count(*)"
+    scope = f"'{child}({', '.join(keys)}) -> {parent}'"
+    return finding("orphan", scope, n, "0", judged(f"{n} = 0", "fail"), orphans)
+
+
+says("dq_foreign_keys", union([reference_statement(*fk) for fk in S.FOREIGN_KEYS]), comp=COMP)
+says(
+    "dq_matches",
+    union(
+        [
+            finding("season row", "'seasons'", "count(*)", "1", judged("count(*) >= 1", "fail"),
+                    "season WHERE competition_id = 43 AND season_id = 106"),
+            finding("season id shared", "'seasons'", "count(DISTINCT competition_id)", "NULL",
+                    judged("count(DISTINCT competition_id) > 1", "warn"),
+                    "season WHERE season_id = 106"),
+            finding("match count", "'matches'", "count(*)", "64", judged("count(*) = 64", "warn"), "ms"),
+            finding("stage", "competition_stage", "count(*)", "NULL", "'ok'",
+                    "ms GROUP BY competition_stage"),
+            finding("team matches", "'matches'", "count(*)", "NULL", judged("count(*) > 0", "warn"),
+                    "sides WHERE team_id = 0"),
+            finding("teams", "'matches'", "count(DISTINCT team_id)", "NULL", "'ok'", "sides"),
+        ]
+    ),
+)
+
+
+def having(condition: str) -> str:
+    return f"count(*) FILTER (WHERE {condition})"
+
+
+says(
+    "dq_event_profile",
+    union(
+        [
+            finding("events", "'events'", "count(*)", "100000", judged("count(*) >= 100000", "warn"), "ev"),
+            finding("located", "'events'", "count(location_x)", "count(*)", "'ok'", "ev"),
+            finding("outcome filled", "'Pass'", "count(outcome)", "count(*)", "'ok'",
+                    "ev WHERE type = 'Pass'"),
+            finding("outcome filled", "'Shot'", "count(outcome)", "count(*)", "'ok'",
+                    "ev WHERE type = 'Shot'"),
+            finding("goals", "'Shot'", having("outcome = 'Goal'"), "NULL", "'ok'", "ev WHERE type = 'Shot'"),
+            finding("assist key", "'Pass'", "count(assist_key)", "NULL",
+                    judged("count(assist_key) > 0", "warn"), "ev"),
+            finding("under pressure", "'events'", having("under_pressure"), "NULL", "'ok'", "ev"),
+            finding("events per match", "'events'", "round(avg(n), 0)", "NULL", "'ok'",
+                    "(SELECT count(*) AS n FROM ev GROUP BY match_id)"),
+            finding("frequent type", "type", "n", "NULL", "'ok'", "top5"),
+            finding("sparse attribute", "key", "n", "NULL", "'ok'", "keys"),
+        ]
+    ),
+    top5="SELECT type, count(*) AS n FROM ev GROUP BY type ORDER BY n DESC, type LIMIT 5",
+    keys="""
+    SELECT key, count(*) AS n
+    FROM (SELECT CASE WHEN assist_key IS NOT NULL THEN 'pass_goal_assist'
+                      WHEN duel IS NOT NULL THEN 'duel_type'
+                      WHEN type = 'Foul Committed' AND card IS NOT NULL THEN 'foul_committed_card'
+                      WHEN type = 'Bad Behaviour' AND card IS NOT NULL THEN 'bad_behaviour_card'
+                      WHEN formation IS NOT NULL THEN 'tactics' END AS key FROM ev)
+    WHERE key IS NOT NULL GROUP BY key""",
+)
+WHERE = "match_id || '/' || team_id"
+says(
+    "dq_lineups",
+    union(
+        [
+            finding("squad size", WHERE, "squad", "NULL", "'ok'", "squads"),
+            finding("with positions", WHERE, "placed", "squad", judged("placed > 0", "fail"), "squads"),
+            finding("bench", WHERE, "squad - placed", "NULL", judged("squad > placed", "warn"), "squads"),
+        ]
+    ),
+    squads="""
+    SELECT lu.match_id, lu.team_id, count(*) AS squad, count(p.player_id) AS placed
+    FROM lu LEFT JOIN (SELECT DISTINCT match_id, team_id, player_id FROM pos) p
+         ON p.match_id = lu.match_id AND p.team_id = lu.team_id AND p.player_id = lu.player_id
+    GROUP BY ALL""",
+)
+says(
+    "dq_formations",
+    union(
+        [
+            finding("formation type", "type", "count(*)", "NULL", "'ok'", "fe GROUP BY type"),
+            finding("formation code", "formation", "count(*)", "NULL", "'ok'", "fe GROUP BY formation"),
+            finding("formation reports", "'events'", "n", "games", judged("n >= games", "warn"), "two"),
+        ]
+    ),
+    two="SELECT (SELECT count(*) FROM fe) AS n, (SELECT count(*) FROM m) AS games",
+)
+says(
+    "dq_feasibility",
+    union(
+        [
+            *[
+                finding("metric source", f"'{metric}'", having(f"type = '{kind}'"), "NULL",
+                        judged(f"{having(f'''type = '{kind}' ''')} > 0", "warn"), "ev")
+                for metric, kind in METRIC_EVENTS.items()
+            ],
+            finding("metric source", "'cards'", having("type IN ('Foul Committed', 'Bad Behaviour')"),
+                    "NULL", judged(f"{having('''type IN ('Foul Committed', 'Bad Behaviour')''')} > 0", "warn"),
+                    "ev"),
+            finding("fact rows", "'facts'", "f", "10000", judged("f <= 10000", "warn"), "vol"),
+            finding("reduction", "'facts'", "round(CAST(e AS DOUBLE) / f, 0)", "NULL", "'ok'", "vol"),
+        ]
+    ),
+    vol="""
+    SELECT (SELECT count(*) FROM ev) AS e,
+           (SELECT count(*) FROM (SELECT DISTINCT match_id, player_id FROM ev
+                                  WHERE player_id IS NOT NULL)) AS f""",
+)

@@ -298,11 +298,11 @@ over_landing("lineups")(lambda b: N.lineups(raw_lineups(b), raw_matches(b)))
 over_landing("lineup_positions")(lambda b: N.positions(raw_lineups(b), raw_matches(b)))
 over_landing("unplaced_lineups")(
     lambda b: N.unplaced_lineups(
-        # every match whose id is a multiple of 7 lands with a misspelt away side
+        # matches won by the away side land with that side misspelt
         raw_lineups(b),
         raw_matches(b).withColumn(
             "away_team",
-            F.when(F.col("match_id") % 7 == 0, F.lit("Unknown")).otherwise(F.col("away_team")),
+            F.when(F.col("away_score") > F.col("home_score"), "Unknown").otherwise(F.col("away_team")),
         ),
     )
 )
