@@ -73,8 +73,7 @@ class Running:
         self.q, self.s, self.d = q[keep], s[keep], d[keep]
 
     def frame(self, block: QueryBlock) -> pd.DataFrame:
-        score = np.where(self.s == UNDEFINED, np.nan, self.s)
-        return pd.DataFrame({"query_id": block.ids[self.q], "doc_id": self.d, "score": score})
+        return pd.DataFrame({"query_id": block.ids[self.q], "doc_id": self.d, "score": self.s})
 
 
 def _candidates(
@@ -230,10 +229,9 @@ def cosine_topk(
         hits = _shipped(d, QueryBlock.of(head))
     else:
         hits = _blocked(d, q, q.count())
-    # NaN sorts above every number in Spark, but here it is the worst score
-    best = Window.partitionBy("query_id").orderBy(
-        F.desc(F.nanvl("score", F.lit(UNDEFINED))), "doc_id"
-    )
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = hits.withColumn("rank", F.row_number().over(best))
+    score = F.when(F.col("score") != UNDEFINED, F.col("score")).otherwise(F.lit(float("nan")))
+    ranked = ranked.withColumn("score", score)
     limits = q.select("query_id", F.col("k").alias("_k"))
     return ranked.join(limits, "query_id").filter(F.col("rank") <= F.col("_k")).drop("_k")
