@@ -17,9 +17,10 @@ from pitchgrain.schemas import EMBEDDING_WIDTH
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
 
 BATCH = 64
+CACHED_WORDS = 200_000
 
 Encoder = Callable[[list[str]], np.ndarray]
-_SPACE = re.compile(r"[ \t\r\n\f\v]+")
+_WORD = re.compile(r"[^ \t\r\n\f\v]+")
 
 
 def token_hash_encoder(width: int = EMBEDDING_WIDTH) -> Encoder:
@@ -27,24 +28,24 @@ def token_hash_encoder(width: int = EMBEDDING_WIDTH) -> Encoder:
 
     Dimension and sign come from the MD5 of the lower-cased word; the whole text is read.
     """
-    slots: dict[str, tuple[int, int]] = {}
-
-    def slot(word: str) -> tuple[int, int]:
-        found = slots.get(word)
-        if found is None:
-            code = int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16)
-            found = (code % width, 1 if (code // width) % 2 == 0 else -1)
-            if len(slots) < 200_000:
-                slots[word] = found
+    slots: dict[str, int] = {}  # word -> dimension, plus width if it counts down
+
+    def slot(word: str) -> int:
+        code = int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big")
+        found = code % (2 * width)  # code // width is odd in the upper half
+        if len(slots) < CACHED_WORDS:
+            slots[word] = found
         return found
 
     def encode(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), width), dtype=np.float64)
         for row, text in enumerate(texts):
-            words = [w for w in _SPACE.split((text or "").lower()) if w]
-            if words:
-                hits = np.array([slot(w) for w in words])
-                np.add.at(out[row], hits[:, 0], hits[:, 1])
+            hits = []
+            for word in _WORD.findall((text or "").lower()):
+                found = slots.get(word)
+                hits.append(slot(word) if found is None else found)
+            counts = np.bincount(np.array(hits, dtype=np.int64), minlength=2 * width)
+            out[row] = counts[:width] - counts[width:]
         return out
 
     return encode

@@ -52,9 +52,9 @@ def resolve_matches(
 def in_scope(df: DataFrame, matches: DataFrame, scope: Scope) -> DataFrame:
     """Rows of a match-keyed table that belong to the scope.
 
-    Tables written by this package carry the season as partition columns; the filter then
-    prunes directories before the semi join.
+    Tables written by this package carry the season as partition columns: pruning folders is all
+    it takes. Otherwise a semi join with the season's matches decides.
     """
     if {"competition_id", "season_id"} <= set(df.columns):
-        df = scope.filter(df)
+        return scope.filter(df)
     return df.join(scope.filter(matches).select("match_id"), "match_id", "left_semi")

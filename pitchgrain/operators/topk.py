@@ -25,7 +25,7 @@ SCORE_ROWS = 2048
 SCORE_DIGITS = 12  # ranking ignores noise below this, so equal vectors tie and order by id
 UNDEFINED = -2.0  # below any cosine: a zero vector has none
 
-HITS = "query_id bigint, doc_id bigint, score double"
+HITS = "query_id bigint, doc_id bigint, score double, k bigint"
 
 
 @dataclass
@@ -73,7 +73,9 @@ class Running:
         self.q, self.s, self.d = q[keep], s[keep], d[keep]
 
     def frame(self, block: QueryBlock) -> pd.DataFrame:
-        return pd.DataFrame({"query_id": block.ids[self.q], "doc_id": self.d, "score": self.s})
+        return pd.DataFrame(
+            {"query_id": block.ids[self.q], "doc_id": self.d, "score": self.s, "k": block.k[self.q]}
+        )
 
 
 def _candidates(
@@ -233,5 +235,4 @@ def cosine_topk(
     ranked = hits.withColumn("rank", F.row_number().over(best))
     score = F.when(F.col("score") != UNDEFINED, F.col("score")).otherwise(F.lit(float("nan")))
     ranked = ranked.withColumn("score", score)
-    limits = q.select("query_id", F.col("k").alias("_k"))
-    return ranked.join(limits, "query_id").filter(F.col("rank") <= F.col("_k")).drop("_k")
+    return ranked.filter(F.col("rank") <= F.col("k")).drop("k")

@@ -159,9 +159,7 @@ def starting_xi(t: MatchTables, match_ids: Iterable[int] | None = None) -> DataF
 
 
 def where_lineups(t: MatchTables, match_ids: Iterable[int] | None) -> MatchTables:
-    from dataclasses import replace
-
-    return replace(t, lineups=where_in(t.lineups, "match_id", match_ids))
+    return t.having(lineups=where_in(t.lineups, "match_id", match_ids))
 
 
 def bench_players(t: MatchTables, match_ids: Iterable[int] | None = None) -> DataFrame:

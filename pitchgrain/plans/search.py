@@ -24,6 +24,15 @@ LSH_BUCKET = 0.3
 LSH_SEED = 7
 
 
+def evened(scan: DataFrame) -> DataFrame:
+    """Spread a scan of fewer partitions than cores before per-row Python work.
+
+    A table of many files is returned as it is; only a small one is shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def embed_pending(
     docs: DataFrame, make_encoder: Callable[[], Encoder] = token_hash_encoder
 ) -> DataFrame:

@@ -2,52 +2,97 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, replace
-from functools import cached_property
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 
 from pitchgrain.operators.choose import where_in
-from pitchgrain.operators.scope import Scope, in_scope
+from pitchgrain.operators.scope import Scope
 from pitchgrain.session import materialise
 
+STAGED = (
+    "competitions", "seasons", "teams", "players", "matches", "events", "lineups", "positions",
+)
+
 
-@dataclass
 class MatchTables:
-    competitions: DataFrame
-    seasons: DataFrame
-    teams: DataFrame
-    players: DataFrame
-    matches: DataFrame
-    events: DataFrame
-    lineups: DataFrame
-    positions: DataFrame
-    built_facts: DataFrame | None = None
-    built_timeline: DataFrame | None = None
-
-    @cached_property
+    """Staging tables and the two derived ones, each given as a DataFrame or as a way to make it.
+
+    A table is only built when a plan asks for it. ``facts`` and ``timeline`` default to their
+    plans over the staging tables.
+    """
+
+    def __init__(self, **given: DataFrame | Callable[[], DataFrame]):
+        unknown = set(given) - {*STAGED, "facts", "timeline"}
+        if unknown:
+            raise TypeError(f"unknown tables: {sorted(unknown)}")
+        self._given = given
+
+    def _table(self, name: str) -> DataFrame:
+        value = self._given[name]
+        if not isinstance(value, DataFrame):
+            value = self._given[name] = value()
+        return value
+
+    @property
+    def competitions(self) -> DataFrame:
+        return self._table("competitions")
+
+    @property
+    def seasons(self) -> DataFrame:
+        return self._table("seasons")
+
+    @property
+    def teams(self) -> DataFrame:
+        return self._table("teams")
+
+    @property
+    def players(self) -> DataFrame:
+        return self._table("players")
+
+    @property
+    def matches(self) -> DataFrame:
+        return self._table("matches")
+
+    @property
+    def events(self) -> DataFrame:
+        return self._table("events")
+
+    @property
+    def lineups(self) -> DataFrame:
+        return self._table("lineups")
+
+    @property
+    def positions(self) -> DataFrame:
+        return self._table("positions")
+
+    @property
     def facts(self) -> DataFrame:
-        """The stored fact table, or its plan over the staging tables."""
-        if self.built_facts is not None:
-            return self.built_facts
+        if "facts" in self._given:
+            return self._table("facts")
         from pitchgrain.plans.facts import player_match_stats
 
         return player_match_stats(self.events, self.lineups, self.positions)
 
-    @cached_property
+    @property
     def timeline(self) -> DataFrame:
-        if self.built_timeline is not None:
-            return self.built_timeline
+        if "timeline" in self._given:
+            return self._table("timeline")
         from pitchgrain.plans.facts import team_formation
 
         return team_formation(self.events)
 
+    def having(self, **tables: DataFrame | Callable[[], DataFrame]) -> MatchTables:
+        """The same set with some tables exchanged."""
+        return MatchTables(**{**self._given, **tables})
+
     def with_stored_facts(self) -> MatchTables:
-        """For plans that read the facts several times: build them once, in shared storage."""
-        if self.built_facts is not None:
-            return self
-        return replace(self, built_facts=materialise(self.facts, "facts"))
+        """For plans that read the derived tables several times: build them once, in the shared
+        folder. Stored derived tables are used as they are."""
+        stored = {}
+        if "facts" not in self._given:
+            stored["facts"] = materialise(self.facts, "facts")
+        return self.having(**stored) if stored else self
 
     def named(self) -> dict[str, DataFrame]:
         return {
@@ -75,6 +120,3 @@ def season_part(
     if scope is not None and {"competition_id", "season_id"} <= set(df.columns):
         df = scope.filter(df)
     return where_in(df, "match_id", match_ids)
-
-
-__all__ = ["MatchTables", "Scope", "in_scope", "season_part"]

@@ -7,7 +7,6 @@ dates), so that they compare equal with another engine's.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -38,6 +37,7 @@ from pitchgrain.sources.match_events import (
     read_tables,
 )
 from pitchgrain.sql import run_statement
+from pitchgrain.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SCOPE = Scope()
@@ -117,24 +117,27 @@ over_matches("match_formation_timeline")(A.formation_timeline)
 # ---------------------------------------------------------------- the four benchmark statements
 
 
-def _statement(name: str, args: dict):
+def _statement(name: str, tables: Callable[[MatchTables], dict[str, DataFrame]], args: dict):
     def build(t: MatchTables) -> DataFrame:
-        return run_statement(
-            t.events.sparkSession, name, args, **{
-                "match_pass_counts": {"events": t.events},
-                "team_match_defence": {"facts": t.facts},
-                "player_rows": {"facts": t.facts},
-                "team_timeline": {"timeline": t.timeline},
-            }[name],
-        )
+        return run_statement(t.events.sparkSession, name, args, **tables(t))
 
     return build
 
 
-over_matches("bench_match_pass_agg")(_statement("match_pass_counts", {"match_id": None}))
-over_matches("bench_team_defence")(_statement("team_match_defence", {"team_id": None}))
-over_matches("bench_player_rows")(_statement("player_rows", {"player_id": None}))
-over_matches("bench_formation")(_statement("team_timeline", {"match_id": None, "team_id": None}))
+over_matches("bench_match_pass_agg")(
+    _statement("match_pass_counts", lambda t: {"events": t.events}, {"match_id": None})
+)
+over_matches("bench_team_defence")(
+    _statement("team_match_defence", lambda t: {"facts": t.facts}, {"team_id": None})
+)
+over_matches("bench_player_rows")(
+    _statement("player_rows", lambda t: {"facts": t.facts}, {"player_id": None})
+)
+over_matches("bench_formation")(
+    _statement(
+        "team_timeline", lambda t: {"timeline": t.timeline}, {"match_id": None, "team_id": None}
+    )
+)
 
 # ---------------------------------------------------------------- counts
 
@@ -185,7 +188,7 @@ def _matchup_context(t: MatchTables) -> DataFrame:
 def _prompt_batch(t: MatchTables) -> DataFrame:
     stored = t.with_stored_facts()
     docs = D.tactical_patterns(stored, SCOPE).unionByName(D.player_documents(stored, SCOPE))
-    embedded = V.embed_pending(D.as_rows(docs))
+    embedded = materialise(V.embed_pending(D.as_rows(docs)), "documents")
     teams = stored.teams
     questions = (
         _season_matchups(stored)
@@ -203,8 +206,8 @@ def _prompt_batch(t: MatchTables) -> DataFrame:
 @over_dir("embed_documents")
 def _embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded whole; per vector its length and two sums that any change moves."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    vectors = docs.select("doc_id", encode_column(F.col("text")).alias("v"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    vectors = V.evened(docs).select("doc_id", encode_column(F.col("text")).alias("v"))
     terms = F.transform("v", lambda x, i: x.cast("double") * (i + 1))
     total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
@@ -286,7 +289,7 @@ def over_landing(name: str):
 
 def _landed_tables(base: DataFrame, t: MatchTables) -> MatchTables:
     """The match tables with events taken through the raw form, so payloads hold all attributes."""
-    return replace(t, events=N.events(raw_events(base)))
+    return t.having(events=N.events(raw_events(base)))
 
 
 over_landing("normalize_matches")(lambda b: N.matches(raw_matches(b)))

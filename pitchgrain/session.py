@@ -32,7 +32,7 @@ def build_session(app: str = "pitchgrain", master: str | None = None, **conf: st
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for local sessions without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -220,40 +220,58 @@ def _dimension(ids: DataFrame, key: str, label: str, extra: dict[str, Column]) -
     )
 
 
-def read_tables(spark: SparkSession, sf_dir: str) -> MatchTables:
-    """All staging tables over ``sf_dir``/events.parquet."""
-    base = base_stream(spark, f"{sf_dir}/events.parquet")
-    matches = match_rows(base)
-    seasons = base.select(
+def _season_ids(base: DataFrame) -> DataFrame:
+    return base.select(
         F.lit(COMPETITION).alias("competition_id"), _season(F.col("day")).alias("season_id")
     ).distinct()
+
+
+def _seasons(base: DataFrame) -> DataFrame:
+    name = F.concat(F.lit("Season "), F.col("season_id").cast("string"))
+    return _season_ids(base).select("*", name.alias("season_name"))
+
+
+def _competitions(base: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
+    ids = _season_ids(base).select("competition_id").distinct()
+    return ids.select(
+        "competition_id",
+        F.lit("Competition 43").alias("competition_name"),
+        none.alias("country_name"),
+        none.alias("competition_gender"),
+        F.lit(S.DATA_SOURCE).alias("data_source"),
+        F.current_timestamp().alias("ingested_at"),
+    )
+
+
+def _teams(base: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string")
+    ids = base.select("team_id").distinct()
+    return _dimension(ids, "team_id", "Team", {"team_gender": none, "country_name": none})
+
+
+def _players(base: DataFrame) -> DataFrame:
     odd = F.col("player_id") % 2 == 1
     nickname = F.when(odd, F.concat(F.lit("Nick "), F.col("player_id").cast("string")))
+    ids = base.select(F.col("user_id").alias("player_id")).distinct()
+    return _dimension(
+        ids, "player_id", "Player",
+        {"player_nickname": nickname, "country_name": F.lit(None).cast("string")},
+    )
+
+
+def read_tables(spark: SparkSession, sf_dir: str) -> MatchTables:
+    """All staging tables over ``sf_dir``/events.parquet."""
+    base = base_stream(spark, f"{sf_dir}/events.parquet")
     return MatchTables(
-        competitions=seasons.select("competition_id").distinct().select(
-            "competition_id",
-            F.lit("Competition 43").alias("competition_name"),
-            none.alias("country_name"),
-            none.alias("competition_gender"),
-            F.lit(S.DATA_SOURCE).alias("data_source"),
-            F.current_timestamp().alias("ingested_at"),
-        ),
-        seasons=seasons.select(
-            "*", F.concat(F.lit("Season "), F.col("season_id").cast("string")).alias("season_name")
-        ),
-        teams=_dimension(
-            base.select("team_id").distinct(), "team_id", "Team",
-            {"team_gender": none, "country_name": none},
-        ),
-        players=_dimension(
-            base.select(F.col("user_id").alias("player_id")).distinct(), "player_id", "Player",
-            {"player_nickname": nickname, "country_name": none},
-        ),
-        matches=matches,
-        events=event_rows(base),
-        lineups=lineup_rows(base),
-        positions=position_rows(base),
+        competitions=lambda: _competitions(base),
+        seasons=lambda: _seasons(base),
+        teams=lambda: _teams(base),
+        players=lambda: _players(base),
+        matches=lambda: match_rows(base),
+        events=lambda: event_rows(base),
+        lineups=lambda: lineup_rows(base),
+        positions=lambda: position_rows(base),
     )
 
 

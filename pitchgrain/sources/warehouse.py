@@ -117,7 +117,7 @@ class Warehouse:
 
     def store_embeddings(self, make_encoder=None) -> int:
         """Encode the rows without embedding and rewrite the types that had any. Returns how many."""
-        from pitchgrain.plans.search import embed_pending
+        from pitchgrain.plans.search import embed_pending, evened
 
         table = "embedding_documents"
         docs = self.read(table)
@@ -125,7 +125,7 @@ class Warehouse:
         todo = {r.doc_type: r.n for r in pending.groupBy("doc_type").agg(F.count(F.lit(1)).alias("n")).collect()}
         if not todo:
             return 0
-        touched = docs.filter(F.col("doc_type").isin(sorted(todo)))
+        touched = evened(docs.filter(F.col("doc_type").isin(sorted(todo))))
         done = embed_pending(touched, make_encoder) if make_encoder else embed_pending(touched)
         staged = materialise(done, table)
         for kind in todo:
@@ -137,16 +137,16 @@ class Warehouse:
 
     def tables(self) -> MatchTables:
         return MatchTables(
-            competitions=self.read("competitions"),
-            seasons=self.read("seasons"),
-            teams=self.read("teams"),
-            players=self.read("players"),
-            matches=self.read("matches"),
-            events=self.read("events"),
-            lineups=self.read("match_lineups"),
-            positions=self.read("match_lineup_positions"),
-            built_facts=self.read("fact_player_match_stats"),
-            built_timeline=self.read("team_match_formation"),
+            competitions=lambda: self.read("competitions"),
+            seasons=lambda: self.read("seasons"),
+            teams=lambda: self.read("teams"),
+            players=lambda: self.read("players"),
+            matches=lambda: self.read("matches"),
+            events=lambda: self.read("events"),
+            lineups=lambda: self.read("match_lineups"),
+            positions=lambda: self.read("match_lineup_positions"),
+            facts=lambda: self.read("fact_player_match_stats"),
+            timeline=lambda: self.read("team_match_formation"),
         )
 
 

@@ -22,6 +22,8 @@ NAMES = (
     "benchmark labels conversations"
 ).split()
 
+KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -54,7 +56,13 @@ def rows_of(columns, rows):
 def compare(df, con, sql) -> str | None:
     """None when equal, otherwise what differs."""
     rel = con.execute(sql)
-    want_cols, want = rows_of([d[0] for d in rel.description], rel.fetchall())
+    names = [d[0] for d in rel.description]
+    want_cols, want = rows_of(names, rel.fetchall())
+    kinds = {d[0]: str(d[1]) for d in rel.description}
+    for field in df.schema:
+        want_kind = KINDS[field.dataType.simpleString()]
+        if kinds.get(field.name, want_kind) != want_kind:
+            return f"column {field.name}: {field.dataType.simpleString()} here, {kinds[field.name]} there"
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"

@@ -1,5 +1,4 @@
 import json
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -56,8 +55,8 @@ def small(spark, opp_pressures=160, score=(2, 1)):
         events=empty(S.EVENTS),
         lineups=empty(S.LINEUPS),
         positions=empty(S.POSITIONS),
-        built_facts=facts,
-        built_timeline=spark.createDataFrame(
+        facts=facts,
+        timeline=spark.createDataFrame(
             [(5, 1, 0, 60, "442", "Starting XI"), (5, 1, 60, None, "433", "Tactical Shift")], S.TIMELINE
         ),
     )
@@ -118,10 +117,10 @@ def test_document_ids_are_unique_and_stable(spark):
 def test_result_labels_and_rounding(spark):
     t = small(spark, score=(None, None))
     assert {r[0] for r in rows(A.pass_accuracy_vs_result(t, Scope()), "result")} == {"loss"}
-    facts = t.built_facts.withColumn(
+    facts = t.facts.withColumn(
         "xg", F.when(F.col("team_id") == 1, F.lit(0.494)).otherwise(F.lit(0.418)).cast("decimal(18,4)")
     )
-    r = A.xg_balance(replace(t, built_facts=facts), Scope(), 1).first()
+    r = A.xg_balance(t.having(facts=facts), Scope(), 1).first()
     assert (str(r.team_xg), str(r.opp_xg), str(r.xg_diff)) == ("0.49", "0.42", "0.08")
 
 
