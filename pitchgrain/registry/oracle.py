@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pitchgrain import schemas as S
+from pitchgrain.functions.encoder import QUERY_PREFIX
+from pitchgrain.plans import wording as W
 from pitchgrain.plans.quality import METRIC_EVENTS
 from pitchgrain.registry.base_sql import half_up, with_tables
 
@@ -419,126 +421,184 @@ def context(section: int, line: str, source: str, *keys: str) -> str:
     FROM {source}"""
 
 
-says(
-    "matchup_context",
-    "\nUNION ALL\n".join(
-        [
-            context(
-                1,
-                text(
-                    "'## 상대팀 프로파일 — '", "coalesce(team_name, CAST(mu.away_team_id AS VARCHAR))",
-                    "' [출처: analytics.team_match_formation, fact_player_match_stats]'",
-                ),
-                "ms mu LEFT JOIN tagg ON tagg.team_id = mu.away_team_id",
+CONTEXT = "\nUNION ALL\n".join(
+    [
+        context(
+            1,
+            text(
+                "'## 상대팀 프로파일 — '", "coalesce(team_name, CAST(mu.away_team_id AS VARCHAR))",
+                "' [출처: analytics.team_match_formation, fact_player_match_stats]'",
             ),
-            context(
-                2,
-                text(
-                    "team_name", "': '", "matches", "'경기, 포메이션 '", "coalesce(formations, 'n/a')",
-                    "', '", "goals", "'골 '", two("xg"), "'xG, 수비액션(태클 '", "tackles",
-                    "'/인터셉트 '", "interceptions", "'/압박 '", "pressures", "'/블록 '", "blocks",
-                    "'), 패스성공 '", "passes_completed", "'/'", "passes_attempted", "'.'",
-                ),
-                "ms mu JOIN tagg ON tagg.team_id = mu.away_team_id",
+            "ms mu LEFT JOIN tagg ON tagg.team_id = mu.away_team_id",
+        ),
+        context(
+            2,
+            text(
+                "team_name", "': '", "matches", "'경기, 포메이션 '", "coalesce(formations, 'n/a')",
+                "', '", "goals", "'골 '", two("xg"), "'xG, 수비액션(태클 '", "tackles",
+                "'/인터셉트 '", "interceptions", "'/압박 '", "pressures", "'/블록 '", "blocks",
+                "'), 패스성공 '", "passes_completed", "'/'", "passes_attempted", "'.'",
             ),
-            context(
-                3,
-                text(
-                    "chr(10)", "'## 직전 맞대결 (match_id='", "mu.match_id",
-                    "') [출처: staging.matches, team_match_formation]'",
-                ),
-                "ms mu",
+            "ms mu JOIN tagg ON tagg.team_id = mu.away_team_id",
+        ),
+        context(
+            3,
+            text(
+                "chr(10)", "'## 직전 맞대결 (match_id='", "mu.match_id",
+                "') [출처: staging.matches, team_match_formation]'",
             ),
-            context(
-                4,
-                text(
-                    "competition_stage", "' '", "CAST(match_date AS VARCHAR)", "': '", "ht.team_name",
-                    "' '", "home_score", "'-'", "away_score", "' '", "awt.team_name", "'.'",
-                ),
-                "ms mu JOIN team ht ON ht.team_id = home_team_id "
-                "JOIN team awt ON awt.team_id = away_team_id",
+            "ms mu",
+        ),
+        context(
+            4,
+            text(
+                "competition_stage", "' '", "CAST(match_date AS VARCHAR)", "': '", "ht.team_name",
+                "' '", "home_score", "'-'", "away_score", "' '", "awt.team_name", "'.'",
             ),
-            context(
-                5,
-                text(
-                    "'  - '", "team_name", "' '", "formation_code", "' ('", "from_minute", "'''~'",
-                    "coalesce(to_minute || '''', '종료')", "')'",
-                ),
-                "ms mu JOIN tl ON tl.match_id = mu.match_id JOIN team USING (team_id)",
-                "team_id", "from_minute",
+            "ms mu JOIN team ht ON ht.team_id = home_team_id "
+            "JOIN team awt ON awt.team_id = away_team_id",
+        ),
+        context(
+            5,
+            text(
+                "'  - '", "team_name", "' '", "formation_code", "' ('", "from_minute", "'''~'",
+                "coalesce(to_minute || '''', '종료')", "')'",
             ),
-            context(
-                6,
-                text(
-                    "chr(10)", "'## 그 경기 Team '", "home_team_id",
-                    "' 출전 선수 [출처: fact_player_match_stats match_id='", "mu.match_id", "']'",
-                ),
-                "ms mu WHERE EXISTS (SELECT 1 FROM fact f WHERE f.match_id = mu.match_id "
-                "AND f.team_id = mu.home_team_id)",
+            "ms mu JOIN tl ON tl.match_id = mu.match_id JOIN team USING (team_id)",
+            "team_id", "from_minute",
+        ),
+        context(
+            6,
+            text(
+                "chr(10)", "'## 그 경기 Team '", "home_team_id",
+                "' 출전 선수 [출처: fact_player_match_stats match_id='", "mu.match_id", "']'",
             ),
-            context(
-                7,
-                text(
-                    "'  - '", "player_name", "' ('", "coalesce(position_played, '?')", "', '",
-                    "CASE WHEN is_starter THEN '선발' ELSE '교체' END", "', '", two("minutes_played"),
-                    "'분): 패스 '", "passes_completed", "'/'", "passes_attempted", "', 태클 '", "tackles",
-                    "', 인터셉트 '", "interceptions", "', 압박 '", "pressures", "', '", "goals",
-                    "'골 '", "assists", "'도움'",
-                ),
-                "ms mu JOIN fact f ON f.match_id = mu.match_id AND f.team_id = mu.home_team_id "
-                "JOIN player USING (player_id)",
-                "CASE WHEN is_starter THEN 0 ELSE 1 END", "-minutes_played", "player_id",
+            "ms mu WHERE EXISTS (SELECT 1 FROM fact f WHERE f.match_id = mu.match_id "
+            "AND f.team_id = mu.home_team_id)",
+        ),
+        context(
+            7,
+            text(
+                "'  - '", "player_name", "' ('", "coalesce(position_played, '?')", "', '",
+                "CASE WHEN is_starter THEN '선발' ELSE '교체' END", "', '", two("minutes_played"),
+                "'분): 패스 '", "passes_completed", "'/'", "passes_attempted", "', 태클 '", "tackles",
+                "', 인터셉트 '", "interceptions", "', 압박 '", "pressures", "', '", "goals",
+                "'골 '", "assists", "'도움'",
             ),
-            context(
-                8,
-                text(
-                    "chr(10)", "'## Team '", "home_team_id",
-                    "' 가용 선수 풀 (WC2022 시즌 집계) [출처: analytics.fact_player_match_stats team_id='",
-                    "home_team_id", "']'",
-                ),
-                "ms mu",
+            "ms mu JOIN fact f ON f.match_id = mu.match_id AND f.team_id = mu.home_team_id "
+            "JOIN player USING (player_id)",
+            "CASE WHEN is_starter THEN 0 ELSE 1 END", "-minutes_played", "player_id",
+        ),
+        context(
+            8,
+            text(
+                "chr(10)", "'## Team '", "home_team_id",
+                "' 가용 선수 풀 (WC2022 시즌 집계) [출처: analytics.fact_player_match_stats team_id='",
+                "home_team_id", "']'",
             ),
-            context(
-                9,
-                text(
-                    "'  - '", "player_name", "' ('", "coalesce(position, '?')", "'): '", "matches",
-                    "'경기 '", "minutes", "'분, '", "goals", "'골 '", "assists", "'도움 '", two("xg"),
-                    "'xG, 패스 '", "passes_completed", "'/'", "passes_attempted", "', 태클 '", "tackles",
-                    "'/인터셉트 '", "interceptions", "'/압박 '", "pressures", "'/블록 '", "blocks",
-                ),
-                "ms mu JOIN prof ON prof.team_id = mu.home_team_id",
-                "-minutes", "player_id",
+            "ms mu",
+        ),
+        context(
+            9,
+            text(
+                "'  - '", "player_name", "' ('", "coalesce(position, '?')", "'): '", "matches",
+                "'경기 '", "minutes", "'분, '", "goals", "'골 '", "assists", "'도움 '", two("xg"),
+                "'xG, 패스 '", "passes_completed", "'/'", "passes_attempted", "', 태클 '", "tackles",
+                "'/인터셉트 '", "interceptions", "'/압박 '", "pressures", "'/블록 '", "blocks",
             ),
-        ]
-    ),
-    tagg="SELECT * FROM agg JOIN team USING (team_id) LEFT JOIN forms USING (team_id)",
+            "ms mu JOIN prof ON prof.team_id = mu.home_team_id",
+            "-minutes", "player_id",
+        ),
+    ]
 )
+TEAM_TOTALS = "SELECT * FROM agg JOIN team USING (team_id) LEFT JOIN forms USING (team_id)"
+says("matchup_context", CONTEXT, tagg=TEAM_TOTALS)
 
 # ---------------------------------------------------------------- vectors
 
+def text_vectors(source: str, key: str, prefix: str = "") -> dict[str, str]:
+    """CTEs giving the token-hash vector of ``text`` per ``key`` of a relation: (key, dim, c, x)."""
+    return {
+        f"{prefix}word": f"""
+    SELECT {key}, w, count(*) AS times
+    FROM (SELECT {key}, unnest(regexp_split_to_array(lower(text), '[ \\t\\r\\n\\f\\v]+')) AS w
+          FROM {source})
+    WHERE w <> '' GROUP BY ALL""",
+        f"{prefix}slot": f"""
+    SELECT {key}, h % 384 AS dim, sum(CASE WHEN (h // 384) % 2 = 0 THEN times ELSE -times END) AS c
+    FROM (SELECT {key}, times, CAST('0x' || substr(md5(w), 1, 8) AS UBIGINT) AS h FROM {prefix}word)
+    GROUP BY ALL""",
+        f"{prefix}vec": f"""
+    SELECT {key}, dim, c,
+           CAST(CAST(CAST(c / sqrt(sum(c * c) OVER (PARTITION BY {key})) AS DOUBLE)
+           AS FLOAT) AS DOUBLE) AS x
+    FROM {prefix}slot""",
+    }
+
+
 says(
     "embed_documents",
     """
     SELECT d.doc_id, CAST(coalesce(used, 0) AS BIGINT) AS used, coalesce(norm, 0) AS norm,
            coalesce(weighted_sum, 0) AS weighted_sum
-    FROM documents d LEFT JOIN vec USING (doc_id)""",
-    word="""
-    SELECT doc_id, w, count(*) AS times
-    FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\r\n\f\v]+')) AS w
-          FROM documents)
-    WHERE w <> '' GROUP BY ALL""",
-    slot="""
-    SELECT doc_id, h % 384 AS dim, sum(CASE WHEN (h // 384) % 2 = 0 THEN times ELSE -times END) AS c
-    FROM (SELECT doc_id, times, CAST('0x' || substr(md5(w), 1, 8) AS UBIGINT) AS h FROM word)
-    GROUP BY ALL""",
-    scaled="""
-    SELECT doc_id, dim, c, CAST(CAST(CAST(c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)) AS DOUBLE)
-           AS FLOAT) AS DOUBLE) AS x
-    FROM slot""",
-    vec="""
+    FROM documents d LEFT JOIN measured USING (doc_id)""",
+    **text_vectors("documents", "doc_id"),
+    measured="""
     SELECT doc_id, count(*) FILTER (WHERE c <> 0) AS used, round(sqrt(sum(x * x)), 5) AS norm,
            round(sum(x * (dim + 1)), 4) AS weighted_sum
-    FROM scaled GROUP BY doc_id""",
+    FROM vec GROUP BY doc_id""",
+)
+says(
+    "prompt_batch",
+    f"""
+    SELECT CAST(q.match_id AS BIGINT) AS question_id,
+           {text(f"'{W.GUIDANCE}'", "chr(10)", "chr(10)", "'=== SQL 실측 데이터 ==='", "chr(10)", "facts",
+                 "chr(10)", "chr(10)", "'=== 검색된 유사 사례 ==='", "chr(10)", f"'{W.HITS_HEADER}'",
+                 "coalesce(chr(10) || found, '')", "chr(10)", "chr(10)", "'=== 질문 ==='", "chr(10)",
+                 "question", "chr(10)")} AS prompt
+    FROM question q JOIN facttext USING (match_id) LEFT JOIN foundtext USING (match_id)""",
+    tagg=TEAM_TOTALS,
+    ctx=CONTEXT,
+    question="""
+    SELECT match_id, 'Who should start against ' || awt.team_name || '?' AS question,
+           ht.team_name AS focus, awt.team_name AS rival
+    FROM ms JOIN team ht ON ht.team_id = home_team_id JOIN team awt ON awt.team_id = away_team_id""",
+    facttext="""
+    SELECT matchup_id AS match_id,
+           string_agg(line, chr(10) ORDER BY section, key1, key2, key3) AS facts
+    FROM ctx GROUP BY matchup_id""",
+    src=f"""
+    SELECT CAST(2 AS BIGINT) * 4294967296 + ref_id AS doc_id, doc_type, ref_id, content AS text
+    FROM ({PATTERN})
+    UNION ALL
+    SELECT CAST(3 AS BIGINT) * 4294967296 + ref_id, doc_type, ref_id, content FROM ({PROFILE})""",
+    asked=f"""
+    SELECT match_id * 2 AS query_id, match_id, 0 AS source, 'tactical_pattern' AS want, 3 AS k,
+           '{QUERY_PREFIX}' || rival || ' pressing tactics formation against ' || focus AS text
+    FROM question
+    UNION ALL
+    SELECT match_id * 2 + 1, match_id, 1, 'player_profile', 5, '{QUERY_PREFIX}' || question
+    FROM question""",
+    **text_vectors("src", "doc_id", "doc"),
+    **text_vectors("asked", "query_id", "ask"),
+    docnorm="SELECT doc_id, sqrt(sum(x * x)) AS n FROM docvec GROUP BY doc_id",
+    asknorm="SELECT query_id, sqrt(sum(x * x)) AS n FROM askvec GROUP BY query_id",
+    dots="""
+    SELECT query_id, doc_id, sum(a.x * d.x) AS dot
+    FROM askvec a JOIN docvec d USING (dim) GROUP BY query_id, doc_id""",
+    scored="""
+    SELECT asked.query_id, match_id, source, k, src.doc_id, doc_type, ref_id, src.text,
+           round(coalesce(dot, 0) / (an.n * dn.n), 12) AS s
+    FROM asked JOIN src ON doc_type = want
+         JOIN asknorm an ON an.query_id = asked.query_id JOIN docnorm dn ON dn.doc_id = src.doc_id
+         LEFT JOIN dots ON dots.query_id = asked.query_id AND dots.doc_id = src.doc_id""",
+    ranked="""
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank
+    FROM scored""",
+    foundtext="""
+    SELECT match_id, string_agg('  - [' || doc_type || ' ref=' || ref_id || ' score='
+             || printf('%.3f', s) || '] ' || text, chr(10) ORDER BY source, rank) AS found
+    FROM ranked WHERE rank <= k GROUP BY match_id""",
 )
 ELEMENTS = """
     SELECT vec_id, label, unnest(embedding) AS x,
