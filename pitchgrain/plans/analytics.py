@@ -100,7 +100,11 @@ def _player_season(t: MatchTables, scope: Scope, aggregates: list[Column]) -> Da
 
 
 def top_xg(t: MatchTables, scope: Scope, limit: int = 10) -> DataFrame:
-    """Players with the most expected goals. Matches are summed: facts are unique per match."""
+    """Players with the most expected goals.
+
+    A player has one fact row per match, so counting rows counts distinct matches without the
+    second shuffle of a distinct count.
+    """
     sums = _player_season(
         t,
         scope,
@@ -109,7 +113,7 @@ def top_xg(t: MatchTables, scope: Scope, limit: int = 10) -> DataFrame:
             F.sum("shots").alias("shots"),
             F.sum("goals").alias("goals"),
             F.sum("minutes_played").alias("minutes"),
-            F.count_distinct("match_id").alias("matches"),
+            F.count(F.lit(1)).alias("matches"),
         ],
     )
     minutes = F.col("minutes").cast("decimal(28,2)") / F.nullif(
@@ -402,13 +406,13 @@ def favourite_position(facts: DataFrame) -> DataFrame:
 def player_profiles(
     t: MatchTables, scope: Scope, team_ids: Iterable[int] | None = None
 ) -> DataFrame:
-    """Season totals per player and team, for players with minutes."""
+    """Season totals per player and team, for players with minutes; one fact row is one match."""
     facts = where_in(season_part(t.facts, scope), "team_id", team_ids)
     totals = (
         in_scope(facts, t.matches, scope)
         .groupBy("player_id", "team_id")
         .agg(
-            F.count_distinct("match_id").alias("matches"),
+            F.count(F.lit(1)).alias("matches"),
             F.sum("minutes_played").alias("minutes"),
             F.sum("passes_attempted").alias("passes_attempted"),
             F.sum("passes_completed").alias("passes_completed"),

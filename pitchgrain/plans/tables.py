@@ -27,6 +27,7 @@ class MatchTables:
         if unknown:
             raise TypeError(f"unknown tables: {sorted(unknown)}")
         self._given = given
+        self._derived: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
         value = self._given[name]
@@ -72,7 +73,9 @@ class MatchTables:
             return self._table("facts")
         from pitchgrain.plans.facts import player_match_stats
 
-        return player_match_stats(self.events, self.lineups, self.positions)
+        if "facts" not in self._derived:
+            self._derived["facts"] = player_match_stats(self.events, self.lineups, self.positions)
+        return self._derived["facts"]
 
     @property
     def timeline(self) -> DataFrame:
@@ -80,7 +83,9 @@ class MatchTables:
             return self._table("timeline")
         from pitchgrain.plans.facts import team_formation
 
-        return team_formation(self.events)
+        if "timeline" not in self._derived:
+            self._derived["timeline"] = team_formation(self.events)
+        return self._derived["timeline"]
 
     def having(self, **tables: DataFrame | Callable[[], DataFrame]) -> MatchTables:
         """The same set with some tables exchanged."""

@@ -637,6 +637,18 @@ says(
 
 # ---------------------------------------------------------------- normalised landing rows
 
+says(
+    "competitions_dim",
+    """
+    SELECT CAST(competition_id AS BIGINT) AS competition_id, 'Competition 43' AS competition_name,
+           CAST(NULL AS VARCHAR) AS country_name, 'male' AS competition_gender,
+           'statsbomb_open' AS data_source
+    FROM season WHERE competition_id = 43 AND season_id = 106""",
+)
+says(
+    "seasons_dim",
+    f"""SELECT {big('competition_id', 'season_id')}, 'Season ' || season_id AS season_name FROM season""",
+)
 says(
     "normalize_matches",
     f"""

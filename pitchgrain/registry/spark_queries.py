@@ -31,6 +31,7 @@ from pitchgrain.plans.runlog import run_states
 from pitchgrain.plans.tables import MatchTables
 from pitchgrain.sources.match_events import (
     base_stream,
+    raw_competitions,
     raw_events,
     raw_lineups,
     raw_matches,
@@ -292,6 +293,8 @@ def _landed_tables(base: DataFrame, t: MatchTables) -> MatchTables:
     return t.having(events=N.events(raw_events(base)))
 
 
+over_landing("competitions_dim")(lambda b: N.competitions(SCOPE.filter(raw_competitions(b))))
+over_landing("seasons_dim")(lambda b: N.seasons(raw_competitions(b)))
 over_landing("normalize_matches")(lambda b: N.matches(raw_matches(b)))
 over_landing("teams_dim")(lambda b: N.teams(raw_matches(b)))
 over_landing("players_dim")(lambda b: N.players(raw_lineups(b), raw_matches(b)))

@@ -19,6 +19,10 @@ MAIN_SEASON = 106
 OTHER_SEASON = 3
 OTHER_SEASON_DAYS = (10, 20)
 
+STREAM = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
 
 def _stage(day: Column) -> Column:
     bounds = [
@@ -55,7 +59,7 @@ def _kind(raw: Column, k: Column) -> Column:
 
 
 def base_stream(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.parquet(path)
+    raw = spark.read.schema(STREAM).parquet(path)
     k = F.get_json_object("props", "$.k").cast("int")
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
     shaped = raw.select(
@@ -278,6 +282,18 @@ def read_tables(spark: SparkSession, sf_dir: str) -> MatchTables:
 # ---------------------------------------------------------------- the same stream as landing files
 
 
+def raw_competitions(base: DataFrame) -> DataFrame:
+    """One row per season, the competition's attributes repeated, one of them blank."""
+    return _season_ids(base).select(
+        "competition_id",
+        "season_id",
+        F.lit("Competition 43").alias("competition_name"),
+        F.concat(F.lit("Season "), F.col("season_id").cast("string")).alias("season_name"),
+        F.lit(" ").alias("country_name"),
+        F.lit("male").alias("competition_gender"),
+    )
+
+
 def raw_matches(base: DataFrame) -> DataFrame:
     """The matches as they would land: text dates, fractional kick-off, names on each side."""
     m = match_rows(base)
@@ -397,4 +413,4 @@ def raw_lineups(base: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["base_stream", "read_tables", "raw_events", "raw_lineups", "raw_matches"]
+__all__ = ["base_stream", "raw_competitions", "read_tables", "raw_events", "raw_lineups", "raw_matches"]

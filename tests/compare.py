@@ -1,6 +1,6 @@
 """Run registered queries next to their DuckDB statements and compare the rows.
 
-    python tests/compare.py [--sf sf0.001] [names...]
+    python tests/compare.py [--sf sf0.001|/path/to/tables] [names...]
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def compare(df, con, sql) -> str | None:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("names", nargs="*")
-    parser.add_argument("--sf", default="sf0.001")
+    parser.add_argument("--sf", default="sf0.001", help="scale folder, or a path to other tables")
     args = parser.parse_args()
 
     import __spark_entry__ as entry
@@ -93,7 +93,7 @@ def main() -> int:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    sf_dir = f"/root/testdata/{args.sf}"
+    sf_dir = args.sf if "/" in args.sf else f"/root/testdata/{args.sf}"
     con = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
