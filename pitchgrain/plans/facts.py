@@ -19,48 +19,44 @@ DETAIL_KEYS = {
     "Bad Behaviour": "bad_behaviour_card",
 }
 CARD_EVENTS = ["Foul Committed", "Bad Behaviour"]
-ON_TARGET = ["Saved", "Goal"]
-SENDING_OFF = ["Red Card", "Second Yellow"]
+
+# What each count of the fact table counts. ``detail`` is the attribute above.
+COUNTED = {
+    "passes_attempted": "type = 'Pass'",
+    "passes_completed": "type = 'Pass' AND outcome IS NULL",
+    "shots": "type = 'Shot'",
+    "shots_on_target": "type = 'Shot' AND outcome IN ('Saved', 'Goal')",
+    # shoot-out goals count as goals: there is no period condition
+    "goals": "type = 'Shot' AND outcome = 'Goal'",
+    # the attribute being there is enough, also with the value false
+    "assists": "type = 'Pass' AND detail IS NOT NULL",
+    "tackles": "type = 'Duel' AND detail = 'Tackle'",
+    "interceptions": "type = 'Interception'",
+    "pressures": "type = 'Pressure'",
+    "blocks": "type = 'Block'",
+    "dribbles_attempted": "type = 'Dribble'",
+    # outcome is only ever filled for passes and shots, so this equals the attempts
+    "dribbles_completed": "type = 'Dribble' AND outcome IS NULL",
+    "carries": "type = 'Carry'",
+    "yellow_cards": "type IN ('Foul Committed', 'Bad Behaviour') AND detail = 'Yellow Card'",
+    "red_cards": (
+        "type IN ('Foul Committed', 'Bad Behaviour') AND detail IN ('Red Card', 'Second Yellow')"
+    ),
+}
 
 
 def _detail() -> Column:
     """The one payload attribute its event type needs, so JSON is parsed at most once per row."""
-    picked = F.lit(None).cast("string")
-    for event_type, key in DETAIL_KEYS.items():
-        picked = F.when(
-            F.col("type") == event_type, F.get_json_object("payload", f"$.{key}")
-        ).otherwise(picked)
-    return picked
+    cases = [
+        f"WHEN type = '{kind}' THEN get_json_object(payload, '$.{key}')"
+        for kind, key in DETAIL_KEYS.items()
+    ]
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def _metrics() -> list[Column]:
-    def is_(kind: str) -> Column:
-        return F.col("type") == kind
-
-    done = F.col("outcome").isNull()
-    carded = F.col("type").isin(CARD_EVENTS)
-    conditions = {
-        "passes_attempted": is_("Pass"),
-        "passes_completed": is_("Pass") & done,
-        "shots": is_("Shot"),
-        "shots_on_target": is_("Shot") & F.col("outcome").isin(ON_TARGET),
-        # shoot-out goals count as goals: there is no period condition
-        "goals": is_("Shot") & (F.col("outcome") == "Goal"),
-        # the attribute being there is enough, also with the value false
-        "assists": is_("Pass") & F.col("detail").isNotNull(),
-        "tackles": is_("Duel") & (F.col("detail") == "Tackle"),
-        "interceptions": is_("Interception"),
-        "pressures": is_("Pressure"),
-        "blocks": is_("Block"),
-        "dribbles_attempted": is_("Dribble"),
-        # outcome is only ever filled for passes and shots, so this equals the attempts
-        "dribbles_completed": is_("Dribble") & done,
-        "carries": is_("Carry"),
-        "yellow_cards": carded & (F.col("detail") == "Yellow Card"),
-        "red_cards": carded & F.col("detail").isin(SENDING_OFF),
-    }
-    counts = [F.count_if(cond).alias(name) for name, cond in conditions.items()]
-    xg = F.coalesce(F.sum(F.when(is_("Shot"), F.col("shot_statsbomb_xg"))), F.lit(0))
+    counts = [F.expr(f"count_if({condition})").alias(name) for name, condition in COUNTED.items()]
+    xg = F.expr("coalesce(sum(if(type = 'Shot', shot_statsbomb_xg, NULL)), 0)")
     return [F.max("team_id").alias("event_team_id"), *counts, xg.cast(S.XG).alias("xg")]
 
 

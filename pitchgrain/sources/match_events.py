@@ -24,192 +24,145 @@ STREAM = (
 )
 
 
-def _stage(day: Column) -> Column:
-    bounds = [
-        (18, "Group Stage"), (24, "Round of 16"), (27, "Quarter-finals"),
-        (28, "Semi-finals"), (29, "3rd Place Final"),
-    ]
-    stage = F.lit("Final")
-    for limit, name in reversed(bounds):
-        stage = F.when(day < limit, name).otherwise(stage)
-    return stage
-
-
-def _season(day: Column) -> Column:
-    return F.when(day.isin(*OTHER_SEASON_DAYS), OTHER_SEASON).otherwise(MAIN_SEASON)
-
-
-def _kind(raw: Column, k: Column) -> Column:
-    return (
-        F.when(raw == "click", "Pass")
-        .when(raw == "purchase", "Shot")
-        .when(raw == "view", F.when(k < 50, "Pressure").otherwise("Duel"))
-        .when(
-            raw == "error",
-            F.when(k < 20, "Foul Committed")
-            .when(k < 40, "Bad Behaviour")
-            .when(k < 60, "Interception")
-            .when(k < 80, "Block")
-            .otherwise("Dribble"),
-        )
-        .otherwise(
-            F.when(k < 15, S.STARTING_XI).when(k < 45, S.TACTICAL_SHIFT).otherwise("Carry")
-        )
-    )
+STAGE = """
+    CASE WHEN day < 18 THEN 'Group Stage' WHEN day < 24 THEN 'Round of 16'
+         WHEN day < 27 THEN 'Quarter-finals' WHEN day < 28 THEN 'Semi-finals'
+         WHEN day < 29 THEN '3rd Place Final' ELSE 'Final' END"""
+SEASON = f"CASE WHEN day IN {OTHER_SEASON_DAYS} THEN {OTHER_SEASON} ELSE {MAIN_SEASON} END"
+KIND = f"""
+    CASE raw_type
+      WHEN 'click' THEN 'Pass'
+      WHEN 'purchase' THEN 'Shot'
+      WHEN 'view' THEN if(k < 50, 'Pressure', 'Duel')
+      WHEN 'error' THEN CASE WHEN k < 20 THEN 'Foul Committed' WHEN k < 40 THEN 'Bad Behaviour'
+                             WHEN k < 60 THEN 'Interception' WHEN k < 80 THEN 'Block'
+                             ELSE 'Dribble' END
+      ELSE CASE WHEN k < 15 THEN '{S.STARTING_XI}' WHEN k < 45 THEN '{S.TACTICAL_SHIFT}'
+                ELSE 'Carry' END END"""
+OUTCOME = """
+    CASE type WHEN 'Pass' THEN if(k % 4 = 0, 'Incomplete', NULL)
+              WHEN 'Shot' THEN CASE k % 5 WHEN 0 THEN 'Goal' WHEN 1 THEN 'Saved' ELSE 'Off T' END
+              END"""
+SHAPED = f"type IN ('{S.STARTING_XI}', '{S.TACTICAL_SHIFT}') AND k % 13 <> 12"
+CODE = "element_at(array(442, 433, 4231, 352), k % 4 + 1)"
+PAYLOAD = f"""
+    coalesce(CASE
+      WHEN type = 'Pass' AND k % 10 = 1 THEN '{{"pass_goal_assist":true}}'
+      WHEN type = 'Duel' THEN if(k % 2 = 0, '{{"duel_type":"Tackle"}}', '{{"duel_type":"Aerial"}}')
+      WHEN type = 'Foul Committed' THEN
+        CASE k % 3 WHEN 0 THEN '{{"foul_committed_card":"Yellow Card"}}'
+                   WHEN 1 THEN '{{"foul_committed_card":"Red Card"}}' END
+      WHEN type = 'Bad Behaviour' THEN
+        CASE k % 3 WHEN 0 THEN '{{"bad_behaviour_card":"Yellow Card"}}'
+                   WHEN 1 THEN '{{"bad_behaviour_card":"Second Yellow"}}' END
+      WHEN {SHAPED} THEN concat('{{"tactics":{{"formation":', {CODE}, '}}}}') END, '{{}}')"""
+PLAYER = "if(k % 33 <> 32, user_id, NULL)"
+PRESSURE = "CASE WHEN k % 8 = 0 THEN true WHEN k % 8 <> 1 THEN false END"
 
 
 def base_stream(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(STREAM).parquet(path)
-    k = F.get_json_object("props", "$.k").cast("int")
-    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
-    shaped = raw.select(
+    """The stream with the numbers everything else is computed from."""
+    numbers = spark.read.schema(STREAM).parquet(path).selectExpr(
         "event_id",
-        F.col("user_id").cast("int").alias("user_id"),
-        F.col("event_type").alias("raw_type"),
+        "CAST(user_id AS INT) AS user_id",
+        "event_type AS raw_type",
         "value",
-        k.alias("k"),
-        day.alias("day"),
-        F.floor((F.hour("ts") * 60 + F.minute("ts")) / 15).cast("smallint").alias("minute"),
-        F.second("ts").cast("smallint").alias("second"),
-        F.pmod(F.col("user_id"), F.lit(6)).cast("int").alias("team_id"),
-    )
-    slot = F.when(F.col("team_id") < 3, F.col("team_id")).otherwise(
-        F.pmod(F.col("team_id") - 3 + F.col("day"), F.lit(3))
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "datediff(to_date(ts), DATE'2024-01-01') AS day",
+        "CAST((hour(ts) * 60 + minute(ts)) DIV 15 AS SMALLINT) AS minute",
+        "CAST(second(ts) AS SMALLINT) AS second",
+        "CAST(pmod(user_id, 6) AS INT) AS team_id",
     )
-    period = F.when(F.col("k") % 50 == 49, 5).when(F.col("minute") < 48, 1).otherwise(2)
-    return shaped.select(
+    slot = "if(team_id < 3, team_id, pmod(team_id - 3 + day, 3))"
+    return numbers.selectExpr(
         "*",
-        slot.cast("int").alias("slot"),
-        (F.col("day") * 10 + slot).cast("int").alias("match_id"),
-        period.cast("smallint").alias("period"),
-        _kind(F.col("raw_type"), F.col("k")).alias("type"),
-    )
-
-
-def _outcome(kind: Column, k: Column) -> Column:
-    return F.when(kind == "Pass", F.when(k % 4 == 0, "Incomplete")).when(
-        kind == "Shot",
-        F.when(k % 5 == 0, "Goal").when(k % 5 == 1, "Saved").otherwise("Off T"),
-    )
-
-
-def _payload(kind: Column, k: Column) -> Column:
-    def quoted(key: str, value: Column) -> Column:
-        return F.concat(F.lit('{"' + key + '":"'), value, F.lit('"}'))
-
-    def card(key: str, second: str) -> Column:
-        which = F.when(k % 3 == 0, "Yellow Card").when(k % 3 == 1, second)
-        return quoted(key, which)
-
-    code = F.element_at(F.array(*[F.lit(c) for c in (442, 433, 4231, 352)]), k % 4 + 1)
-    shape = F.concat(F.lit('{"tactics":{"formation":'), code.cast("string"), F.lit("}}"))
-    made = (
-        F.when((kind == "Pass") & (k % 10 == 1), F.lit('{"pass_goal_assist":true}'))
-        .when(kind == "Duel", quoted("duel_type", F.when(k % 2 == 0, "Tackle").otherwise("Aerial")))
-        .when(kind == "Foul Committed", card("foul_committed_card", "Red Card"))
-        .when(kind == "Bad Behaviour", card("bad_behaviour_card", "Second Yellow"))
-        .when(kind.isin(S.STARTING_XI, S.TACTICAL_SHIFT) & (k % 13 != 12), shape)
+        f"{slot} AS slot",
+        f"day * 10 + {slot} AS match_id",
+        "CAST(CASE WHEN k % 50 = 49 THEN 5 WHEN minute < 48 THEN 1 ELSE 2 END AS SMALLINT) AS period",
+        f"{KIND} AS type",
     )
-    return F.coalesce(made, F.lit("{}"))
 
 
 def event_rows(base: DataFrame) -> DataFrame:
-    k, kind = F.col("k"), F.col("type")
-    located = k % 20 != 19
-    return base.select(
-        F.col("event_id"),
+    return base.selectExpr(
+        "event_id",
         "match_id",
-        F.col("event_id").alias("index"),
+        "event_id AS index",
         "period",
-        F.lit(None).cast("string").alias("timestamp"),
+        "CAST(NULL AS STRING) AS timestamp",
         "minute",
         "second",
         "type",
         "team_id",
-        F.when(k % 33 != 32, F.col("user_id")).alias("player_id"),
-        F.when(located, (k.cast("decimal(4,0)") * F.expr("1.2BD")).cast(S.COORD)).alias("location_x"),
-        F.when(located, (k.cast("decimal(4,0)") * F.expr("0.8BD")).cast(S.COORD)).alias("location_y"),
-        F.lit(None).cast(S.DURATION).alias("duration"),
-        F.when(k % 8 == 0, True).when(k % 8 != 1, False).alias("under_pressure"),
-        _outcome(kind, k).alias("outcome"),
-        F.when(
-            kind == "Shot", F.least(F.col("value") / 500, F.lit(0.99)).cast(S.EVENT_XG)
-        ).alias("shot_statsbomb_xg"),
-        _payload(kind, k).alias("payload"),
-        F.current_timestamp().alias("ingested_at"),
+        f"{PLAYER} AS player_id",
+        "if(k % 20 <> 19, CAST(k * 1.2BD AS DECIMAL(6,2)), NULL) AS location_x",
+        "if(k % 20 <> 19, CAST(k * 0.8BD AS DECIMAL(6,2)), NULL) AS location_y",
+        "CAST(NULL AS DECIMAL(8,3)) AS duration",
+        f"{PRESSURE} AS under_pressure",
+        f"{OUTCOME} AS outcome",
+        "if(type = 'Shot', CAST(least(value / 500, 0.99D) AS DECIMAL(6,4)), NULL) AS shot_statsbomb_xg",
+        f"{PAYLOAD} AS payload",
+        "current_timestamp() AS ingested_at",
     )
 
 
 def match_rows(base: DataFrame) -> DataFrame:
-    goal = (F.col("type") == "Shot") & (F.col("k") % 5 == 0)
-    away = F.lit(3) + F.pmod(F.col("slot") - F.col("day"), F.lit(3))
+    goal = "type = 'Shot' AND k % 5 = 0"
     played = base.groupBy("day", "slot").agg(
-        F.count_if(goal & (F.col("team_id") < 3)).cast("int").alias("home_score"),
-        F.count_if(goal & (F.col("team_id") >= 3)).cast("int").alias("away_score"),
+        F.expr(f"CAST(count_if({goal} AND team_id < 3) AS INT) AS home_score"),
+        F.expr(f"CAST(count_if({goal} AND team_id >= 3) AS INT) AS away_score"),
     )
-    no_text = F.lit(None).cast("string")
-    return played.select(
-        (F.col("day") * 10 + F.col("slot")).cast("int").alias("match_id"),
-        F.lit(COMPETITION).alias("competition_id"),
-        _season(F.col("day")).alias("season_id"),
-        F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")).alias("match_date"),
-        no_text.alias("kick_off"),
-        F.col("slot").alias("home_team_id"),
-        away.cast("int").alias("away_team_id"),
+    return played.selectExpr(
+        "day * 10 + slot AS match_id",
+        f"{COMPETITION} AS competition_id",
+        f"{SEASON} AS season_id",
+        "date_add(DATE'2024-01-01', day) AS match_date",
+        "CAST(NULL AS STRING) AS kick_off",
+        "slot AS home_team_id",
+        "3 + pmod(slot - day, 3) AS away_team_id",
         "home_score",
         "away_score",
-        no_text.alias("match_status"),
-        _stage(F.col("day")).alias("competition_stage"),
-        F.lit(None).cast("int").alias("match_week"),
-        no_text.alias("stadium_name"),
-        no_text.alias("referee_name"),
-        F.lit(S.DATA_SOURCE).alias("data_source"),
-        F.current_timestamp().alias("ingested_at"),
+        "CAST(NULL AS STRING) AS match_status",
+        f"{STAGE} AS competition_stage",
+        "CAST(NULL AS INT) AS match_week",
+        "CAST(NULL AS STRING) AS stadium_name",
+        "CAST(NULL AS STRING) AS referee_name",
+        f"'{S.DATA_SOURCE}' AS data_source",
+        "current_timestamp() AS ingested_at",
     )
 
 
 def _lineup_events(base: DataFrame) -> DataFrame:
-    k = F.col("k")
-    return base.filter((k % 33 != 32) & (k % 7 != 6)).select(
-        "match_id",
-        "team_id",
-        F.col("user_id").alias("player_id"),
-        F.col("event_id").alias("ordinal"),
-        "minute",
-        "k",
+    return base.filter("k % 33 <> 32 AND k % 7 <> 6").selectExpr(
+        "match_id", "team_id", "user_id AS player_id", "event_id AS ordinal", "minute", "k"
     )
 
 
 def position_rows(base: DataFrame) -> DataFrame:
-    k, minute = F.col("k"), F.col("minute")
     ended = with_neighbour(
         _lineup_events(base), ["match_id", "player_id"], "ordinal", {"to_minute": "minute"}, ahead=True
     )
-    return ended.select(
+    return ended.selectExpr(
         "match_id",
         "team_id",
         "player_id",
         "ordinal",
-        F.concat(F.lit("P"), (k % 5).cast("string")).alias("position_name"),
-        F.lit(None).cast("int").alias("statsbomb_position_id"),
-        F.when(minute < 48, 1).otherwise(2).cast("smallint").alias("from_period"),
-        F.when(k % 25 != 24, minute).alias("from_minute"),
-        F.lit(None).cast("smallint").alias("to_period"),
+        "concat('P', k % 5) AS position_name",
+        "CAST(NULL AS INT) AS statsbomb_position_id",
+        "CAST(if(minute < 48, 1, 2) AS SMALLINT) AS from_period",
+        "if(k % 25 <> 24, minute, NULL) AS from_minute",
+        "CAST(NULL AS SMALLINT) AS to_period",
         "to_minute",
-        F.when(k % 3 == 0, S.STARTING_XI).otherwise("Substitution").alias("start_reason"),
-        F.lit(None).cast("string").alias("end_reason"),
+        f"if(k % 3 = 0, '{S.STARTING_XI}', 'Substitution') AS start_reason",
+        "CAST(NULL AS STRING) AS end_reason",
     )
 
 
 def lineup_rows(base: DataFrame) -> DataFrame:
-    return (
-        _lineup_events(base)
-        .groupBy("match_id", "team_id", "player_id")
-        .agg((F.max((F.col("k") % 3 == 0).cast("int")) == 1).alias("is_starter"))
-        .select(
-            "match_id", "team_id", "player_id",
-            F.lit(None).cast("smallint").alias("jersey_number"), "is_starter",
-        )
+    starters = F.expr("bool_or(k % 3 = 0) AS is_starter")
+    listed = _lineup_events(base).groupBy("match_id", "team_id", "player_id").agg(starters)
+    return listed.selectExpr(
+        "match_id", "team_id", "player_id", "CAST(NULL AS SMALLINT) AS jersey_number", "is_starter"
     )
 
 
@@ -226,7 +179,7 @@ def _dimension(ids: DataFrame, key: str, label: str, extra: dict[str, Column]) -
 
 def _season_ids(base: DataFrame) -> DataFrame:
     return base.select(
-        F.lit(COMPETITION).alias("competition_id"), _season(F.col("day")).alias("season_id")
+        F.lit(COMPETITION).alias("competition_id"), F.expr(SEASON).alias("season_id")
     ).distinct()
 
 
@@ -343,15 +296,13 @@ def _slot(player: Column, k: Column, number_on_player: bool) -> Column:
 def raw_events(base: DataFrame) -> DataFrame:
     """The events as they would land: one wide sparse row per event."""
     k, kind = F.col("k"), F.col("type")
-    outcome = _outcome(kind, k)
+    outcome = F.expr(OUTCOME)
     card = F.when(k % 3 == 0, "Yellow Card")
-    code = F.element_at(F.array(*[F.lit(c) for c in (442, 433, 4231, 352)]), k % 4 + 1)
     tactics = F.struct(
-        code.alias("formation"),
+        F.expr(CODE).alias("formation"),
         # the acting player, and a team-mate who need not be in the squad of the match
         F.array(_slot(F.col("user_id"), k, False), _slot(F.col("user_id") + 6, k, True)).alias("lineup"),
     )
-    shaped = kind.isin(S.STARTING_XI, S.TACTICAL_SHIFT) & (k % 13 != 12)
     place = F.when(k % 20 != 19, F.array(k * F.lit(1.25), k * F.lit(0.75))).when(
         k % 40 == 19, F.array(k * F.lit(1.25))
     )
@@ -366,10 +317,10 @@ def raw_events(base: DataFrame) -> DataFrame:
         F.col("second").cast("int").alias("second"),
         "type",
         "team_id",
-        F.when(k % 33 != 32, F.col("user_id")).alias("player_id"),
+        F.expr(PLAYER).alias("player_id"),
         place.alias("location"),
         F.when(k % 6 == 0, F.lit(float("nan"))).otherwise(k / F.lit(8.0)).alias("duration"),
-        F.when(k % 8 == 0, True).when(k % 8 != 1, False).alias("under_pressure"),
+        F.expr(PRESSURE).alias("under_pressure"),
         F.when(kind == "Pass", F.coalesce(outcome, F.lit(""))).alias("pass_outcome"),
         F.when(kind == "Shot", outcome).alias("shot_outcome"),
         F.coalesce(xg, F.lit(float("nan"))).alias("shot_statsbomb_xg"),
@@ -377,7 +328,7 @@ def raw_events(base: DataFrame) -> DataFrame:
         F.when(kind == "Duel", F.when(k % 2 == 0, "Tackle").otherwise(" ")).alias("duel_type"),
         F.when(kind == "Foul Committed", card).alias("foul_committed_card"),
         F.when(kind == "Bad Behaviour", card).alias("bad_behaviour_card"),
-        F.when(shaped, tactics).alias("tactics"),
+        F.when(F.expr(SHAPED), tactics).alias("tactics"),
     )
 
 
