@@ -45,8 +45,10 @@ COUNTED = {
 }
 
 
-def _detail() -> Column:
-    """The one payload attribute its event type needs, so JSON is parsed at most once per row."""
+def _detail(events: DataFrame) -> Column:
+    """The one payload attribute its event type needs: as stored, or parsed once per row."""
+    if "detail" in events.columns:
+        return F.col("detail")
     cases = [
         f"WHEN type = '{kind}' THEN get_json_object(payload, '$.{key}')"
         for kind, key in DETAIL_KEYS.items()
@@ -54,6 +56,20 @@ def _detail() -> Column:
     return F.expr(f"CASE {' '.join(cases)} END")
 
 
+def _formation(events: DataFrame) -> Column:
+    if "formation_code" in events.columns:
+        return F.col("formation_code")
+    reported = F.col("type").isin(S.STARTING_XI, S.TACTICAL_SHIFT)
+    return F.when(reported, F.get_json_object("payload", "$.tactics.formation"))
+
+
+def with_promoted(events: DataFrame) -> DataFrame:
+    """Events with the attributes of ``schemas.EVENTS_PROMOTED`` taken out of the payload."""
+    return events.withColumns(
+        {"detail": _detail(events), "formation_code": _formation(events)}
+    )
+
+
 def _metrics() -> list[Column]:
     counts = [F.expr(f"count_if({condition})").alias(name) for name, condition in COUNTED.items()]
     xg = F.expr("coalesce(sum(if(type = 'Shot', shot_statsbomb_xg, NULL)), 0)")
@@ -68,7 +84,7 @@ def player_event_totals(events: DataFrame) -> DataFrame:
     """
     named = events.filter(F.col("player_id").isNotNull()).select(
         "match_id", "player_id", "team_id", "type", "outcome", "shot_statsbomb_xg",
-        _detail().alias("detail"),
+        _detail(events).alias("detail"),
     )
     return named.groupBy("match_id", "player_id").agg(*_metrics())
 
@@ -143,7 +159,6 @@ def player_match_stats(
 
 def formation_reports(events: DataFrame) -> DataFrame:
     """Events that state a formation, with a missing minute read as kick-off."""
-    code = F.get_json_object("payload", "$.tactics.formation")
     return (
         events.filter(F.col("type").isin(S.STARTING_XI, S.TACTICAL_SHIFT))
         .filter(F.col("team_id").isNotNull())
@@ -152,7 +167,7 @@ def formation_reports(events: DataFrame) -> DataFrame:
             "team_id",
             "index",
             F.coalesce(F.col("minute"), F.lit(0)).cast("smallint").alias("minute"),
-            code.alias("formation_code"),
+            _formation(events).alias("formation_code"),
             F.col("type").alias("source_event_type"),
         )
         .filter(F.col("formation_code").isNotNull())

@@ -115,6 +115,9 @@ EVENTS = (
     "under_pressure BOOLEAN, outcome STRING, shot_statsbomb_xg DECIMAL(6,4), payload STRING, "
     "ingested_at TIMESTAMP"
 )
+# Stored next to the events: the payload attributes the derived tables need. Almost always NULL,
+# so they cost nothing, and building facts or timelines does not read the payload at all.
+EVENTS_PROMOTED = "detail STRING, formation_code STRING"
 LINEUPS = (
     "match_id INT, team_id INT, player_id INT, jersey_number SMALLINT, is_starter BOOLEAN"
 )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pitchgrain import schemas as S
 from pitchgrain.operators.merge import merge_latest, replace_scope
 from pitchgrain.operators.scope import Scope
+from pitchgrain.plans.facts import with_promoted
 from pitchgrain.plans.tables import MatchTables
 from pitchgrain.session import materialise
 
@@ -36,8 +37,12 @@ class Warehouse:
             f"{self.path(table)}/competition_id={scope.competition_id}/season_id={scope.season_id}"
         )
 
-    def _layout(self, table: str) -> str:
+    def _stored(self, table: str) -> str:
         ddl = S.TABLES[table]
+        return f"{ddl}, {S.EVENTS_PROMOTED}" if table == "events" else ddl
+
+    def _layout(self, table: str) -> str:
+        ddl = self._stored(table)
         if table in S.SEASON_PARTITIONED and table != "matches":
             ddl += ", competition_id INT, season_id INT"
         return ddl
@@ -62,7 +67,9 @@ class Warehouse:
     # ------------------------------------------------------------ season tables
 
     def _write_season(self, table: str, df: DataFrame, scope: Scope) -> None:
-        columns = [c for c in S.columns(S.TABLES[table]) if c not in S.SEASON_KEYS]
+        if table == "events":
+            df = with_promoted(df)
+        columns = [c for c in S.columns(self._stored(table)) if c not in S.SEASON_KEYS]
         ordered = ["match_id"] + [c for c in ("index", "player_id", "team_id") if c in columns]
         (
             df.select(*columns)
@@ -88,7 +95,9 @@ class Warehouse:
             return
         ids = sorted(set(match_ids))
         season = scope.filter(self.read(table))
-        old = season.select(*S.columns(S.TABLES[table]))
+        old = season.select(*S.columns(self._stored(table)))
+        if df is not None and table == "events":
+            df = with_promoted(df)
         named = self.spark.createDataFrame([(i,) for i in ids], "match_id int")
         after = replace_scope(old, old.limit(0) if df is None else df, named, ["match_id"])
         self._write_season(table, materialise(after, table), scope)
