@@ -59,13 +59,19 @@ def interval_lookup(
 ) -> DataFrame:
     """Which state held at a minute: left lookup of ``points`` in ``intervals``.
 
-    The range condition is evaluated once per distinct (keys, minute), at most one row per minute
-    value and key; points then find the answer by equality, however many share a minute.
+    Each interval is written out as its minutes, an open one up to the last minute its key is
+    asked about. The lookup is then a join by equality on keys and minute: no point is compared
+    with an interval it does not lie in, and the minutes of a hot key spread over partitions.
     """
-    held = intervals.select(*keys, "from_minute", "to_minute", state)
-    asked = points.select(*keys, minute).where(F.col(minute).isNotNull()).distinct()
-    inside = (F.col("from_minute") <= F.col(minute)) & (
-        F.col("to_minute").isNull() | (F.col(minute) < F.col("to_minute"))
+    last_asked = points.groupBy(*keys).agg(F.max(minute).cast("int").alias("_asked"))
+    ends = F.least(F.coalesce(F.col("to_minute").cast("int") - 1, F.col("_asked")), F.col("_asked"))
+    minutes = F.explode(F.sequence(F.col("from_minute").cast("int"), F.col("_end")))
+    states = (
+        intervals.select(*keys, "from_minute", "to_minute", state)
+        .join(last_asked, list(keys))
+        .withColumn("_end", ends)
+        # an interval that is empty, or that starts after everything asked
+        .filter(F.col("from_minute") <= F.col("_end"))
+        .select(*keys, minutes.alias(minute), state)
     )
-    answers = asked.join(held, list(keys)).where(inside).select(*keys, minute, state)
-    return points.join(answers, [*keys, minute], "left")
+    return points.join(states, [*keys, minute], "left")

@@ -88,6 +88,9 @@ def test_interval_lookup(spark):
         [(1, 5, 10, "A"), (1, 10, None, "B")], "m int, from_minute int, to_minute int, code string"
     )
     points = spark.createDataFrame([(1, 4), (1, 5), (1, 9), (1, 10), (1, 99), (2, 5), (1, 10), (1, None)], "m int, at int")
+    # an interval that ends before it starts holds nothing, one that starts later is not reached
+    odd = spark.createDataFrame([(1, 7, 5, "X"), (1, 120, None, "Y")], held.schema)
+    held = held.union(odd)
     got = sorted(rows(interval_lookup(points, held, ["m"], "at", "code")), key=repr)
     want = [(1, 4, None), (1, 5, "A"), (1, 9, "A"), (1, 10, "B"), (1, 10, "B"), (1, 99, "B"), (1, None, None), (2, 5, None)]
     assert got == sorted(want, key=repr)
