@@ -19,14 +19,15 @@ class MatchTables:
     """Staging tables and the two derived ones, each given as a DataFrame or as a way to make it.
 
     A table is only built when a plan asks for it. ``facts`` and ``timeline`` default to their
-    plans over the staging tables.
+    plans over the staging tables. ``persistent`` says that all of them are read from storage.
     """
 
-    def __init__(self, **given: DataFrame | Callable[[], DataFrame]):
+    def __init__(self, persistent: bool = False, **given: DataFrame | Callable[[], DataFrame]):
         unknown = set(given) - {*STAGED, "facts", "timeline"}
         if unknown:
             raise TypeError(f"unknown tables: {sorted(unknown)}")
         self._given = given
+        self.persistent = persistent
         self._derived: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
@@ -89,15 +90,14 @@ class MatchTables:
 
     def having(self, **tables: DataFrame | Callable[[], DataFrame]) -> MatchTables:
         """The same set with some tables exchanged."""
-        return MatchTables(**{**self._given, **tables})
-
-    def with_stored_facts(self) -> MatchTables:
-        """For plans that read the derived tables several times: build them once, in the shared
-        folder. Stored derived tables are used as they are."""
-        stored = {}
-        if "facts" not in self._given:
-            stored["facts"] = materialise(self.facts, "facts")
-        return self.having(**stored) if stored else self
+        return MatchTables(self.persistent, **{**self._given, **tables})
+
+    def stored(self, *names: str) -> MatchTables:
+        """For plans that read tables several times: write the named ones once to the shared
+        folder and read them from there. Tables that come from storage are used as they are."""
+        if self.persistent:
+            return self
+        return self.having(**{n: materialise(getattr(self, n), n) for n in names})
 
     def named(self) -> dict[str, DataFrame]:
         return {

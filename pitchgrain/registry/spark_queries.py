@@ -109,7 +109,7 @@ over_matches("xg_balance")(lambda t: A.xg_balance(t, SCOPE))
 over_matches("focus_matches")(lambda t: A.focus_matches(t, SCOPE))
 over_matches("team_aggregates")(lambda t: A.team_aggregates(t, SCOPE))
 over_matches("team_formations")(lambda t: A.team_formations(t, SCOPE))
-over_matches("player_profiles")(lambda t: A.player_profiles(t.with_stored_facts(), SCOPE))
+over_matches("player_profiles")(lambda t: A.player_profiles(t.stored("facts"), SCOPE))
 over_matches("h2h_meta")(A.match_headers)
 over_matches("h2h_formations")(A.match_formations)
 over_matches("h2h_players")(A.match_players)
@@ -160,13 +160,18 @@ over_matches("event_sample")(X.event_sample)
 
 over_matches("doc_match_reports")(lambda t: D.match_reports(t, SCOPE))
 over_matches("doc_tactical_patterns")(lambda t: D.tactical_patterns(t, SCOPE))
-over_matches("doc_player_profiles")(lambda t: D.player_documents(t.with_stored_facts(), SCOPE))
+over_matches("doc_player_profiles")(lambda t: D.player_documents(t.stored("facts"), SCOPE))
 
 
 @over_matches("doc_counts")
 def _doc_counts(t: MatchTables) -> DataFrame:
     """The three types as the focus team's rebuild makes them."""
-    return D.counts_by_type(D.build(t.with_stored_facts(), SCOPE, FOCUS_TEAM, RIVAL_TEAM))
+    stored = t.stored("matches", "teams", "facts")
+    return D.counts_by_type(D.build(stored, SCOPE, FOCUS_TEAM, RIVAL_TEAM))
+
+
+# what a context reads several times
+MATCHUP_TABLES = ("matches", "teams", "players", "facts", "timeline")
 
 
 def _season_matchups(t: MatchTables) -> DataFrame:
@@ -181,13 +186,13 @@ def _season_matchups(t: MatchTables) -> DataFrame:
 
 @over_matches("matchup_context")
 def _matchup_context(t: MatchTables) -> DataFrame:
-    stored = t.with_stored_facts()
+    stored = t.stored(*MATCHUP_TABLES)
     return M.context_lines(stored, SCOPE, _season_matchups(stored))
 
 
 @over_matches("prompt_batch")
 def _prompt_batch(t: MatchTables) -> DataFrame:
-    stored = t.with_stored_facts()
+    stored = t.stored(*MATCHUP_TABLES)
     docs = D.tactical_patterns(stored, SCOPE).unionByName(D.player_documents(stored, SCOPE))
     embedded = materialise(V.embed_pending(D.as_rows(docs)), "documents")
     teams = stored.teams
@@ -401,9 +406,14 @@ def _run_log_state(t: MatchTables) -> DataFrame:
 
 # ---------------------------------------------------------------- quality
 
+# everything but the events themselves, whose checks read narrow columns of the stream
+DERIVED_TABLES = (
+    "seasons", "competitions", "teams", "players", "matches", "lineups", "positions", "facts", "timeline",
+)
+
 over_matches("dq_schema")(lambda t: Q.check_schema(t.named()))
-over_matches("dq_keys")(lambda t: Q.check_keys(t.with_stored_facts().named()))
-over_matches("dq_foreign_keys")(lambda t: Q.check_foreign_keys(t.with_stored_facts().named()))
+over_matches("dq_keys")(lambda t: Q.check_keys(t.stored(*DERIVED_TABLES).named()))
+over_matches("dq_foreign_keys")(lambda t: Q.check_foreign_keys(t.stored(*DERIVED_TABLES).named()))
 over_matches("dq_matches")(lambda t: Q.check_matches(t, SCOPE, FOCUS_TEAM))
 over_matches("dq_event_profile")(Q.check_event_profile)
 over_matches("dq_lineups")(Q.check_lineups)

@@ -146,6 +146,7 @@ class Warehouse:
 
     def tables(self) -> MatchTables:
         return MatchTables(
+            persistent=True,
             competitions=lambda: self.read("competitions"),
             seasons=lambda: self.read("seasons"),
             teams=lambda: self.read("teams"),

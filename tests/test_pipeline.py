@@ -238,3 +238,11 @@ def test_first_team_row_wins(spark):
     raw = spark.createDataFrame([{k: v for k, v in d.items()} for d in data], S.RAW_MATCHES)
     out = {r.team_id: (r.country_name, r.team_gender) for r in normalise.teams(raw).collect()}
     assert out == {10: ("first", "male"), 20: (None, None)}
+
+
+def test_stored_tables_are_written_once(spark, tables, place):
+    again = tables.stored("teams")
+    assert rows(again.teams.orderBy("team_id"), "team_id") == rows(tables.teams.orderBy("team_id"), "team_id")
+    assert again.teams.inputFiles() and "events.parquet" not in again.teams.inputFiles()[0]
+    kept = Warehouse(spark, str(place / "wh")).tables()
+    assert kept.stored("teams", "facts") is kept
