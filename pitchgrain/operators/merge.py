@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchgrain.operators.choose import keep_one
-
 
 def merge_latest(
     existing: DataFrame,
