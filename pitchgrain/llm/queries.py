@@ -4,22 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitchgrain.llm import exact_dedup
+from pitchgrain.llm import decontamination, exact_dedup, line_dedup, packing
 from pitchgrain.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.drop_boilerplate(docs, counts=True).drop("source")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = decontamination.scan(docs, items)
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.drop("ids")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op4_line_dedup": op4_line_dedup,
+    "op5_decontamination": op5_decontamination,
+    "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE,
+    "op5_decontamination": decontamination.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
 }

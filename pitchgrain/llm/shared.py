@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchgrain.session import materialise
 
-__all__ = ["materialise", "read_table", "text_or_empty"]
+__all__ = ["fresh_name", "materialise", "read_table", "text_or_empty"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,3 +16,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it a name that no column has (in either case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
