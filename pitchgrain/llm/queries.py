@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, line_dedup, packing
+from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing
 from pitchgrain.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,15 +35,21 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_decontamination": decontamination.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op10_near_dedup": near_dedup.ORACLE,
 }
