@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing
+from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing, substring_dedup
 from pitchgrain.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.strip_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_near_dedup": op10_near_dedup,
 }
 

@@ -1,4 +1,4 @@
-"""What several operators need: reading one table and writing intermediate tables."""
+"""What several operators need: reading one table, and tables written between steps."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchgrain.session import materialise
 
-__all__ = ["fresh_name", "materialise", "read_table", "text_or_empty"]
+__all__ = ["discard", "fresh_name", "materialise", "read_table", "text_or_empty"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +15,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_or_empty(text: str = "text") -> Column:
-    return F.coalesce(F.col(text), F.lit(""))
+    return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
 def fresh_name(df: DataFrame, name: str) -> str:
@@ -24,3 +24,12 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables from ``materialise`` that nothing will read again."""
+    for df in written:
+        files = df.inputFiles()
+        if files:
+            jvm, path = df.sparkSession._jvm, df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
