@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing, substring_dedup
+from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing, substring_dedup, warc
 from pitchgrain.llm.shared import read_table
+from pitchgrain.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_root(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write(read_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.drop_boilerplate(docs, counts=True).drop("source")
@@ -45,6 +53,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
@@ -54,6 +63,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": warc.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_decontamination": decontamination.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
