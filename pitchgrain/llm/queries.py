@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing, substring_dedup, warc
+from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing, paragraph_dedup, substring_dedup, warc
 from pitchgrain.llm.shared import read_table
 from pitchgrain.session import checkpoint_root
 
@@ -39,6 +39,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+def op7_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return paragraph_dedup.drop_repeats(docs, report=True).drop("removed", "kept_in")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
+    "op7_paragraph_dedup": op7_paragraph_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_near_dedup": op10_near_dedup,
@@ -66,6 +72,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_warc": warc.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_decontamination": decontamination.ORACLE,
+    "op7_paragraph_dedup": paragraph_dedup.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op10_near_dedup": near_dedup.ORACLE,
 }
