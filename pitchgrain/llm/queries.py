@@ -9,13 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, line_dedup, near_dedup, packing, paragraph_dedup, substring_dedup, warc
+from pitchgrain.llm import decontamination, exact_dedup, html_text, line_dedup, near_dedup, packing, paragraph_dedup, substring_dedup, warc
 from pitchgrain.llm.shared import read_table
 from pitchgrain.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     warc.write(read_table(spark, sf_dir, "pages"), path)
@@ -58,6 +62,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_html_text": op2_html_text,
     "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
