@@ -9,13 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, html_text, line_dedup, near_dedup, packing, paragraph_dedup, substring_dedup, warc
+from pitchgrain.llm import decontamination, exact_dedup, html_text, line_dedup, near_dedup, packing, paragraph_dedup, quality, substring_dedup, warc
 from pitchgrain.llm.shared import read_table
 from pitchgrain.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality.quality_scores(docs, labels)
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
@@ -62,6 +67,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_html_text": op2_html_text,
     "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
