@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchgrain.llm.shared import materialise
 
+#: Nodes outside a bucket's largest component that are compared one by one.
+OUTSIDE = 16
+
 
 def components(links: DataFrame) -> DataFrame:
     """node, label of all nodes in ``links`` (a, b); two nodes share a label if links connect them.
@@ -36,40 +40,63 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def linked(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    percent: int,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """node, label of all nodes that links connect with others.
 
     ``members`` (key, node, size) are the buckets: nodes that share a key may be linked. ``verify``
-    returns those of given pairs (a, b) that are. First each bucket's nodes are paired with its
-    smallest one, its hub. Where that leaves a bucket in several components, its nodes outside the
-    largest are paired with all of its nodes of other components. After that every pair of a bucket
-    is tested or connected already, so nothing is lost, and a bucket of many copies of one text costs
-    a pair a node instead of all pairs. Pairs whose sizes alone exclude the link are left out.
+    returns those of given pairs (a, b) that are. First each bucket's nodes are paired with its hub,
+    that node whose buckets are largest, as the original among its copies is. Where that leaves a
+    bucket in several components, its nodes outside the largest are paired with all its nodes of
+    other components. After that every pair of a bucket is tested or connected already, and a bucket
+    of many copies of one text costs a pair a node instead of all pairs.
+
+    A bucket with more than ``OUTSIDE`` nodes outside its largest component mostly holds texts that
+    only share a passage. ``refine`` gives the nodes of such buckets finer buckets (key, node, size) in
+    which linked nodes meet again as surely as before, and those are worked alike. Pairs whose sizes
+    alone exclude the link are left out.
     """
 
     def possible(pairs: DataFrame) -> DataFrame:
         fits = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
-        return pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    hubs = members.groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub"), F.count(F.lit(1)).alias("n"))
-    hubs = materialise(hubs.where("n > 1").select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size")), "hubs")
-    shared = materialise(members.join(hubs, "key"), "buckets")
-    stars = shared.where("node <> hub").select(
-        F.col("hub").alias("a"), F.col("node").alias("b"), F.col("hub_size").alias("size_a"), F.col("size").alias("size_b")
-    )
-    tested = materialise(possible(stars), "pairs")
-    links = materialise(verify(tested), "links")
-    labels = components(links)
-
-    placed = shared.select("key", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    placed = materialise(placed, "placed")
-    parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    core = parts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("core"), F.count(F.lit(1)).alias("parts"))
-    split = materialise(core.where("parts > 1").select("key", "core"), "split")
-    open_ = materialise(placed.join(split, "key"), "open")
-    left = open_.where("label <> core").select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("label").alias("label_a"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
-    rest = possible(left.join(right, "key").where("label_a <> label_b"))
-    rest = materialise(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
-    more = materialise(verify(rest), "links")
-    return labels if more.isEmpty() else components(links.union(more))
+        pairs = pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for old in tested:
+            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        return materialise(pairs, "pairs")
+
+    def learn(pairs: DataFrame) -> DataFrame:
+        tested.append(pairs)
+        links.append(materialise(verify(pairs), "links"))
+        return components(reduce(DataFrame.union, links))
+
+    tested: list[DataFrame] = []
+    links: list[DataFrame] = []
+    while True:
+        counts = materialise(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
+        shared = materialise(members.join(counts, "key"), "shared")
+        weights = materialise(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+        weighed = materialise(shared.join(weights, "node"), "weighed")
+        hub = F.max(F.struct("weight", -F.col("node"), "size"))
+        hubs = weighed.groupBy("key").agg(hub.alias("h")).select("key", (-F.col("h")["col2"]).alias("a"), F.col("h.size").alias("size_a"))
+        stars = shared.select("key", F.col("node").alias("b"), F.col("size").alias("size_b")).join(materialise(hubs, "hubs"), "key").where("a <> b")
+        labels = learn(possible(stars))
+
+        placed = shared.select("key", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        placed = materialise(placed, "placed")
+        parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+        core = parts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("core"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        split = core.where("parts > 1").select("key", F.col("core.label").alias("core"), (F.col("n") - F.col("core.n")).alias("outside"))
+        open_ = materialise(placed.join(materialise(split, "split"), "key"), "open")
+        few = open_.where(F.col("outside") <= OUTSIDE) if refine else open_
+        left = few.where("label <> core").select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("label").alias("label_a"))
+        right = few.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
+        rest = possible(left.join(right, "key").where("label_a <> label_b"))
+        labels = labels if rest.isEmpty() else learn(rest)
+        crowded = open_.where(F.col("outside") > OUTSIDE).select("node").distinct()
+        if not refine or crowded.isEmpty():
+            return labels
+        members, refine = materialise(refine(crowded), "finer"), None
