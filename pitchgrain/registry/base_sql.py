@@ -81,66 +81,73 @@ TABLES: dict[str, str] = {
         SELECT DISTINCT user_id AS player_id, 'Player ' || user_id AS player_name,
                CASE WHEN user_id % 2 = 1 THEN 'Nick ' || user_id END AS player_nickname FROM b""",
     "season": "SELECT DISTINCT competition_id, season_id FROM m",
-    "maxmin": "SELECT match_id, max(minute) AS mm FROM ev GROUP BY match_id",
-    "stint": """
-        SELECT p.*, CASE WHEN from_minute IS NULL THEN 0
-                         ELSE greatest(coalesce(to_minute, mm) - from_minute, 0) END AS len
-        FROM pos p JOIN maxmin USING (match_id)""",
-    "mins": "SELECT match_id, player_id, sum(len) AS minutes FROM stint GROUP BY ALL",
-    "prime": """
-        SELECT DISTINCT ON (match_id, player_id) match_id, player_id, position_name
-        FROM stint
-        ORDER BY match_id, player_id, len DESC, from_period NULLS LAST, from_minute NULLS LAST,
-                 ordinal""",
-    "es": """
-        SELECT match_id, player_id, max(team_id) AS team_id,
-               count(*) FILTER (WHERE type = 'Pass') AS passes_attempted,
-               count(*) FILTER (WHERE type = 'Pass' AND outcome IS NULL) AS passes_completed,
-               count(*) FILTER (WHERE type = 'Shot') AS shots,
-               count(*) FILTER (WHERE type = 'Shot' AND outcome IN ('Goal', 'Saved'))
-                 AS shots_on_target,
-               count(*) FILTER (WHERE type = 'Shot' AND outcome = 'Goal') AS goals,
-               count(*) FILTER (WHERE type = 'Pass' AND assist_key IS NOT NULL) AS assists,
-               coalesce(sum(xg), 0) AS xg,
-               count(*) FILTER (WHERE type = 'Duel' AND duel = 'Tackle') AS tackles,
-               count(*) FILTER (WHERE type = 'Interception') AS interceptions,
-               count(*) FILTER (WHERE type = 'Pressure') AS pressures,
-               count(*) FILTER (WHERE type = 'Block') AS blocks,
-               count(*) FILTER (WHERE type = 'Dribble') AS dribbles_attempted,
-               count(*) FILTER (WHERE type = 'Dribble' AND outcome IS NULL) AS dribbles_completed,
-               count(*) FILTER (WHERE type = 'Carry') AS carries,
-               count(*) FILTER (WHERE card = 'Yellow Card') AS yellow_cards,
-               count(*) FILTER (WHERE card IN ('Red Card', 'Second Yellow')) AS red_cards
-        FROM ev WHERE player_id IS NOT NULL GROUP BY match_id, player_id""",
+    # ---- one long list of what each event adds to its player, as (metric, weight)
+    "adds": """
+        SELECT match_id, player_id, team_id, unnest([
+               {'m': 'attempt', 'w': (type = 'Pass')::INT::DECIMAL(18,4)},
+               {'m': 'arrived', 'w': (type = 'Pass' AND outcome IS NULL)::INT},
+               {'m': 'assist', 'w': (type = 'Pass' AND assist_key IS NOT NULL)::INT},
+               {'m': 'shot', 'w': (type = 'Shot')::INT},
+               {'m': 'target', 'w': (type = 'Shot' AND outcome IN ('Goal', 'Saved'))::INT},
+               {'m': 'goal', 'w': (type = 'Shot' AND outcome = 'Goal')::INT},
+               {'m': 'chance', 'w': coalesce(xg, 0)},
+               {'m': 'tackle', 'w': (type = 'Duel' AND duel = 'Tackle')::INT},
+               {'m': type, 'w': 1},
+               {'m': 'dribbled', 'w': (type = 'Dribble' AND outcome IS NULL)::INT},
+               {'m': 'yellow', 'w': (card = 'Yellow Card')::INT},
+               {'m': 'red', 'w': (card IN ('Red Card', 'Second Yellow'))::INT}], recursive := true)
+        FROM ev WHERE player_id IS NOT NULL""",
+    "tally": """
+        SELECT match_id, player_id, max(team) AS team, map_from_entries(list((m, total))) AS v
+        FROM (SELECT match_id, player_id, m, max(team_id) AS team, sum(coalesce(w, 0)) AS total
+              FROM adds GROUP BY ALL)
+        GROUP BY ALL""",
+    # ---- stints written out minute by minute
+    "on_pitch": """
+        SELECT pos.*, len(range(CASE WHEN from_minute IS NULL THEN 0 ELSE from_minute END,
+                                CASE WHEN from_minute IS NULL THEN 0 ELSE coalesce(to_minute, final) END)) AS stayed
+        FROM pos JOIN (SELECT match_id, max(minute) AS final FROM ev GROUP BY 1) USING (match_id)""",
+    "squad": """
+        SELECT match_id, player_id, any_value(team_id) AS squad_team, sum(stayed) AS minutes,
+               bool_or(start_reason = 'Starting XI') AS began,
+               arg_min(position_name, {'s': -stayed, 'p': coalesce(from_period, 99),
+                                       'm': coalesce(from_minute, 9999), 'o': ordinal}) AS place
+        FROM on_pitch GROUP BY 1, 2""",
     "fact": """
-        SELECT es.match_id, es.player_id, coalesce(lu.team_id, es.team_id) AS team_id,
-               coalesce(minutes, 0) AS minutes_played, coalesce(is_starter, false) AS is_starter,
-               position_name AS position_played, passes_attempted, passes_completed,
+        SELECT match_id, player_id, team_id, coalesce(minutes, 0) AS minutes_played,
+               coalesce(began, false) AS is_starter, place AS position_played,
+               passes_attempted, passes_completed,
                CASE WHEN passes_attempted > 0
                     THEN ((20000 * passes_completed + passes_attempted)
                           // (2 * passes_attempted)) / 10000.0 END AS pass_completion_rate,
-               shots, shots_on_target, goals, assists, es.xg, tackles, interceptions, pressures,
-               blocks, dribbles_attempted, dribbles_completed, carries, yellow_cards, red_cards,
+               * EXCLUDE (match_id, player_id, team_id, minutes, began, place, passes_attempted, passes_completed),
                tackles + interceptions + pressures + blocks AS def
-        FROM es LEFT JOIN mins USING (match_id, player_id)
-                LEFT JOIN lu USING (match_id, player_id)
-                LEFT JOIN prime USING (match_id, player_id)
-        WHERE coalesce(lu.team_id, es.team_id) IS NOT NULL""",
-    "fe": """
-        SELECT match_id, team_id, idx, coalesce(minute, 0) AS from_minute, formation, type
+        FROM (SELECT match_id, player_id, coalesce(squad_team, team) AS team_id, minutes, began, place,
+                     v['attempt']::BIGINT AS passes_attempted, v['arrived']::BIGINT AS passes_completed,
+                     v['shot']::BIGINT AS shots, v['target']::BIGINT AS shots_on_target,
+                     v['goal']::BIGINT AS goals, v['assist']::BIGINT AS assists, v['chance'] AS xg,
+                     v['tackle']::BIGINT AS tackles, coalesce(v['Interception'], 0)::BIGINT AS interceptions,
+                     coalesce(v['Pressure'], 0)::BIGINT AS pressures, coalesce(v['Block'], 0)::BIGINT AS blocks,
+                     coalesce(v['Dribble'], 0)::BIGINT AS dribbles_attempted,
+                     v['dribbled']::BIGINT AS dribbles_completed, coalesce(v['Carry'], 0)::BIGINT AS carries,
+                     v['yellow']::BIGINT AS yellow_cards, v['red']::BIGINT AS red_cards
+              FROM tally LEFT JOIN squad USING (match_id, player_id))
+        WHERE team_id IS NOT NULL""",
+    # ---- shapes of a team in a match as one list, of which what repeats the one before is dropped
+    "shapes": """
+        SELECT match_id, team_id, type, formation, {'i': idx, 'at': coalesce(minute, 0), 'f': formation, 't': type} AS shape
         FROM ev WHERE formation IS NOT NULL""",
-    "fc": """
-        SELECT *, lag(formation) OVER (PARTITION BY match_id, team_id ORDER BY idx) AS prev
-        FROM fe""",
-    "fd": """
-        SELECT DISTINCT ON (match_id, team_id, from_minute) * FROM fc
-        WHERE prev IS DISTINCT FROM formation
-        ORDER BY match_id, team_id, from_minute, idx DESC""",
+    "turns": """
+        SELECT match_id, team_id, unnest(list_filter(all_shapes, lambda s, i: i = 1 OR s.f <> all_shapes[i - 1].f)) AS s
+        FROM (SELECT match_id, team_id, list(shape ORDER BY shape.i) AS all_shapes FROM shapes GROUP BY ALL)""",
+    "lasting": """
+        SELECT match_id, team_id, list(last ORDER BY last.i) AS seq
+        FROM (SELECT match_id, team_id, s.at AS minute, arg_max(s, s.i) AS last FROM turns GROUP BY ALL)
+        GROUP BY ALL""",
     "tl": """
-        SELECT match_id, team_id, from_minute,
-               lead(from_minute) OVER (PARTITION BY match_id, team_id ORDER BY idx) AS to_minute,
-               formation AS formation_code, type AS source_event_type
-        FROM fd""",
+        SELECT match_id, team_id, seq[n].at AS from_minute, seq[n + 1].at AS to_minute,
+               seq[n].f AS formation_code, seq[n].t AS source_event_type
+        FROM lasting, unnest(range(1, len(seq) + 1)) AS u(n)""",
     "ms": "SELECT * FROM m WHERE competition_id = 43 AND season_id = 106",
     "fs": "SELECT f.* FROM fact f WHERE match_id IN (SELECT match_id FROM ms)",
     "sides": """
@@ -163,30 +170,31 @@ TABLES: dict[str, str] = {
         FROM (SELECT team_id, formation_code, min(match_id * 1000 + from_minute) AS first_use
               FROM tl WHERE match_id IN (SELECT match_id FROM ms) GROUP BY ALL)
         GROUP BY team_id""",
-    "fav": """
-        SELECT DISTINCT ON (player_id) player_id, position_played AS position
-        FROM (SELECT player_id, position_played, sum(minutes_played) AS mins FROM fact
-              WHERE position_played IS NOT NULL GROUP BY ALL)
-        ORDER BY player_id, mins DESC NULLS LAST, position_played""",
+    "liking": """
+        SELECT player_id, arg_min(place, {'m': -mins, 'p': place}) AS position
+        FROM (SELECT player_id, position_played AS place, sum(minutes_played) AS mins FROM fact GROUP BY ALL)
+        WHERE place IS NOT NULL GROUP BY player_id""",
     "prof": """
-        SELECT f.player_id, player_name, f.team_id, team_name, position,
-               count(DISTINCT match_id) AS matches, sum(minutes_played) AS minutes,
-               sum(passes_attempted) AS passes_attempted, sum(passes_completed) AS passes_completed,
-               sum(goals) AS goals, sum(assists) AS assists, sum(shots) AS shots, sum(xg) AS xg,
-               sum(tackles) AS tackles, sum(interceptions) AS interceptions,
-               sum(pressures) AS pressures, sum(blocks) AS blocks
-        FROM fs f JOIN player USING (player_id) JOIN team USING (team_id)
-             LEFT JOIN fav USING (player_id)
-        GROUP BY ALL HAVING sum(minutes_played) > 0""",
+        SELECT *, (SELECT any_value(player_name) FROM player p WHERE p.player_id = x.player_id) AS player_name,
+               (SELECT any_value(team_name) FROM team t WHERE t.team_id = x.team_id) AS team_name,
+               (SELECT any_value(position) FROM liking l WHERE l.player_id = x.player_id) AS position
+        FROM (SELECT player_id, team_id, count(DISTINCT match_id) AS matches, sum(minutes_played) AS minutes,
+                     sum(COLUMNS('^(passes_attempted|passes_completed|goals|assists|shots|xg|tackles|interceptions|pressures|blocks)$'))
+              FROM fs GROUP BY player_id, team_id) x
+        WHERE minutes > 0""",
+    # ---- a match's sums, and each side's share of them; the other side has the rest
+    "share": "SELECT match_id, team_id, sum(xg) AS xg, sum(def) AS def FROM fact GROUP BY ALL",
     "vs": """
-        SELECT s.match_id, s.team_id, match_date, competition_stage, opponent_id,
-               ot.team_name AS opponent_name, home_score, away_score, team_score, opp_score,
-               sum(f.xg) FILTER (WHERE f.team_id = s.team_id) AS team_xg,
-               sum(f.xg) FILTER (WHERE f.team_id <> s.team_id) AS opp_xg,
-               sum(def) FILTER (WHERE f.team_id = s.team_id) AS team_def,
-               sum(def) FILTER (WHERE f.team_id <> s.team_id) AS opp_def
-        FROM sides s JOIN team ot ON ot.team_id = opponent_id JOIN fact f ON f.match_id = s.match_id
-        GROUP BY ALL""",
+        SELECT s.match_id, s.team_id, s.match_date, s.competition_stage, s.opponent_id, team_name AS opponent_name,
+               s.home_score, s.away_score, s.team_score, s.opp_score,
+               own.xg AS team_xg, own.def AS team_def,
+               nullif(total.parts, (own.team_id IS NOT NULL)::INT) * 0 + total.xg - coalesce(own.xg, 0) AS opp_xg,
+               nullif(total.parts, (own.team_id IS NOT NULL)::INT) * 0 + total.def - coalesce(own.def, 0) AS opp_def
+        FROM sides s
+        JOIN (SELECT match_id, sum(xg) AS xg, sum(def) AS def, count(*) AS parts FROM share GROUP BY 1) total
+          ON total.match_id = s.match_id
+        LEFT JOIN share own ON own.match_id = s.match_id AND own.team_id = s.team_id
+        JOIN team ON team.team_id = s.opponent_id""",
 }
 
 

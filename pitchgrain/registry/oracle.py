@@ -83,14 +83,11 @@ says(
     SELECT result, count(*) AS team_matches,
            round(avg(CAST(pc AS DOUBLE) / pa), 4) AS avg_pass_completion_rate,
            {half_up('sum(pa)', 'count(*)', 1)} AS avg_passes_attempted
-    FROM tmp WHERE pa > 0 GROUP BY result""",
-    tmp="""
-    SELECT s.match_id, s.team_id,
-           CASE WHEN team_score > opp_score THEN 'win' WHEN team_score = opp_score THEN 'draw'
-                ELSE 'loss' END AS result,
-           sum(passes_attempted) AS pa, sum(passes_completed) AS pc
-    FROM sides s JOIN fact f ON f.match_id = s.match_id AND f.team_id = s.team_id
-    GROUP BY ALL""",
+    FROM results JOIN passing USING (match_id, team_id) WHERE pa > 0 GROUP BY result""",
+    results="""
+    SELECT match_id, team_id, ['loss', 'draw', 'win'][2 + sign(team_score - opp_score)::INT] AS result FROM sides""",
+    passing="""
+    SELECT match_id, team_id, sum(passes_attempted) AS pa, sum(passes_completed) AS pc FROM fact GROUP BY ALL""",
 )
 says(
     "pass_under_pressure",
@@ -104,15 +101,12 @@ says(
 says(
     "pass_pressure_drop",
     f"""
-    SELECT {half_up('c0', 'n0', 4)} AS rate_no_pressure, {half_up('c1', 'n1', 4)} AS rate_under_pressure,
-           round((CAST(c0 AS DOUBLE) / n0 - CAST(c1 AS DOUBLE) / n1) * 100, 2) AS drop_pp
-    FROM cnt""",
-    cnt="""
-    SELECT count(*) FILTER (WHERE under_pressure IS NOT TRUE) AS n0,
-           count(*) FILTER (WHERE under_pressure IS TRUE) AS n1,
-           count(*) FILTER (WHERE under_pressure IS NOT TRUE AND outcome IS NULL) AS c0,
-           count(*) FILTER (WHERE under_pressure IS TRUE AND outcome IS NULL) AS c1
-    FROM ev WHERE type = 'Pass'""",
+    SELECT {half_up('calm.good', 'calm.n', 4)} AS rate_no_pressure, {half_up('hot.good', 'hot.n', 4)} AS rate_under_pressure,
+           round((CAST(calm.good AS DOUBLE) / calm.n - CAST(hot.good AS DOUBLE) / hot.n) * 100, 2) AS drop_pp
+    FROM (SELECT * FROM passes WHERE NOT pressed) calm, (SELECT * FROM passes WHERE pressed) hot""",
+    passes="""
+    SELECT coalesce(under_pressure, false) AS pressed, count(*) AS n, count(*) - count(outcome) AS good
+    FROM ev WHERE type = 'Pass' GROUP BY 1""",
 )
 says(
     "opponent_defense",
@@ -144,10 +138,9 @@ says(
     f"""
     SELECT competition_stage, count(*) AS matches,
            {half_up('sum(def)', 'count(*)', 0)} AS avg_def_actions_per_match
-    FROM md JOIN stage USING (competition_stage) GROUP BY competition_stage""",
-    md="""
-    SELECT match_id, competition_stage, sum(def) AS def FROM ms JOIN fact USING (match_id)
-    GROUP BY ALL""",
+    FROM ms JOIN defended USING (match_id) WHERE competition_stage IN (SELECT competition_stage FROM stage)
+    GROUP BY competition_stage""",
+    defended="SELECT match_id, sum(def) AS def FROM share GROUP BY match_id",
 )
 says(
     "xg_balance",
@@ -1023,12 +1016,12 @@ says(
     "dq_formations",
     union(
         [
-            finding("formation type", "type", "count(*)", "NULL", "'ok'", "fe GROUP BY type"),
-            finding("formation code", "formation", "count(*)", "NULL", "'ok'", "fe GROUP BY formation"),
+            finding("formation type", "type", "count(*)", "NULL", "'ok'", "shapes GROUP BY type"),
+            finding("formation code", "formation", "count(*)", "NULL", "'ok'", "shapes GROUP BY formation"),
             finding("formation reports", "'events'", "n", "games", judged("n >= games", "warn"), "two"),
         ]
     ),
-    two="SELECT (SELECT count(*) FROM fe) AS n, (SELECT count(*) FROM m) AS games",
+    two="SELECT (SELECT count(*) FROM shapes) AS n, (SELECT count(*) FROM m) AS games",
 )
 says(
     "dq_feasibility",
