@@ -15,15 +15,15 @@ def nulls_last(col: Column) -> list[Column]:
     return [col.isNull(), col]
 
 
-def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The row with the smallest ``order`` per key.
+def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False) -> DataFrame:
+    """The row with the smallest (or ``last``) ``order`` per key.
 
     An aggregate, not a window: each task first reduces its own rows to one per key, so a key
     that holds most of the input never travels to a single task.
     """
     rest = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_row"))
+    best = df.groupBy(*keys).agg((F.max_by if last else F.min_by)(row, F.struct(*order)).alias("_row"))
     return best.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest]).select(*df.columns)
 
 

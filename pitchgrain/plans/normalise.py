@@ -1,17 +1,17 @@
 """Raw landing rows to staging rows, as column expressions.
 
-``row_order`` on raw matches and line-ups says which row came first; without it the match id
-(and the player id within a match) decides.
+Which raw match or line-up came first is said by ``row_order`` where it is filled, then by
+``feed_order``, the place in the files, and at last by the row's own keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchgrain import schemas as S
 from pitchgrain.functions import clean as C
-from pitchgrain.operators.choose import keep_one
+from pitchgrain.operators.choose import keep_one, nulls_last
 from pitchgrain.operators.skew import spread_join
 
 
@@ -38,8 +38,10 @@ def _cleaned(df: DataFrame, name: str) -> Column:
     return C.clean(F.col(f"`{name}`"), df.schema[name].dataType)
 
 
-def _order(df: DataFrame, fallback: str) -> Column:
-    return F.col("row_order" if "row_order" in df.columns else fallback).cast("bigint")
+def _order(df: DataFrame, *keys: str) -> Column:
+    known = [c for c in ("row_order", "feed_order") if c in df.columns]
+    parts = [part for name in (*known, *keys) for part in nulls_last(F.col(name))]
+    return F.struct(*(part.alias(f"o{i}") for i, part in enumerate(parts)))
 
 
 def competitions(raw: DataFrame) -> DataFrame:
@@ -79,7 +81,7 @@ def _raw_sides(raw: DataFrame) -> DataFrame:
         )
 
     both = F.explode(F.array(side(0, "home"), side(1, "away")))
-    return raw.select("match_id", _order(raw, "match_id").alias("match_order"), both.alias("s")).select(
+    return raw.select("match_id", _order(raw, "match_date", "match_id").alias("match_order"), both.alias("s")).select(
         "match_id", "match_order", "s.*"
     )
 
@@ -105,9 +107,9 @@ def players(raw_lineups: DataFrame, raw_matches: DataFrame) -> DataFrame:
         _order(raw_lineups, "player_id").alias("_row"),
     )
     per_match = keep_one(rows, ["match_id", "player_id"], [F.col("_row")])
-    order = raw_matches.select("match_id", _order(raw_matches, "match_id").alias("_match"))
+    order = raw_matches.select("match_id", _order(raw_matches, "match_date", "match_id").alias("_match"))
     placed = spread_join(per_match, order, ["match_id"], ["player_id"])
-    last = keep_one(placed, ["player_id"], [-F.col("_match")])
+    last = keep_one(placed, ["player_id"], [F.col("_match")], last=True)
     return _typed(last, S.PLAYERS, {})
 
 
@@ -183,6 +185,9 @@ def positions(raw_lineups: DataFrame, raw_matches: DataFrame) -> DataFrame:
         _order(raw_lineups, "player_id").alias("_row"),
         F.posexplode(_stints(raw_lineups)).alias("_pos", "p"),
     )
+    # a player has a handful of stints in a match, so their numbering sorts small groups
+    stints = Window.partitionBy("match_id", "team_id", "player_id").orderBy("_row", "_pos")
+    flat = flat.withColumn("_stint", F.row_number().over(stints) - 1)
 
     def text(name: str) -> Column:
         return C.clean_text(F.col("p").getField(name))
@@ -199,8 +204,7 @@ def positions(raw_lineups: DataFrame, raw_matches: DataFrame) -> DataFrame:
         flat,
         S.POSITIONS,
         {
-            # a row order may be large; the stint number within a row is small
-            "ordinal": F.col("_row") * 1024 + F.col("_pos"),
+            "ordinal": F.col("_stint"),
             "position_name": F.col("p").getField("position"),
             "statsbomb_position_id": number("position_id"),
             "from_period": number("from_period"),

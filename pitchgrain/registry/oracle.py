@@ -728,12 +728,15 @@ says(
 says(
     "lineup_positions",
     f"""
-    SELECT {big('match_id', 'team_id', 'player_id')}, CAST(ordinal * 1024 AS BIGINT) AS ordinal,
+    SELECT {big('match_id', 'team_id', 'player_id')}, 
+           row_number() OVER (PARTITION BY match_id, team_id, player_id ORDER BY ordinal) - 1 AS ordinal,
            position_name, CAST(NULL AS BIGINT) AS statsbomb_position_id,
            {big('from_period', 'from_minute')}, CAST(NULL AS BIGINT) AS to_period,
            {big('to_minute')}, start_reason, CAST(NULL AS VARCHAR) AS end_reason
     FROM pos""",
 )
+for _name, _same in (("teams", "teams_dim"), ("players", "players_dim"), ("lineups", "lineups"), ("positions", "lineup_positions")):
+    STATEMENTS[f"landed_{_name}"] = STATEMENTS[_same]
 says(
     "unplaced_lineups",
     """

@@ -6,6 +6,7 @@ dates), so that they compare equal with another engine's.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -29,6 +30,7 @@ from pitchgrain.plans import reporting as R
 from pitchgrain.plans import search as V
 from pitchgrain.plans.runlog import run_states
 from pitchgrain.plans.tables import MatchTables
+from pitchgrain.sources.landing import Landing
 from pitchgrain.sources.match_events import (
     base_stream,
     raw_competitions,
@@ -38,7 +40,7 @@ from pitchgrain.sources.match_events import (
     read_tables,
 )
 from pitchgrain.sql import run_statement
-from pitchgrain.session import materialise
+from pitchgrain.session import checkpoint_root, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SCOPE = Scope()
@@ -307,6 +309,36 @@ over_landing("normalize_events")(lambda b: N.events(raw_events(b)).drop("payload
 over_landing("event_payload")(lambda b: N.events(raw_events(b)).select("event_id", "payload"))
 over_landing("lineups")(lambda b: N.lineups(raw_lineups(b), raw_matches(b)))
 over_landing("lineup_positions")(lambda b: N.positions(raw_lineups(b), raw_matches(b)))
+
+
+def landed(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Line-ups and matches written as files without an order column and read back through ``Landing``.
+
+    The files' order is that of ``row_order``, which only the file names and lines tell afterwards.
+    """
+    spark = base.sparkSession
+    root = f"{checkpoint_root(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    for feed, rows, keys in (
+        ("matches", raw_matches(base), ["row_order"]),
+        ("lineups", raw_lineups(base), ["match_id", "row_order"]),
+    ):
+        placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        placed.drop("row_order").write.json(f"{root}/{feed}")
+    land = Landing(spark, root)
+    return land.in_feed_order(land.read("lineups")), land.in_feed_order(land.read("matches"))
+
+
+def over_landed(name: str, build: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return plain(build(*landed(base_stream(spark, f"{sf_dir}/events.parquet"))))
+
+    QUERIES[name] = run
+
+
+over_landed("landed_teams", lambda _, matches: N.teams(matches))
+over_landed("landed_players", N.players)
+over_landed("landed_lineups", N.lineups)
+over_landed("landed_positions", N.positions)
 over_landing("unplaced_lineups")(
     lambda b: N.unplaced_lineups(
         # matches won by the away side land with that side misspelt

@@ -2,7 +2,8 @@
 
 A landing folder has one sub-folder per feed: competitions, matches, events, lineups. Events and
 line-ups of all matches are one distributed scan, not a loop over matches. A feed laid out by
-competition_id=/season_id= folders is pruned to the scope.
+competition_id=/season_id= folders is pruned to the scope. Matches and line-ups carry their place in
+the feed, which decides what came first where the feed has no order of its own.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitchgrain import schemas as S
 from pitchgrain.operators.choose import where_in
@@ -32,6 +34,19 @@ class Landing:
         path = f"{self.root.rstrip('/')}/{feed}"
         return self.spark.read.format(self.file_format).schema(ddl).load(path)
 
+    def in_feed_order(self, rows: DataFrame) -> DataFrame:
+        """Adds where each row stands in its feed: file, block, and place within the block.
+
+        Row numbers rise within a block whatever filters stand before, so earlier rows of a file stay
+        earlier. Added behind the pushed-down filters, which numbering would otherwise hold up.
+        """
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        return rows.select("*", place.alias("feed_order"))
+
     def competition_row(self, scope: Scope) -> DataFrame:
         """The row of the scope; an error when the feed lacks it."""
         row = scope.filter(self.read("competitions"))
@@ -43,7 +58,7 @@ class Landing:
 
     def matches(self, scope: Scope, match_ids: Iterable[int] | None = None) -> DataFrame:
         """Matches of the scope; any requested id that is missing is an error."""
-        return resolve_matches(self.read("matches"), scope, match_ids)
+        return resolve_matches(self.in_feed_order(scope.filter(self.read("matches"))), scope, match_ids)
 
     def of_matches(
         self, feed: str, scope: Scope, matches: DataFrame, match_ids: Iterable[int] | None = None
@@ -55,6 +70,8 @@ class Landing:
         rows = self.read(feed)
         if set(S.SEASON_KEYS) <= set(rows.columns):
             # folders already say which season a row is of
-            return where_in(scope.filter(rows).drop(*S.SEASON_KEYS), "match_id", match_ids)
+            rows = where_in(scope.filter(rows), "match_id", match_ids)
+            return (self.in_feed_order(rows) if feed == "lineups" else rows).drop(*S.SEASON_KEYS)
         rows = where_in(rows, "match_id", match_ids)
+        rows = self.in_feed_order(rows) if feed == "lineups" else rows
         return rows.join(matches.select("match_id"), "match_id", "left_semi")

@@ -23,7 +23,7 @@ def match(mid, home=10, away=20, season=106, day="2022-12-05", **more):
         "kick_off": "16:00:00.000", "home_team_id": home, "away_team_id": away,
         "home_team": f"T{home}", "away_team": f"T{away}", "home_team_gender": "male",
         "away_team_country_name": " ", "home_score": 1, "away_score": 0,
-        "competition_stage": "Group Stage", "stadium": " ", "referee": "R", "row_order": mid, **more,
+        "competition_stage": "Group Stage", "stadium": " ", "referee": "R", **more,
     }
 
 
@@ -38,8 +38,8 @@ def event(mid, n, kind="Pass", team=10, player=1, **more):
 def lineup(mid, team, player, nickname, positions, order=0):
     return {
         "match_id": mid, "team_name": f"T{team}", "player_id": player, "player_name": f"P{player}",
-        "player_nickname": nickname, "country": "", "jersey_number": 9, "positions": positions,
-        "row_order": order,
+        "player_nickname": nickname, "country": "", "jersey_number": 9 + order,
+        "positions": positions,
     }
 
 

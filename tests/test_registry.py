@@ -3,8 +3,8 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, connect
 from conftest import SF
-
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+from pitchgrain.registry.oracle import STATEMENTS
+from pitchgrain.registry.spark_queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def test_query(spark, duck, name):
 
 def test_every_statement_has_a_query():
     assert set(STATEMENTS) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(STATEMENTS) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
