@@ -20,9 +20,9 @@ table gives no pieces.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,64 +35,62 @@ from pitchgrain.llm.shared import text_or_empty
 
 MOST = 4096
 END_ID = 2
-#: Words that a task remembers before it starts afresh, and characters that it encodes at a time.
-REMEMBERED = 300_000
+#: Pieces that a task remembers before it starts afresh, and characters that it encodes at a time.
+REMEMBERED = 1_000_000
 SLICE_CHARS = 4_000_000
 
+#: Words of letters whose lower case is one letter and which composition leaves alone, then plain signs:
+#: the vocabulary's rule cuts between the two, so each can be encoded, and remembered, for itself.
+PLAIN = "^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,!?|;:%$#&*]*)$"
+
 SCHEMA = (
     "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long"
 )
 
 
-class WordEncoder:
-    """Token ids of words without blanks."""
-
-    # Letters whose lower case is one letter and which composition leaves alone, then plain signs:
-    # the vocabulary's rule cuts between the two, so both parts can be encoded for themselves.
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?|;:%$#&*]*)")
+class Encoder:
+    """Token ids of pieces of text, remembered for the task's next texts."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, list[int]] = {"": []}
 
-    def encode(self, words: list[str]) -> list[list[int]]:
+    def encode(self, pieces: list[str]) -> list[list[int]]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, parts = self.known, {}
-        fresh: dict[str, None] = {}
-        for word in words:
-            if word not in known:
-                plain = self.PLAIN.fullmatch(word)
-                parts[word] = [x for x in (plain[1].lower(), plain[2]) if x] if plain else [word]
-                fresh.update((x, None) for x in parts[word] if x not in known)
+            self.known = {"": []}
+        fresh = [x for x in pieces if x not in self.known]
         if fresh:
-            found = self.tokenizer.encode_batch_fast(list(fresh), add_special_tokens=False)
-            known.update(zip(fresh, (x.ids for x in found), strict=True))
-        for word, pieces in parts.items():
-            known[word] = [i for piece in pieces for i in known[piece]]
-        return [known[word] for word in words]
+            found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+            self.known.update(zip(fresh, (x.ids for x in found), strict=True))
+        return [self.known[x] for x in pieces]
 
 
-def token_ids(texts: pa.Array, encoder: WordEncoder, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+def token_ids(texts: pa.Array, encoder: Encoder, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """All texts' ids in one array, each text's end id last, and where each text begins."""
     split = pc.ascii_split_whitespace(texts)
-    flat = split.flatten()
     counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-    coded = flat.dictionary_encode()
-    encoded = encoder.encode(coded.dictionary.to_pylist())
-    size = np.fromiter((len(x) for x in encoded), np.int64, len(encoded))
-    ids = np.fromiter((i for x in encoded for i in x), np.uint32, int(size.sum()))
+    coded = split.flatten().dictionary_encode()
+    plain = pc.extract_regex(coded.dictionary, PLAIN)
+    head = pc.coalesce(pc.utf8_lower(pc.struct_field(plain, "head")), coded.dictionary)
+    tail = pc.coalesce(pc.struct_field(plain, "tail"), "")
+    pieces = pa.concat_arrays([head, tail]).dictionary_encode()
+    encoded = encoder.encode(pieces.dictionary.to_pylist())
+
+    size = np.fromiter(map(len, encoded), np.int64, len(encoded))
+    ids = np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum()))
     begin = np.cumsum(size) - size
-    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    length = size[word]
+    word = coded.indices.to_numpy(zero_copy_only=False)
+    both = pieces.indices.to_numpy(zero_copy_only=False).reshape(2, -1).T
+    piece = both[word].ravel()
+    length = size[piece]
     ends = np.concatenate(([0], np.cumsum(length)))
-    first = np.concatenate(([0], np.cumsum(counts)))
+    first = 2 * np.concatenate(([0], np.cumsum(counts)))
     per_text = ends[first[1:]] - ends[first[:-1]]
-    source = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[word], length)
+    source = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[piece], length)
     at = np.concatenate(([0], np.cumsum(per_text + 1)))
     out = np.full(at[-1], end_id, np.uint32)
     body = np.ones(at[-1], bool)
@@ -125,7 +123,7 @@ def pack(docs: DataFrame, vocabulary: str, most: int = MOST, end_id: int = END_I
         raise ValueError("the longest sequence must be a power of two")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, used = WordEncoder(vocabulary), TaskContext.get().partitionId(), {}
+        encoder, task, used = Encoder(vocabulary), TaskContext.get().partitionId(), {}
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id")
             for lo, hi in slices(texts):
