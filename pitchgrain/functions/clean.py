@@ -6,21 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BLANK = r"^[\s\p{Z}\x{1C}-\x{1F}\x{85}]*$"  # blanks of all scripts, no-break ones too
+
 
 def clean(col: Column, dtype: T.DataType) -> Column:
     """NULL for a blank string or a NaN; any other value is returned unchanged, untrimmed."""
     if isinstance(dtype, T.StringType):
-        return F.when(F.trim(_all_space(col)) != "", col)
+        return F.when(~F.rlike(col, F.lit(BLANK)), col)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(col), col)
     return col
 
 
-def _all_space(col: Column) -> Column:
-    # trim() strips blanks only; tabs and line ends count as blank here too
-    return F.translate(col, "\t\n\r\f\v", "     ")
-
-
 def clean_text(col: Column) -> Column:
     return clean(col, T.StringType())
 

@@ -23,6 +23,7 @@ QUERY_BLOCK = 2048
 DOC_BLOCK = 20_000
 SCORE_ROWS = 2048
 SCORE_DIGITS = 12  # ranking ignores noise below this, so equal vectors tie and order by id
+MERGE_PARTS = 64  # first step of the merge
 UNDEFINED = -2.0  # below any cosine: a zero vector has none
 
 HITS = "query_id bigint, doc_id bigint, score double, k bigint"
@@ -223,6 +224,8 @@ def cosine_topk(
         F.col("k").cast("int").alias("k"),
         *extra,
     )
+    # a query for nothing finds nothing
+    q = q.filter(F.when(F.col("k") < 0, F.raise_error("k must not be negative")).otherwise(F.col("k") > 0))
     # at most max_shipped + 1 rows ever reach the driver
     head = q.limit(max_shipped + 1).toPandas()
     if len(head) == 0:
@@ -231,6 +234,10 @@ def cosine_topk(
         hits = _shipped(d, QueryBlock.of(head))
     else:
         hits = _blocked(d, q, q.count())
+    # Merged in two steps: with many tasks, a query's hits of all of them would meet in one.
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(MERGE_PARTS))
+    near = Window.partitionBy("query_id", part).orderBy(F.desc("score"), "doc_id")
+    hits = hits.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= F.col("k"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = hits.withColumn("rank", F.row_number().over(best))
     score = F.when(F.col("score") != UNDEFINED, F.col("score")).otherwise(F.lit(float("nan")))

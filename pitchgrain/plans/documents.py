@@ -165,8 +165,8 @@ def build(
 ) -> DataFrame:
     """The requested document types, without embeddings, as rows of the document table.
 
-    doc_id is made of the type's place in ``DOC_TYPES`` and ref_id, so a rebuild gives a document
-    the same id again.
+    doc_id is made of what identifies a document (see ``as_rows``), so a rebuild gives a document the
+    same id again.
     """
     makers = {
         "match_report": lambda: match_reports(t, scope, team_id, labels),
@@ -187,9 +187,13 @@ def build(
 
 
 def as_rows(docs: DataFrame) -> DataFrame:
-    place = F.array_position(F.array(*[F.lit(d) for d in DOC_TYPES]), F.col("doc_type"))
+    """Rows of the document table. Type and ref_id do not identify a document: a match has a report for
+    each side, told apart by the opponent, and a player a profile for each team. 60 bits of their
+    hash do; ``repeated_ids`` says whether two ever met."""
+    side = F.coalesce(F.get_json_object("metadata", "$.opponent_id"), F.get_json_object("metadata", "$.team_id"), F.lit(""))
+    digest = F.md5(F.concat_ws("|", "doc_type", "ref_id", side))
     return docs.select(
-        (F.shiftleft(place, 32) + F.col("ref_id")).alias("doc_id"),
+        F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("doc_id"),
         "doc_type",
         "ref_id",
         "content",
@@ -199,5 +203,10 @@ def as_rows(docs: DataFrame) -> DataFrame:
     )
 
 
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """doc_id that more than one row has; none in a sound table."""
+    return docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def counts_by_type(docs: DataFrame) -> DataFrame:
     return docs.groupBy("doc_type").agg(F.count(F.lit(1)).alias("n")).orderBy("doc_type")

@@ -218,7 +218,8 @@ def prompts(
 ) -> DataFrame:
     """One prompt per question: guidance, facts, hits, question.
 
-    questions: question_id, question, focus_team_id, rival_team_id, match_id.
+    questions: question_id, question, focus_team_id, rival_team_id, match_id. ``guidance`` has places
+    for the rival's name and the match.
     """
     matchups = questions.withColumnRenamed("question_id", "matchup_id").drop("question")
     facts = joined_lines(
@@ -229,11 +230,12 @@ def prompts(
         retrieved(t, docs, scope, questions, labels, player_hits, make_encoder),
         "question_id", ["source", "rank"], "found",
     )
-    texts = questions.select("question_id", "question").join(facts, "question_id").join(
-        found, "question_id", "left"
-    )
+    rivals = t.teams.select(F.col("team_id").alias("rival_team_id"), F.col("team_name").alias("rival"))
+    asked = questions.join(rivals, "rival_team_id", "left").select("question_id", "question", "rival", "match_id")
+    texts = asked.join(facts, "question_id").join(found, "question_id", "left")
+    guided = filled(guidance, F.col("rival"), F.col("match_id"))
     hits = F.concat_ws("\n", F.lit(W.HITS_HEADER), F.col("found"))
     return texts.select(
         "question_id",
-        F.format_string(W.PROMPT, F.lit(guidance), F.col("facts"), hits, F.col("question")).alias("prompt"),
+        F.format_string(W.PROMPT, guided, F.col("facts"), hits, F.col("question")).alias("prompt"),
     )

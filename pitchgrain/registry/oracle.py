@@ -509,6 +509,13 @@ says("matchup_context", CONTEXT, tagg=TEAM_TOTALS)
 
 # ---------------------------------------------------------------- vectors
 
+_before, _between, _after = W.GUIDANCE.split("%s")
+GUIDANCE = (f"'{_before}'", "rival", f"'{_between}'", "match_id", f"'{_after}'")
+# The first 60 bits of a hash of what identifies a document.
+DOC_ID = """CAST('0x' || substr(md5(concat_ws('|', doc_type, ref_id, coalesce(json_extract_string(metadata, '$.opponent_id'),
+            json_extract_string(metadata, '$.team_id'), ''))), 1, 15) AS BIGINT)"""
+
+
 def text_vectors(source: str, key: str, prefix: str = "") -> dict[str, str]:
     """CTEs giving the token-hash vector of ``text`` per ``key`` of a relation: (key, dim, c, x)."""
     return {
@@ -545,7 +552,7 @@ says(
     "prompt_batch",
     f"""
     SELECT CAST(q.match_id AS BIGINT) AS question_id,
-           {text(f"'{W.GUIDANCE}'", "chr(10)", "chr(10)", "'=== SQL 실측 데이터 ==='", "chr(10)", "facts",
+           {text(*GUIDANCE, "chr(10)", "chr(10)", "'=== SQL 실측 데이터 ==='", "chr(10)", "facts",
                  "chr(10)", "chr(10)", "'=== 검색된 유사 사례 ==='", "chr(10)", f"'{W.HITS_HEADER}'",
                  "coalesce(chr(10) || found, '')", "chr(10)", "chr(10)", "'=== 질문 ==='", "chr(10)",
                  "question", "chr(10)")} AS prompt
@@ -561,10 +568,8 @@ says(
            string_agg(line, chr(10) ORDER BY section, key1, key2, key3) AS facts
     FROM ctx GROUP BY matchup_id""",
     src=f"""
-    SELECT CAST(2 AS BIGINT) * 4294967296 + ref_id AS doc_id, doc_type, ref_id, content AS text
-    FROM ({PATTERN})
-    UNION ALL
-    SELECT CAST(3 AS BIGINT) * 4294967296 + ref_id, doc_type, ref_id, content FROM ({PROFILE})""",
+    SELECT {DOC_ID} AS doc_id, doc_type, ref_id, content AS text
+    FROM (SELECT * FROM ({PATTERN}) UNION ALL SELECT * FROM ({PROFILE}))""",
     asked=f"""
     SELECT match_id * 2 AS query_id, match_id, 0 AS source, 'tactical_pattern' AS want, 3 AS k,
            '{QUERY_PREFIX}' || rival || ' pressing tactics formation against ' || focus AS text
@@ -593,6 +598,28 @@ says(
              || printf('%.3f', s) || '] ' || text, chr(10) ORDER BY source, rank) AS found
     FROM ranked WHERE rank <= k GROUP BY match_id""",
 )
+says(
+    "document_search",
+    """
+    SELECT CAST(query_id AS BIGINT) AS query_id, rank, doc_id, doc_type, CAST(ref_id AS BIGINT) AS ref_id, text AS content
+    FROM ranked WHERE rank <= 3""",
+    src=f"""
+    SELECT {DOC_ID} AS doc_id, doc_type, ref_id, content AS text
+    FROM (SELECT * FROM ({REPORT}) UNION ALL SELECT * FROM ({PROFILE}))""",
+    asked=f"""
+    SELECT team_id AS query_id, '{QUERY_PREFIX}' || team_name || ' pressing and passing' AS text FROM team""",
+    **text_vectors("src", "doc_id", "doc"),
+    **text_vectors("asked", "query_id", "ask"),
+    dots="""
+    SELECT query_id, doc_id, sum(a.x * d.x) AS dot FROM askvec a JOIN docvec d USING (dim) GROUP BY query_id, doc_id""",
+    lengths="SELECT doc_id, sqrt(sum(x * x)) AS n FROM docvec GROUP BY doc_id",
+    asked_lengths="SELECT query_id, sqrt(sum(x * x)) AS m FROM askvec GROUP BY query_id",
+    ranked="""
+    SELECT al.query_id, src.doc_id, doc_type, ref_id, src.text, row_number() OVER (
+             PARTITION BY al.query_id ORDER BY round(coalesce(dot, 0) / (n * m), 12) DESC, src.doc_id) AS rank
+    FROM src JOIN lengths ln ON ln.doc_id = src.doc_id JOIN asked_lengths al ON true
+         LEFT JOIN dots ON dots.query_id = al.query_id AND dots.doc_id = src.doc_id""",
+)
 ELEMENTS = """
     SELECT vec_id, label, unnest(embedding) AS x,
            generate_subscripts(embedding, 1) AS i FROM embeddings"""

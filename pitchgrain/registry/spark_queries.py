@@ -208,6 +208,21 @@ def _prompt_batch(t: MatchTables) -> DataFrame:
     return M.prompts(stored, embedded, SCOPE, questions)
 
 
+@over_matches("document_search")
+def _document_search(t: MatchTables) -> DataFrame:
+    """Reports of both sides and profiles of players of several teams, asked once for each team."""
+    stored = t.stored("matches", "teams", "facts")
+    docs = D.match_reports(stored, SCOPE).unionByName(D.player_documents(stored, SCOPE))
+    embedded = materialise(V.embed_pending(D.as_rows(docs)), "documents")
+    asked = stored.teams.select(
+        F.col("team_id").cast("bigint").alias("query_id"),
+        F.concat("team_name", F.lit(" pressing and passing")).alias("text"),
+        F.lit(None).cast("string").alias("doc_type"), F.lit(3).alias("k"),
+    )
+    found = V.search(embedded, V.embed_queries(asked))
+    return found.select("query_id", "rank", "doc_id", "doc_type", "ref_id", "content")
+
+
 # ---------------------------------------------------------------- vectors
 
 

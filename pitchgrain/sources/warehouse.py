@@ -50,7 +50,9 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         try:
             self.spark.read.schema(self._layout(table)).parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             return False
         return True
 
@@ -161,7 +163,7 @@ class Warehouse:
 
 
 def snapshot(results: dict[str, DataFrame], root: str) -> None:
-    """Each result as JSON lines under its name; decimals as numbers, dates in ISO form."""
+    """Each result as JSON lines under its name; decimals as numbers, dates in ISO form, NULLs kept."""
     for name, df in results.items():
         columns = [
             F.col(f.name).cast("double").alias(f.name)
@@ -169,4 +171,4 @@ def snapshot(results: dict[str, DataFrame], root: str) -> None:
             else F.col(f.name)
             for f in df.schema
         ]
-        df.select(*columns).write.mode("overwrite").json(f"{root.rstrip('/')}/{name}")
+        df.select(*columns).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{root.rstrip('/')}/{name}")

@@ -169,4 +169,4 @@ def test_prompt(spark):
     assert found[0].startswith("## 벡터 유사 검색 결과")
     kinds = [line.split("[")[1].split(" ")[0] for line in found[1:]]
     assert kinds == ["tactical_pattern"] * 2 + ["player_profile"] * 2
-    assert found[3].split("ref=")[1].startswith("11 score=")
+    assert {line.split("ref=")[1].split(" ")[0] for line in found[3:5]} == {"11", "21"}
