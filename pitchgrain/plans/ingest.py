@@ -34,10 +34,11 @@ def invalidate_analytics(warehouse: Warehouse, scope: Scope, match_ids: list[int
 
 def _load_lineups(landing, warehouse, scope, raw_matches, match_ids) -> int:
     raw = landing.of_matches("lineups", scope, raw_matches, match_ids)
-    stray = N.unplaced_lineups(raw, raw_matches).limit(5).collect()
-    if stray:
-        named = ", ".join(f"team {r.team_name!r} in match {r.match_id}" for r in stray)
-        raise ValueError(f"line-ups of teams that are not in their match: {named}")
+    strays = N.unplaced_lineups(raw, raw_matches)
+    some = strays.limit(5).collect()
+    if some:
+        named = ", ".join(f"team {r.team_name!r} in match {r.match_id}" for r in some)
+        raise ValueError(f"{_count(strays)} line-ups of teams that are not in their match, such as {named}")
     warehouse.replace_matches("match_lineups", N.lineups(raw, raw_matches), scope, match_ids)
     warehouse.replace_matches(
         "match_lineup_positions", N.positions(raw, raw_matches), scope, match_ids
@@ -45,9 +46,9 @@ def _load_lineups(landing, warehouse, scope, raw_matches, match_ids) -> int:
     return _stored(warehouse, "match_lineups", scope, match_ids)
 
 
-def _load_matches(warehouse, scope, raw_matches, match_ids) -> int:
-    """Replacing matches removes what hangs on them; events and line-ups are loaded after."""
-    for child in ("match_lineup_positions", "match_lineups", "events"):
+def _load_matches(warehouse, scope, raw_matches, match_ids, alone: bool) -> int:
+    """Replacing matches removes what hangs on them, unless events and line-ups are replaced after."""
+    for child in ("match_lineup_positions", "match_lineups", "events") if alone else ():
         warehouse.replace_matches(child, None, scope, match_ids)
     warehouse.replace_matches("matches", N.matches(raw_matches), scope, match_ids)
     return _stored(warehouse, "matches", scope, match_ids)
@@ -60,13 +61,11 @@ def run(
     table: str = "all",
     match_ids: Iterable[int] | None = None,
 ) -> dict[str, int]:
-    """Load one staging table or all in reference order; rows per step."""
+    """Load one staging table or all in reference order; rows per step. All of it is published, or nothing."""
     if table != "all" and table not in STEPS:
         raise ValueError(f"unknown table step: {table}")
     ids = None if match_ids is None else sorted(set(match_ids))
     raw_matches = landing.matches(scope, ids)
-    if table in ("all", "matches"):
-        invalidate_analytics(warehouse, scope, ids)
 
     def dimension(name: str, df: DataFrame) -> int:
         warehouse.upsert(name, df)
@@ -82,11 +81,14 @@ def run(
             "players",
             N.players(landing.of_matches("lineups", scope, raw_matches, ids), raw_matches),
         ),
-        "matches": lambda: _load_matches(warehouse, scope, raw_matches, ids),
+        "matches": lambda: _load_matches(warehouse, scope, raw_matches, ids, table != "all"),
         "events": lambda: _load_events(landing, warehouse, scope, raw_matches, ids),
         "lineups": lambda: _load_lineups(landing, warehouse, scope, raw_matches, ids),
     }
-    return {step: loaders[step]() for step in STEPS if table in ("all", step)}
+    with warehouse.publishing():
+        if table in ("all", "matches"):
+            invalidate_analytics(warehouse, scope, ids)
+        return {step: loaders[step]() for step in STEPS if table in ("all", step)}
 
 
 def _load_events(landing, warehouse, scope, raw_matches, match_ids) -> int:
@@ -111,14 +113,15 @@ def aggregate(
         return season_part(warehouse.read(name), scope, ids)
 
     done: dict[str, int] = {}
-    if table in ("all", "formation"):
-        made = team_formation(part("events")).join(known, "match_id", "left_semi")
-        warehouse.replace_matches("team_match_formation", made, scope, ids)
-        done["formation"] = _stored(warehouse, "team_match_formation", scope, ids)
-    if table in ("all", "fact"):
-        facts = player_match_stats(
-            part("events"), part("match_lineups"), part("match_lineup_positions")
-        ).join(known, "match_id", "left_semi")
-        warehouse.replace_matches("fact_player_match_stats", facts, scope, ids)
-        done["fact"] = _stored(warehouse, "fact_player_match_stats", scope, ids)
+    with warehouse.publishing():
+        if table in ("all", "formation"):
+            made = team_formation(part("events")).join(known, "match_id", "left_semi")
+            warehouse.replace_matches("team_match_formation", made, scope, ids)
+            done["formation"] = _stored(warehouse, "team_match_formation", scope, ids)
+        if table in ("all", "fact"):
+            facts = player_match_stats(
+                part("events"), part("match_lineups"), part("match_lineup_positions")
+            ).join(known, "match_id", "left_semi")
+            warehouse.replace_matches("fact_player_match_stats", facts, scope, ids)
+            done["fact"] = _stored(warehouse, "fact_player_match_stats", scope, ids)
     return done

@@ -24,7 +24,7 @@ def run(
     file_format: str = "json",
     log_run: bool = True,
 ) -> dict[str, int]:
-    """Rows per step. A failure is logged and raised again; running again repeats the scope."""
+    """Rows per step. A failure is logged and raised again, and leaves all tables as they were."""
     if skip_staging and skip_analytics:
         raise ValueError("cannot skip both staging and analytics")
     scope = Scope(competition_id, season_id)
@@ -34,10 +34,11 @@ def run(
     run_id = runlog.start(target, scope) if log_run and not skip_staging else None
     done: dict[str, int] = {}
     try:
-        if not skip_staging:
-            done |= ingest.run(landing, target, scope, "all", ids)
-        if not skip_analytics:
-            done |= ingest.aggregate(target, scope, "all", ids)
+        with target.publishing():
+            if not skip_staging:
+                done |= ingest.run(landing, target, scope, "all", ids)
+            if not skip_analytics:
+                done |= ingest.aggregate(target, scope, "all", ids)
     except Exception as exc:
         if run_id is not None:
             runlog.finish(target, scope, run_id, runlog.FAILED, error=str(exc))

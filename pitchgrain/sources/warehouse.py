@@ -1,17 +1,21 @@
-"""The staging and analytics tables as Parquet folders.
-
-Season tables are laid out by competition_id and season_id. Any change rewrites exactly one such
-folder, which also holds when a scope ends up without rows; a dynamic partition overwrite would
-leave the old rows there. A rewrite that reads what it replaces is first written to the shared
-checkpoint folder. Files are sorted by match_id, so row-group statistics skip other matches.
+"""The staging and analytics tables as Parquet folders under published manifests.
+
+Every write goes to a folder of its own run; readers see what the newest manifest names. Manifests
+are small numbered files, each written aside and then renamed, so a run that fails anywhere leaves
+all tables as they were, and of two runs that publish at once one is told so. Season tables are laid
+out by competition_id and season_id; a change rewrites exactly one such part, which also holds when
+a scope ends up without rows. As nothing is overwritten, a rewrite may read what it replaces. Files
+are sorted by match_id, so row-group statistics skip other matches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+import json
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,23 +24,23 @@ from pitchgrain.operators.merge import merge_latest, replace_scope
 from pitchgrain.operators.scope import Scope
 from pitchgrain.plans.facts import with_promoted
 from pitchgrain.plans.tables import MatchTables
-from pitchgrain.session import materialise
+
+MANIFESTS = "_published"
+WHOLE = ""  # the part of a table without parts
+
+Parts = dict[str, dict[str, str]]  # table -> part -> folder below the table
 
 
 @dataclass
 class Warehouse:
     spark: SparkSession
     root: str
+    _pending: Parts | None = field(default=None, repr=False)
 
     def path(self, table: str) -> str:
         layer = "staging" if table in S.STAGING else "analytics"
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def _season_path(self, table: str, scope: Scope) -> str:
-        return (
-            f"{self.path(table)}/competition_id={scope.competition_id}/season_id={scope.season_id}"
-        )
-
     def _stored(self, table: str) -> str:
         ddl = S.TABLES[table]
         return f"{ddl}, {S.EVENTS_PROMOTED}" if table == "events" else ddl
@@ -47,42 +51,97 @@ class Warehouse:
             ddl += ", competition_id INT, season_id INT"
         return ddl
 
-    def exists(self, table: str) -> bool:
+    # ------------------------------------------------------------ manifests
+
+    def _files(self):
+        """The folder of manifests, its file system, and the numbers there."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{MANIFESTS}")
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        return folder, fs, sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _published(self) -> tuple[int, Parts]:
+        folder, fs, numbers = self._files()
+        if not numbers:
+            return 0, {}
+        stream = fs.open(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{numbers[-1]}.json"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return numbers[-1], json.loads(text)
+
+    def _publish(self, number: int, parts: Parts) -> None:
+        folder, fs, _ = self._files()
+        aside, named = (self.spark._jvm.org.apache.hadoop.fs.Path(folder, n) for n in (f"{uuid.uuid4().hex}.new", f"{number}.json"))
+        stream = fs.create(aside, False)
+        stream.write(bytearray(json.dumps(parts).encode()))
+        stream.close()
+        if fs.exists(named) or not fs.rename(aside, named):
+            fs.delete(aside, False)
+            raise RuntimeError("another run published meanwhile; run again")
+
+    @contextmanager
+    def publishing(self) -> Iterator[None]:
+        """What is written inside becomes visible together at the end, or, on an error, not at all."""
+        if self._pending is not None:
+            yield
+            return
+        number, self._pending = self._published()
         try:
-            self.spark.read.schema(self._layout(table)).parquet(self.path(table))
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
-        return True
+            yield
+            self._publish(number + 1, self._pending)
+        finally:
+            self._pending = None
+
+    def _parts(self, table: str) -> dict[str, str]:
+        parts = self._pending if self._pending is not None else self._published()[1]
+        return parts.get(table, {})
+
+    def _write(self, table: str, part: str, df: DataFrame, keep: bool = False) -> None:
+        """``df`` as the part's rows, or with ``keep`` in addition to the table's others."""
+        run = uuid.uuid4().hex
+        folder = f"run={run}/{part}".rstrip("/")
+        df.write.parquet(f"{self.path(table)}/{folder}")
+        with self.publishing():
+            self._pending.setdefault(table, {})[run if keep else part] = folder
+
+    def remove_unpublished(self) -> int:
+        """Delete folders and manifests that the newest one does not use; how many folders. For times without readers or runs."""
+        folder, fs, numbers = self._files()
+        used = {f"{t}/{f.split('/')[0]}" for t, parts in self._published()[1].items() for f in parts.values()}
+        gone = 0
+        for table in S.TABLES:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+            for run in fs.listStatus(path) if fs.exists(path) else []:
+                if f"{table}/{run.getPath().getName()}" not in used:
+                    gone += fs.delete(run.getPath(), True)
+        for number in numbers[:-1]:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number}.json"), False)
+        return gone
+
+    def exists(self, table: str) -> bool:
+        return bool(self._parts(table))
 
     def read(self, table: str) -> DataFrame:
         """The table, or no rows if nothing was ever written."""
         ddl = self._layout(table)
-        try:
-            return self.spark.read.schema(ddl).parquet(self.path(table))
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
+        base = self.path(table)
+        folders = sorted(f"{base}/{folder}" for folder in self._parts(table).values())
+        if not folders:
             return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).option("basePath", base).parquet(*folders).select(*S.columns(ddl))
 
     # ------------------------------------------------------------ season tables
 
-    def _write_season(self, table: str, df: DataFrame, scope: Scope) -> None:
+    def replace_season(self, table: str, df: DataFrame, scope: Scope) -> None:
+        """All rows of the season become ``df``."""
         if table == "events":
             df = with_promoted(df)
         columns = [c for c in S.columns(self._stored(table)) if c not in S.SEASON_KEYS]
         ordered = ["match_id"] + [c for c in ("index", "player_id", "team_id") if c in columns]
-        (
-            df.select(*columns)
-            .sortWithinPartitions(*ordered)
-            .write.mode("overwrite")
-            .parquet(self._season_path(table, scope))
-        )
-
-    def replace_season(self, table: str, df: DataFrame, scope: Scope) -> None:
-        """All rows of the season become ``df``, which must not read the table itself."""
-        self._write_season(table, df, scope)
+        part = f"competition_id={scope.competition_id}/season_id={scope.season_id}"
+        self._write(table, part, df.select(*columns).sortWithinPartitions(*ordered))
 
     def replace_matches(
         self, table: str, df: DataFrame | None, scope: Scope, match_ids: Iterable[int] | None
@@ -91,6 +150,8 @@ class Warehouse:
 
         ``df=None`` deletes only.
         """
+        if df is None and not self.exists(table):
+            return
         if match_ids is None:
             new = df if df is not None else self.spark.createDataFrame([], S.TABLES[table])
             self.replace_season(table, new, scope)
@@ -101,8 +162,7 @@ class Warehouse:
         if df is not None and table == "events":
             df = with_promoted(df)
         named = self.spark.createDataFrame([(i,) for i in ids], "match_id int")
-        after = replace_scope(old, old.limit(0) if df is None else df, named, ["match_id"])
-        self._write_season(table, materialise(after, table), scope)
+        self.replace_season(table, replace_scope(old, old.limit(0) if df is None else df, named, ["match_id"]), scope)
 
     # ------------------------------------------------------------ dimensions and logs
 
@@ -110,21 +170,20 @@ class Warehouse:
         """Insert rows or replace those with the same key."""
         keys = S.PRIMARY_KEYS[table]
         merged = merge_latest(self.read(table), df, keys, order)
-        staged = materialise(merged, table)
-        staged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(self.path(table))
+        self._write(table, WHOLE, merged.sortWithinPartitions(*keys))
 
     def append(self, table: str, df: DataFrame) -> None:
-        df.select(*S.columns(S.TABLES[table])).write.mode("append").parquet(self.path(table))
+        self._write(table, WHOLE, df.select(*S.columns(S.TABLES[table])), keep=True)
 
     # ------------------------------------------------------------ documents
 
     def rebuild_documents(self, docs: DataFrame, doc_types: Iterable[str]) -> None:
         """Replace the listed types; the new rows have no embeddings yet."""
         table = "embedding_documents"
-        staged = materialise(docs.select(*S.columns(S.DOCUMENTS)), table)
-        for kind in doc_types:
-            rows = staged.filter(F.col("doc_type") == kind).drop("doc_type")
-            rows.write.mode("overwrite").parquet(f"{self.path(table)}/doc_type={kind}")
+        with self.publishing():
+            for kind in doc_types:
+                rows = docs.select(*S.columns(S.DOCUMENTS)).filter(F.col("doc_type") == kind)
+                self._write(table, f"doc_type={kind}", rows.drop("doc_type"))
 
     def store_embeddings(self, make_encoder=None) -> int:
         """Encode the rows without embedding and rewrite the types that had any. Returns how many."""
@@ -134,14 +193,11 @@ class Warehouse:
         docs = self.read(table)
         pending = docs.filter(F.col("embedding").isNull())
         todo = {r.doc_type: r.n for r in pending.groupBy("doc_type").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if not todo:
-            return 0
-        touched = evened(docs.filter(F.col("doc_type").isin(sorted(todo))))
-        done = embed_pending(touched, make_encoder) if make_encoder else embed_pending(touched)
-        staged = materialise(done, table)
-        for kind in todo:
-            rows = staged.filter(F.col("doc_type") == kind).drop("doc_type")
-            rows.write.mode("overwrite").parquet(f"{self.path(table)}/doc_type={kind}")
+        with self.publishing():
+            for kind in todo:
+                touched = evened(docs.filter(F.col("doc_type") == kind))
+                done = embed_pending(touched, make_encoder) if make_encoder else embed_pending(touched)
+                self._write(table, f"doc_type={kind}", done.drop("doc_type"))
         return sum(todo.values())
 
     # ------------------------------------------------------------ reading for plans

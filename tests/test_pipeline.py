@@ -132,6 +132,34 @@ def test_running_again_changes_nothing(spark, place):
     assert table(spark, place, "teams").count() == 2
 
 
+def test_failed_run_leaves_all_tables(spark, place, monkeypatch):
+    run(spark, place)
+    names = [t for t in S.TABLES if t not in ("ingestion_runs", "embedding_documents")]
+    before = {t: sorted(rows(table(spark, place, t)), key=repr) for t in names}
+    full_landing(place / "landing", goals_in_two=False)
+
+    def fail(*_):
+        raise RuntimeError("in the middle")
+
+    monkeypatch.setattr(ingest, "player_match_stats", fail)
+    with pytest.raises(RuntimeError, match="middle"):
+        run(spark, place)
+    assert {t: sorted(rows(table(spark, place, t)), key=repr) for t in names} == before
+    states = rows(runlog.run_states(table(spark, place, "ingestion_runs")), "status")
+    assert sorted(states) == [("failed",), ("success",)]
+    wh = Warehouse(spark, str(place / "wh"))
+    assert wh.remove_unpublished() > 0 and wh.remove_unpublished() == 0
+    assert {t: sorted(rows(table(spark, place, t)), key=repr) for t in names} == before
+
+
+def test_two_runs_at_once(spark, place):
+    one, two = (Warehouse(spark, str(place / "wh")) for _ in range(2))
+    with pytest.raises(RuntimeError, match="meanwhile"), one.publishing():
+        runlog.start(two, Scope())
+        runlog.start(one, Scope())
+    assert two.read("ingestion_runs").count() == 1
+
+
 def test_match_without_rows_disappears_and_others_stay(spark, place):
     run(spark, place)
     full_landing(place / "landing", goals_in_two=False)
