@@ -22,11 +22,6 @@ def clean_text(col: Column) -> Column:
     return clean(col, T.StringType())
 
 
-def clean_number(col: Column) -> Column:
-    """For floating point columns: NaN becomes NULL."""
-    return F.when(~F.isnan(col), col)
-
-
 def clock_minute(col: Column) -> Column:
     """Minute part of a clock: '64:10' gives 64, '45' gives 45."""
     text = clean_text(col.cast("string"))

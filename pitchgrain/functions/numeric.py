@@ -16,10 +16,6 @@ def exact_avg(value: Column) -> Column:
     return F.avg(value.cast("decimal(28,10)"))
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def sum_where(condition: Column, value: Column) -> Column:
     """NULL when no row matches, as an aggregate filter gives."""
     return F.sum(F.when(condition, value))

@@ -40,6 +40,7 @@ from pitchgrain.sources.match_events import (
     read_tables,
 )
 from pitchgrain.sql import run_statement
+from pitchgrain.schemas import DATA_SOURCE
 from pitchgrain.session import checkpoint_root, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -420,7 +421,7 @@ def _run_log_state(t: MatchTables) -> DataFrame:
     goals = F.col("home_score") + F.col("away_score")
     base = {
         "run_id": F.col("match_id").cast("string"),
-        "source": F.lit("statsbomb_open"),
+        "source": F.lit(DATA_SOURCE),
         "competition_id": F.col("competition_id"),
         "season_id": F.col("season_id"),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for local sessions without it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="pitchgrain-")
         spark.conf.set("spark.checkpoint.dir", root)
