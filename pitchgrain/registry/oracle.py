@@ -972,6 +972,23 @@ def reference_statement(child: str, keys: list[str], parent: str, parent_keys: l
 
 
 says("dq_foreign_keys", union([reference_statement(*fk) for fk in S.FOREIGN_KEYS]), comp=COMP)
+says(
+    "dq_damaged",
+    union(
+        [
+            finding("duplicate key", "'teams'", "count(*)", "0", judged("count(*) = 0", "fail"), "twice"),
+            finding("null", "'teams.team_id'", "count(*) - count(team_id)", "0", judged("count(*) = count(team_id)", "fail"), "broken"),
+            finding("null", "'teams.team_name'", "count(*) - count(team_name)", "0", judged("count(*) = count(team_name)", "fail"), "broken"),
+            finding("orphan", "'matches(home_team_id) -> teams'", "count(*)", "0", judged("count(*) = 0", "fail"), "stray"),
+            finding("orphan", "'matches(away_team_id) -> teams'", "count(*)", "0", judged("count(*) = 0", "fail"), "away_stray"),
+            finding("event id", "'events'", "count(*)", "0", judged("count(*) = 0", "warn"), "ev"),
+        ]
+    ),
+    broken="SELECT team_id, team_name FROM team UNION ALL SELECT team_id, NULL FROM team WHERE team_id % 2 = 0",
+    twice="SELECT team_id FROM broken GROUP BY 1 HAVING count(*) > 1",
+    stray="SELECT 1 FROM m WHERE home_team_id + CASE WHEN match_id % 5 = 0 THEN 100 ELSE 0 END NOT IN (SELECT team_id FROM team)",
+    away_stray="SELECT 1 FROM m WHERE away_team_id NOT IN (SELECT team_id FROM team)",
+)
 says(
     "dq_matches",
     union(

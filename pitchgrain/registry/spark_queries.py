@@ -462,6 +462,22 @@ DERIVED_TABLES = (
 over_matches("dq_schema")(lambda t: Q.check_schema(t.named()))
 over_matches("dq_keys")(lambda t: Q.check_keys(t.stored(*DERIVED_TABLES).named()))
 over_matches("dq_foreign_keys")(lambda t: Q.check_foreign_keys(t.stored(*DERIVED_TABLES).named()))
+
+
+@over_matches("dq_damaged")
+def _damaged(t: MatchTables) -> DataFrame:
+    """Teams stored twice without a name, matches of teams nobody knows, and event ids of no such form."""
+    again = t.teams.filter(F.col("team_id") % 2 == 0).withColumn("team_name", F.lit(None).cast("string"))
+    teams = t.teams.unionByName(again)
+    lost = F.when(F.col("match_id") % 5 == 0, F.col("home_team_id") + 100).otherwise(F.col("home_team_id"))
+    matches = t.matches.withColumn("home_team_id", lost.cast("int"))
+    return (
+        Q.check_keys({"teams": teams})
+        .unionByName(Q.check_foreign_keys({"matches": matches, "teams": teams}))
+        .unionByName(Q.check_event_ids(t.events))
+    )
+
+
 over_matches("dq_matches")(lambda t: Q.check_matches(t, SCOPE, FOCUS_TEAM))
 over_matches("dq_event_profile")(Q.check_event_profile)
 over_matches("dq_lineups")(Q.check_lineups)
