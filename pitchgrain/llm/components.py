@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = materialise(links.select("a", "b").where("a <> b").distinct(), "edges")
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = materialise(nodes.select("node", F.col("node").alias("label")), "labels")
+    labels = nodes.select("node", F.col("node").alias("label"))
     turn = 0
     while not edges.isEmpty():
         turn += 1
@@ -32,12 +32,17 @@ def components(links: DataFrame) -> DataFrame:
         near = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", F.lit(turn)).alias("h"), F.col("b").alias("to"))).alias("best"))
         own = F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), F.col("a").alias("to"))
         moves = materialise(near.select(F.col("a").alias("from"), F.least("best", own)["to"].alias("to")), "moves")
+        # Hashes fall along moves, so they form trees; two doublings take a node four steps up at once.
+        for _ in range(2):
+            further = moves.toDF("to", "beyond")
+            moves = moves.join(further, "to").select("from", F.col("beyond").alias("to"))
+        moves = materialise(moves, "moves")
         moved = edges.join(moves.toDF("a", "a2"), "a").join(moves.toDF("b", "b2"), "b")
         pairs = moved.where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
         edges = materialise(pairs.distinct(), "edges")
         follow = labels.join(moves, F.col("label") == F.col("from"), "left")
-        labels = materialise(follow.select("node", F.coalesce("to", "label").alias("label")), "labels")
-    return labels
+        labels = follow.select("node", F.coalesce("to", "label").alias("label"))
+    return materialise(labels, "labels")
 
 
 def linked(
@@ -79,9 +84,8 @@ def linked(
         counts = materialise(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
         shared = materialise(members.join(counts, "key"), "shared")
         weights = materialise(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
-        weighed = materialise(shared.join(weights, "node"), "weighed")
         hub = F.max(F.struct("weight", -F.col("node"), "size"))
-        hubs = weighed.groupBy("key").agg(hub.alias("h")).select("key", (-F.col("h")["col2"]).alias("a"), F.col("h.size").alias("size_a"))
+        hubs = shared.join(weights, "node").groupBy("key").agg(hub.alias("h")).select("key", (-F.col("h")["col2"]).alias("a"), F.col("h.size").alias("size_a"))
         stars = shared.select("key", F.col("node").alias("b"), F.col("size").alias("size_b")).join(materialise(hubs, "hubs"), "key").where("a <> b")
         labels = learn(possible(stars))
 

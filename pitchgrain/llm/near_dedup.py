@@ -4,7 +4,7 @@
    keys, and a signature of 16 bits for each hash. Documents with equal sets count as one from here.
 2. Band keys propose pairs (see ``components.linked``: no pair of a bucket is lost, nor are all listed).
    Buckets of many texts that are not alike, such as those around a common passage, are replaced by
-   finer bands of the same signatures.
+   buckets of rare shingles, which miss nothing.
 3. Signatures are compared in batches. After each, with m of n values equal, a pair is dropped if the
    probability that its similarity reaches the threshold is below ``MISS``, under a uniform prior.
 4. The survivors' texts meet, and full sets decide. Components follow, with the smallest ``doc_id``.
@@ -20,7 +20,6 @@ gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +30,7 @@ from pyspark.sql import functions as F
 from pitchgrain.llm import shingles
 from pitchgrain.llm.components import linked
 from pitchgrain.llm.packing import slices
+from pitchgrain.llm.rare_shingles import rarest
 from pitchgrain.llm.shared import fresh_name, materialise, text_or_empty
 
 PERCENT = 85
@@ -38,8 +38,6 @@ ROWS = 6
 MISS_BAND = 1e-5
 MISS = 1e-7
 BATCH = 30
-#: Signature values in a band of the second, finer kind, for nodes in buckets of unlike texts.
-FINE_ROWS = 12
 
 
 def thresholds(steps: list[int], percent: int, miss: float) -> list[int]:
@@ -91,32 +89,19 @@ def sign(docs: DataFrame, percent: int, rows: int, miss: float) -> DataFrame:
     return texts.mapInArrow(signed, "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary")
 
 
-def finer(nodes: DataFrame, percent: int, count: int, miss: float) -> DataFrame:
-    """key, node, size: buckets of ``FINE_ROWS`` signature values drawn at random, of nodes with a signature.
+def texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, part: the text of each of ``nodes`` (node, doc_id, set_key)."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("part"))
+    met = texts.join(nodes.select("node", "doc_id", "set_key"), F.col("id").eqNullSafe(F.col("doc_id")))
 
-    A pair whose similarity is the threshold shares m of the ``count`` values, m being binomial, and a
-    draw lies within them with a chance of about (m / count) ** FINE_ROWS. There are as many draws as
-    make the probability that no draw does at most ``miss``, over all m.
-    """
-    t = percent / 100
-    chance = [math.comb(count, m) * t**m * (1 - t) ** (count - m) for m in range(count + 1)]
-    meets = [math.comb(m, FINE_ROWS) / math.comb(count, FINE_ROWS) for m in range(count + 1)]
-    draws = FINE_ROWS
-    while sum(c * (1 - p) ** draws for c, p in zip(chance, meets, strict=True)) > miss:
-        draws *= 2
-    rng = np.random.default_rng(2)
-    drawn = np.array([rng.choice(count, FINE_ROWS, replace=False) for _ in range(draws)])
-
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
-                values = np.frombuffer(b"".join(part.column("signature").to_pylist()), "<u2").reshape(-1, count).astype(np.uint64)
-                keys = shingles.band_keys(values[:, drawn.ravel()], FINE_ROWS)
-                row = pa.array(np.repeat(np.arange(part.num_rows), draws))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), part.column("node").take(row), part.column("n_shingles").take(row)], names=["key", "node", "size"])
+            # Where ids repeat, texts of other rows come along; the set key tells them.
+            keys = [shingles.set_key(s) for s in shingles.shingle_sets(batch.column("part"))]
+            good = [i for i, (key, want) in enumerate(zip(keys, batch.column("set_key").to_pylist(), strict=True)) if key == want]
+            yield batch.select(["node", "part"]).take(pa.array(good, pa.int64()))
 
-    return nodes.select("node", "n_shingles", "signature").mapInArrow(banded, "key long, node long, size long")
+    return met.select("node", "part", "set_key").mapInArrow(own, "node long, part string").dropDuplicates(["node"])
 
 
 def likely(pairs: DataFrame, percent: int, count: int, miss: float) -> DataFrame:
@@ -183,7 +168,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, m
         return confirmed(materialise(likely(pairs, percent, count, miss), "likely"), docs, percent)
 
     def refine(crowded: DataFrame) -> DataFrame:
-        return finer(nodes.join(crowded, "node"), percent, count, 10 * miss_band)
+        return rarest(materialise(texts_of(nodes.join(crowded, "node"), docs), "crowded"), percent)
 
     labels = linked(members, verify, percent, refine)
     placed = materialise(sets.join(labels, "node", "left").select("set_key", "least", F.coalesce("label", "node").alias("label")), "placed-sets")

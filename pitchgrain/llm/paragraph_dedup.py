@@ -3,8 +3,9 @@
 A paragraph is a line; those of fewer words than a shingle are left alone. Equal shingle sets count as
 one. The number of bands follows from the rows and the probability with which a pair at the
 threshold may be overlooked. Colliding paragraphs are compared by full sets (see
-``components.linked`` for how large buckets are handled), components are formed, and in each the
-paragraph first by ``doc_id`` and place stays.
+``components.linked`` for how large buckets are handled; crowded ones are replaced by buckets of rare
+shingles, which miss nothing), components are formed, and in each the paragraph first by ``doc_id``
+and place stays.
 
 Bands and sets never travel with texts; texts are sent once to be compared and once to be rewritten.
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pitchgrain.llm import shingles
 from pitchgrain.llm.components import linked
 from pitchgrain.llm.packing import slices
+from pitchgrain.llm.rare_shingles import rarest
 from pitchgrain.llm.shared import fresh_name, materialise, text_or_empty
 
 PERCENT = 80
@@ -72,13 +74,16 @@ def sign(texts: DataFrame, rows: int, count: int) -> DataFrame:
     return texts.mapInArrow(signed, SIGNED)
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """a, b of the pairs whose full sets reach the threshold."""
-    touched = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "touched")
-    placed = nodes.join(touched, "node").select("node", F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "place")
+def fetched(nodes: DataFrame, wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, part: the wanted nodes' paragraphs, cut from their texts."""
+    placed = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "place")
     met = texts.join(placed, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")))
-    cut = materialise(met.select("node", F.split("text", "\n", -1)[F.col("place")].alias("part")).dropDuplicates(["node"]), "parts")
-    both = pairs.join(cut.toDF("b", "part_b"), "b").join(cut.toDF("a", "part_a"), "a")
+    return met.select("node", F.split("text", "\n", -1)[F.col("place")].alias("part")).dropDuplicates(["node"])
+
+
+def confirmed(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """a, b of the pairs whose full sets reach the threshold."""
+    both = pairs.join(parts.toDF("b", "part_b"), "b").join(parts.toDF("a", "part_a"), "a")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,7 +111,15 @@ def repeated(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, miss: fl
     meets = (F.col("set_key") == F.col("k")) & (F.col("text_key") == F.col("t")) & (F.col("place") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("i"))
     nodes = materialise(signed.join(lent, meets).select("node", "doc_id", "text_key", "place", "size", "bands").dropDuplicates(["node"]), "nodes")
     members = nodes.select(F.explode("bands").alias("key"), "node", "size")
-    labels = linked(members, lambda pairs: confirmed(pairs, nodes, texts, percent), percent)
+    met = materialise(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "met")
+    members = materialise(members.join(met, "key"), "members")
+    parts = materialise(fetched(nodes, members.select("node").distinct(), texts), "parts")
+    labels = linked(
+        members,
+        lambda pairs: confirmed(pairs, parts, percent),
+        percent,
+        lambda crowded: rarest(parts.join(crowded, "node"), percent),
+    )
 
     placed = materialise(sets.join(labels, "node", "left").select("set_key", "first", F.coalesce("label", "node").alias("label")), "placed-sets")
     stays = materialise(placed.groupBy("label").agg(F.min("first").alias("stays")), "stays")

@@ -309,3 +309,31 @@ def test_token_ids_of_odd_texts():
     tokenizer = Tokenizer.from_file(VOCABULARY)
     for k, text in enumerate(texts):
         assert ids[at[k] : at[k + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_crowded_paragraphs_meet_by_rare_shingles(spark, monkeypatch):
+    monkeypatch.setattr(components, "OUTSIDE", 2)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(80):
+        words = [f"w{k}" for k in range(60)]
+        for _ in range(rng.integers(0, 5)):
+            words[rng.integers(60)] = f"x{rng.integers(1000)}"
+        rows.append((i, f"a first line of many words {i % 7}\n" + " ".join(words)))
+    want = dict(zip((r[0] for r in rows), brute.without_repeated_paragraphs(rows, 80), strict=True))
+    got = paragraph_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert dict(tuple(r) for r in got.collect()) == want
+
+
+def test_crowded_documents_meet_by_rare_shingles(spark, monkeypatch):
+    monkeypatch.setattr(components, "OUTSIDE", 2)
+    rng = np.random.default_rng(6)
+    texts = []
+    for _ in range(60):
+        words = [f"w{k}" for k in range(200)]
+        for _ in range(rng.integers(0, 9)):
+            words[rng.integers(200)] = f"x{rng.integers(1000)}"
+        texts.append(" ".join(words))
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    first = brute.components([brute.shingle_set(t) for t in texts], 85)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(first))
