@@ -14,8 +14,10 @@ only strings around equal minimizers need to be compared, wherever they are.
 4. Repeated strings return to their texts as ranges, and the ranges' union is removed.
 
 A minimizer with more than ``CROWD`` different stretches (the edge of a very common passage) is not
-sorted in one task: its single strings are counted by 128-bit hash instead, which spreads evenly and
-gives the same result. Equality of 64 bits of minimizer and 64 of content is taken as equality.
+sorted in one task. Its stretches are cut into blocks of ``WIDTHS`` strings by where the minimizer lies
+in them, and a block goes with those that hold the same bytes around it; equal blocks count as one.
+What is still crowded is cut finer, to single strings at last, whose equality needs no sorting.
+Equality of 64 bits of minimizer and 64 of content is taken as equality.
 
 Cases: null and empty texts have no bytes; texts shorter than ``LENGTH`` are left alone. Repeated rows
 repeat each other's strings, with equal or null ids too. Long texts are worked in blocks. An empty
@@ -24,8 +26,8 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ from pitchgrain.llm.suffix_sort import common_prefixes, suffix_array
 LENGTH = 200
 GRAM = 32
 CROWD = 1000
+WIDTHS = (42, 10, 2, 1, 0)
 #: Strings that are worked at a time, and bytes that are sorted at a time.
 BLOCK = 1 << 21
 SORTED = 1 << 21
@@ -144,8 +147,8 @@ def fetched(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     return placed.select("p.gram", "p.content", F.expr("substring(text, p.start + 1, p.size + %d)" % (length - 1)).alias("bytes"))
 
 
-def repeated_in(grams: list[int], contents: list[int], parts: list[bytes], length: int) -> Iterator[tuple[int, int, int, int]]:
-    """gram, content, first and last string (from 0) of each run of strings that occur in another part."""
+def repeated_in(keys: list[tuple[int, int, int]], parts: list[bytes], length: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """A part's key, and first and last string (from 0), of each run of strings that occur in another part."""
     text = np.frombuffer(b"\xff".join(parts), np.uint8)  # no UTF-8 text holds that byte
     order = suffix_array(text, length)
     shared = common_prefixes(text, order, length) >= length
@@ -160,52 +163,79 @@ def repeated_in(grams: list[int], contents: list[int], parts: list[bytes], lengt
         first = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(part) != 0)))
         last = np.append(first[1:], len(at)) - 1
         for f, z in zip(first.tolist(), last.tolist(), strict=True):
-            yield grams[part[f]], contents[part[f]], int(inner[f]), int(inner[z])
+            yield (*keys[part[f]], int(inner[f]), int(inner[z]))
 
 
-def sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
-    """gram, content, lo, hi: runs of repeated strings among stretches with equal minimizers."""
+def sorted_groups(parts: DataFrame, length: int) -> DataFrame:
+    """gram, core, sub, lo, hi: runs of strings of a part that occur in other parts of its group (gram, core)."""
+    kinds = [("gram", pa.int64()), ("core", pa.int64()), ("sub", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, contents, parts, held = [], [], [], 0
+        keys, held, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            rows = list(repeated_in(grams, contents, parts, length)) if parts else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
-                names=["gram", "content", "lo", "hi"],
-            )
+            rows = list(repeated_in(keys, held, length)) if held else []
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], names=[n for n, _ in kinds])
 
         for batch in batches:
-            for gram, content, piece in zip(*(batch.column(c).to_pylist() for c in ("gram", "content", "bytes")), strict=True):
-                if held > SORTED and gram != grams[-1]:
+            for gram, core, sub, part in zip(*(batch.column(c).to_pylist() for c in ("gram", "core", "sub", "bytes")), strict=True):
+                if size > SORTED and (gram, core) != keys[-1][:2]:
                     yield flush()
-                    grams, contents, parts, held = [], [], [], 0
-                grams.append(gram)
-                contents.append(content)
-                parts.append(piece)
-                held += len(piece)
+                    keys, held, size = [], [], 0
+                keys.append((gram, core, sub))
+                held.append(part)
+                size += len(part)
         yield flush()
 
-    return pieces.repartition("gram").sortWithinPartitions("gram").mapInArrow(found, "gram long, content long, lo int, hi int")
+    ready = parts.select("gram", "core", "sub", "bytes").repartition("gram", "core").sortWithinPartitions("gram", "core")
+    return ready.mapInArrow(found, "gram long, core long, sub long, lo int, hi int")
 
 
-def counted_strings(pieces: DataFrame, length: int) -> DataFrame:
-    """The same as ``sorted_groups`` for crowded minimizers, by counting single strings."""
+def split_parts(parts: DataFrame, width: int, length: int) -> DataFrame:
+    """Each part cut into blocks of ``width`` strings by where the minimizer lies in them.
 
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for gram, content, piece in zip(*(batch.column(c).to_pylist() for c in ("gram", "content", "bytes")), strict=True):
-                n = len(piece) - length + 1
-                keys = [hashlib.blake2b(piece[k : k + length], digest_size=16).digest() for k in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array([gram] * n, pa.int64()), pa.array([content] * n, pa.int64()), pa.array(range(n), pa.int32())],
-                    names=["string", "gram", "content", "k"],
-                )
+    Equal strings are in blocks of one number, and all strings of a block hold the same bytes around
+    the minimizer, its core. So blocks with different cores share nothing and go to different groups.
+    """
+    names = ["gram", "content", "base", "strings", "core", "sub", "bytes"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
-    strings = materialise(pieces.mapInArrow(single, "string binary, gram long, content long, k int"), "strings")
-    often = materialise(strings.groupBy("string").count().where("count > 1").select("string"), "often")
-    return strings.join(often, "string").select("gram", "content", F.col("k").alias("lo"), F.col("k").alias("hi"))
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for gram, content, base, data in zip(*(batch.column(c).to_pylist() for c in ("gram", "content", "base", "bytes")), strict=True):
+                strings = len(data) - length + 1
+                hashes = gram_hashes(data, len(data) - GRAM + 1)[strings - 1 : length - GRAM + 1].view(np.int64)
+                anchor = strings - 1 + int(np.flatnonzero(hashes == gram)[0])
+                for block in range((anchor - strings + 1) // width, anchor // width + 1):
+                    low, high = max(anchor - block * width - width + 1, 0), min(anchor - block * width, strings - 1)
+                    centre = data[anchor - block * width : anchor - block * width - width + 1 + length]
+                    piece = data[low : high + length]
+                    rows.append((gram, content, base + low, high - low + 1, xxhash.xxh3_64_intdigest(centre, block) - 2**63, xxhash.xxh3_64_intdigest(piece) - 2**63, piece))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+
+    return parts.select("gram", "content", "base", "bytes").mapInArrow(cut_up, "gram long, content long, base int, strings int, core long, sub long, bytes binary")
+
+
+def shared_runs(parts: DataFrame, length: int) -> DataFrame:
+    """gram, content, lo, hi: runs of strings of each stretch that occur in others, of ``parts`` (gram,
+    content, base, strings, core, sub, bytes), which are stretches or blocks of them."""
+    found = []
+    for width in WIDTHS:
+        group, same = ["gram", "core"], ["gram", "core", "sub"]
+        counts = materialise(parts.groupBy(same).agg(F.count(F.lit(1)).alias("n")), "counts")
+        equal = parts.join(counts.where("n > 1"), same)
+        found.append(equal.select("gram", "content", F.col("base").alias("lo"), (F.col("base") + F.col("strings") - 1).alias("hi")))
+        sizes = counts.groupBy(group).agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        sizes = materialise(sizes, "sizes")
+        some = parts.join(sizes.where(F.col("kinds") <= CROWD), group).dropDuplicates(same)
+        runs = sorted_groups(some, length).join(parts.select("content", "base", *same), same)
+        found.append(runs.select("gram", "content", F.col("base") + F.col("lo"), F.col("base") + F.col("hi")))
+        crowds = sizes.where(F.col("kinds") > CROWD).select(group)
+        if width == 0 or crowds.isEmpty():
+            break
+        parts = materialise(split_parts(parts.join(crowds, group).dropDuplicates(same), width, length), "blocks")
+    return reduce(DataFrame.union, found)
 
 
 def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -224,11 +254,9 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     mixed_ = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
     mixed_ = materialise(mixed_.select("gram", "kinds"), "mixed")
     wanted = kinds.join(mixed_, "gram").select("gram", "content", "at.*")
-    pieces = materialise(fetched(wanted, texts, length), "pieces")
-    crowds = materialise(mixed_.where(F.col("kinds") > CROWD).select("gram"), "crowds")
-    some = sorted_groups(pieces.join(crowds, "gram", "left_anti"), length)
-    if not crowds.isEmpty():
-        some = some.union(counted_strings(pieces.join(crowds, "gram"), length))
+    pieces = fetched(wanted, texts, length)
+    parts = pieces.select("gram", "content", F.lit(0).alias("base"), (F.octet_length("bytes") - length + 1).alias("strings"), F.lit(0).cast("long").alias("core"), F.col("content").alias("sub"), "bytes")
+    some = shared_runs(materialise(parts.dropDuplicates(["gram", "content"]), "parts"), length)
     whole = kinds.where("n > 1").select("gram", "content", F.lit(0).alias("lo"), (F.col("at.size") - 1).alias("hi"))
     once = kinds.where("n = 1").select("gram", "content")
     runs = whole.union(some.join(once, ["gram", "content"], "left_semi"))
