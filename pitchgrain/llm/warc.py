@@ -40,10 +40,10 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RECORD = "file string, at long, next long, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
-def base32_sha1(data: Column) -> Column:
-    """SHA-1 in base 32, five bits a letter."""
-    bits = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.lpad(F.conv(F.substr(F.sha1(data), i * 4 + 1, F.lit(4)), 16, 2), 16, "0")), "")
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substr(F.lit(BASE32), F.conv(F.substr(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1))), "")
+def base32(hexadecimal: Column) -> Column:
+    """40 hexadecimal digits in base 32: five of them are four letters."""
+    fours = [F.lpad(F.conv(F.substr(hexadecimal, F.lit(5 * i + 1), F.lit(5)), 16, 32), 4, "0") for i in range(8)]
+    return F.translate(F.concat(*fours), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
@@ -62,7 +62,7 @@ def write(pages: DataFrame, path: str, least: int = LEAST, per_file: int = PER_F
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size, F.lit("\r\n\r\n"))
     again = F.col("first").isNotNull()
     urn = lambda number: F.concat(F.lit("<urn:page:"), F.coalesce(number.cast("string"), F.lit("none")), F.lit(">"))
-    rows = rows.select("*", F.concat(http, F.when(again, "").otherwise(F.col("html"))).alias("block"))
+    rows = rows.select("*", F.sha1("html").alias("sha1"), F.concat(http, F.when(again, "").otherwise(F.col("html"))).alias("block"))
     header = F.concat(
         F.lit(MAGIC.decode() + "WARC-Type: "),
         F.when(again, "revisit").otherwise("response"),
@@ -71,7 +71,7 @@ def write(pages: DataFrame, path: str, least: int = LEAST, per_file: int = PER_F
         F.lit(f"\r\nWARC-Date: {DATE}"),
         F.coalesce(F.concat(F.lit("\r\nWARC-Target-URI: "), F.translate("url", "\r\n", "  ")), F.lit("")),
         F.lit("\r\nWARC-Payload-Digest: sha1:"),
-        base32_sha1(F.col("html")),
+        base32(F.col("sha1")),
         F.when(
             again,
             F.concat(F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "), urn(F.col("first"))),
