@@ -22,8 +22,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source."""
-    return line_dedup.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Documents without the boilerplate lines of their source; exact and near copies count as one page."""
+    return line_dedup.drop_boilerplate(docs, copies_once=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
