@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchgrain.llm import decontamination, line_dedup, near_dedup, packing, quality
-from pitchgrain.llm.shared import materialise, read_table
+from pitchgrain.llm.shared import fresh_name, materialise, read_table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model accepts. A repeated id goes only if all its rows are rejected."""
-    scores = quality.quality_scores(docs, read_table(spark, sf_dir, "labels"))
-    good = scores.where("predicted = 1").select(F.col("doc_id").alias("good_id")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["good_id"]), "left_semi")
+    """Rows that the quality model accepts, whatever their ids."""
+    row = fresh_name(docs, "row")
+    keyed = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    scores = quality.quality_scores(keyed, read_table(spark, sf_dir, "labels"), row=row)
+    good = scores.where("predicted = 1").select(F.col("row").alias("good_row"))
+    return keyed.join(good, keyed[row] == good["good_row"], "left_semi").select(*(keyed[c] for c in docs.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -180,10 +180,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, m
 
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with the smallest ``doc_id`` of their component."""
-    kept_id = fresh_name(docs, "kept_id")
-    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias(kept_id)).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col(kept_id)), "left_semi")
+    """One row of ``docs`` of each component: the smallest ``doc_id``, nulls last, then the least digest of the text.
+
+    Ids may repeat or be null, as rows are told apart by a key of their own. Rows without shingles all stay.
+    """
+    row = fresh_name(docs, "row")
+    keyed = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), percent)
+    groups = found.where("n_shingles > 0").select(F.col("doc_id").alias("of"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), F.col(row).alias("row"))
+    ranks = keyed.select(F.col(row).alias("row"), order.alias("rank")).join(groups, F.col("row") == F.col("of"))
+    first = ranks.groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank.row").alias("row"))
+    kept = first.union(found.where("n_shingles = 0").select("doc_id")).toDF("kept_row")
+    return keyed.join(kept, F.col(row) == F.col("kept_row"), "left_semi").select(*(keyed[c] for c in docs.columns))
 
 
 #: In DuckDB's SQL: shingles joined with each other, components by recursion.

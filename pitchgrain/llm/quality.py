@@ -95,18 +95,21 @@ def features(texts: pa.Array) -> np.ndarray:
     return np.nan_to_num(np.column_stack(columns[:NAMES])).astype(np.float32)
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """doc_id, x: the features of each text."""
+def described(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, x: the features of each text; with ``row`` also that column, a key of BIGINT, as ``row``."""
+    kept = ["doc_id", "row"] if row else ["doc_id"]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch.column("text")):
                 x = features(batch.column("text")[lo:hi])
                 edges = np.arange(0, x.size + 1, NAMES, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.ListArray.from_arrays(pa.array(edges), pa.array(x.ravel()))], names=["doc_id", "x"])
+                own = [batch.column(c)[lo:hi] for c in kept]
+                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(edges), pa.array(x.ravel()))], names=[*kept, "x"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    return texts.mapInArrow(measured, "doc_id long, x array<float>")
+    key = [F.col(row).cast("long").alias("row")] if row else []
+    texts = docs.select(F.col("doc_id").cast("long"), *key, text_or_empty().alias("text"))
+    return texts.mapInArrow(measured, ", ".join(f"{c} long" for c in kept) + ", x array<float>")
 
 
 def expanded(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -203,21 +206,26 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, steps: int = STEPS) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row for each row of ``docs``. Labels of held-out ids are not looked at."""
+def quality_scores(docs: DataFrame, labels: DataFrame, steps: int = STEPS, row: str | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted: one row for each row of ``docs``. Labels of held-out ids are not looked at.
+
+    ``row`` names a key column of ``docs``, which the result then has as ``row``; ids may repeat, keys may not.
+    """
+    kept = ["doc_id", "row"] if row else ["doc_id"]
     seen = labels.where(F.col("quality").isNotNull()).select(F.col("doc_id").cast("long"), "quality").where(~held_out())
     seen = seen.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     good, all_ = seen.agg(F.count_if(F.col("quality") == 1), F.count(F.lit(1))).first()
     prior = min(max(good / all_, 0.01), 0.99) if all_ else 0.5
     trusted = seen.where("quality = 1").select(F.col("doc_id").alias("of_id"), F.lit(True).alias("positive"))
-    measured = materialise(described(docs), "features")
+    measured = materialise(described(docs, row), "features")
     known = measured.join(trusted, F.col("doc_id") == F.col("of_id"), "left")
-    table = materialise(known.select("doc_id", "x", F.coalesce("positive", F.lit(False)).alias("positive")), "training")
+    table = materialise(known.select(*kept, "x", F.coalesce("positive", F.lit(False)).alias("positive")), "training")
     model = fit(table, prior, steps)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(matrix(batch.column("x"))))], names=["doc_id", "score"])
+            scores = pa.array(model.score(matrix(batch.column("x"))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), scores], names=[*kept, "score"])
 
-    out = table.select("doc_id", "x").mapInArrow(scored, "doc_id long, score double")
-    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = table.select(*kept, "x").mapInArrow(scored, ", ".join(f"{c} long" for c in kept) + ", score double")
+    return out.select(*kept, held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

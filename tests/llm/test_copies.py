@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 from conftest import SF
-from pitchgrain.llm import line_dedup
+from pitchgrain.llm import line_dedup, near_dedup
 
 SHARED = "Read our terms before you go on."
 
@@ -37,3 +37,27 @@ def test_awkward_pages(spark):
     docs = spark.createDataFrame(rows, "source string, text string")
     got = line_dedup.drop_boilerplate(docs, copies_once=True).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(rows, key=repr)
+
+
+def test_one_row_of_each_component(spark):
+    """Equal rows of an id, a near copy whose id has another text as well, and groups without ids."""
+    rng = random.Random(5)
+    a, b, c, d = (written(rng, 12) for _ in range(4))
+    rows = [(1, a), (1, a), (2, b), (3, edited(rng, b)), (3, c), (None, d), (None, d), (None, edited(rng, d)), (None, a), (9, None), (9, " "), (None, "")]
+    got = near_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    first = [x["text"] for x in got if x["doc_id"] is None and x["text"]]
+    assert len(first) == 1 and first[0] in {d, rows[7][1]}
+    named = sorted((tuple(x) for x in got if x["doc_id"] is not None), key=repr)
+    assert named == sorted([(1, a), (2, b), (3, c), (9, None), (9, " ")], key=repr) and (None, "") in {tuple(x) for x in got} and len(got) == 7
+
+
+def test_rejected_rows_of_an_accepted_id_go(spark):
+    """Real documents once with their own ids and once with ids that all are the same or null: the same texts stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id >= 0")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scores = {(x["row"]): x["predicted"] for x in corpus_pipeline.quality.quality_scores(docs.selectExpr("doc_id", "text", "doc_id as r"), labels, row="r").collect()}
+    repeated = docs.withColumn("doc_id", corpus_pipeline.F.expr("if(doc_id % 2 = 0, 1, null)").cast("long"))
+    kept = corpus_pipeline.keep_good(spark, repeated, SF)
+    again = corpus_pipeline.quality.quality_scores(repeated, labels)
+    assert kept.dtypes == docs.dtypes and kept.count() == again.where("predicted = 1").count() < docs.count()
+    assert len(scores) == docs.count() and set(scores.values()) == {0, 1}
