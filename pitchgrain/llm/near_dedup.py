@@ -191,8 +191,9 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), F.col(row).alias("row"))
     ranks = keyed.select(F.col(row).alias("row"), order.alias("rank")).join(groups, F.col("row") == F.col("of"))
     first = ranks.groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank.row").alias("row"))
-    kept = first.union(found.where("n_shingles = 0").select("doc_id")).toDF("kept_row")
-    return keyed.join(kept, F.col(row) == F.col("kept_row"), "left_semi").select(*(keyed[c] for c in docs.columns))
+    kept_row = fresh_name(keyed, "kept_row")
+    kept = first.union(found.where("n_shingles = 0").select("doc_id")).toDF(kept_row)
+    return keyed.join(kept, keyed[row] == kept[kept_row], "left_semi").select(*(keyed[c] for c in docs.columns))
 
 
 #: In DuckDB's SQL: shingles joined with each other, components by recursion.
