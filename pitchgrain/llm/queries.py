@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, html_text, line_dedup, near_dedup, packing, paragraph_dedup, quality, substring_dedup, warc
+from pitchgrain.llm import decontamination, exact_dedup, html_text, line_dedup, merkle, near_dedup, packing, paragraph_dedup, quality, substring_dedup, warc
 from pitchgrain.llm.shared import read_table
 from pitchgrain.session import checkpoint_root
 
@@ -66,6 +66,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_html_text": op2_html_text,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_near_dedup": op10_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -86,4 +91,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_paragraph_dedup": paragraph_dedup.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op10_near_dedup": near_dedup.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
