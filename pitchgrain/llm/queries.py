@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchgrain.llm import decontamination, exact_dedup, html_text, line_dedup, merkle, near_dedup, packing, paragraph_dedup, quality, substring_dedup, warc
+from pitchgrain.llm import decontamination, divergence, exact_dedup, html_text, line_dedup, merkle, near_dedup, packing, paragraph_dedup, quality, substring_dedup, warc, weak_rules
 from pitchgrain.llm.shared import read_table
 from pitchgrain.session import checkpoint_root
 
@@ -70,6 +70,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.checked(read_table(spark, sf_dir, "documents"))
 
 
+def op12_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weak_rules.judge(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_html_text": op2_html_text,
@@ -82,6 +91,8 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_near_dedup": op10_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_weak_quality": op12_weak_quality,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -92,4 +103,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op10_near_dedup": near_dedup.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_weak_quality": weak_rules.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
 }
