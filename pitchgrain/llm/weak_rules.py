@@ -128,20 +128,22 @@ class Model:
 def estimate(measured: DataFrame, steps: int = STEPS) -> Model:
     """The model after ``steps`` of expectation-maximisation over all texts that ``BASE`` lets through."""
     patterns = materialise(measured.where(f"NOT ({BASE})").select(*(vote(r).alias(r) for r in RULES)).groupBy(*RULES).agg(F.count(F.lit(1)).alias("n")), "patterns")
-    model, n = Model(), F.col("n")
+    model = Model()
     for _ in range(steps):
-        p = F.col("p")
-        sums = [F.sum(n).alias("all"), F.sum(n * p).alias("good")]
-        for r in RULES:
-            for name, weight in (("g", p), ("b", 1 - p)):
-                sums += [F.sum(F.when(F.col(r) > 0, n * weight).otherwise(0.0)).alias(f"{name}_{r}"), F.sum(F.when(F.col(r) != 0, n * weight).otherwise(0.0)).alias(f"{name}n_{r}")]
-        got = patterns.withColumn("p", model.probability()).agg(*sums).first()
-        if not got["all"]:
+        # A row for each rule and vote; the last rule is the share of good texts.
+        each = patterns.select("n", model.probability().alias("p"), F.posexplode(F.array(*RULES, F.lit(1))).alias("rule", "vote"))
+        sums = each.groupBy("rule", "vote").agg(F.sum(F.col("n") * F.col("p")), F.sum(F.col("n") * (1 - F.col("p"))))
+        got = {(rule, vote): found for rule, vote, *found in sums.collect()}
+        if not got:
             break  # nothing to learn from
-        chance = lambda name, r, first: (got[f"{name}_{r}"] + WEIGHT * first) / (got[f"{name}n_{r}"] + WEIGHT)  # noqa: B023, E731
-        model = Model(
-            (got["good"] + WEIGHT * PRIOR) / (got["all"] + WEIGHT), [chance("g", r, IN_GOOD) for r in RULES], [chance("b", r, IN_BAD) for r in RULES]
-        )
+
+        def chance(rule: int, kind: int, first: float, got: dict = got) -> float:
+            up, down = (got.get((rule, vote), (0.0, 0.0))[kind] for vote in (1, -1))
+            return (up + WEIGHT * first) / (up + down + WEIGHT)
+
+        good, bad = got[len(RULES), 1]
+        prior = (good + WEIGHT * PRIOR) / (good + bad + WEIGHT)
+        model = Model(prior, *([chance(r, kind, first) for r in range(len(RULES))] for kind, first in ((0, IN_GOOD), (1, IN_BAD))))
     return model
 
 
