@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pitchgrain.llm import shingles
 from pitchgrain.llm.components import linked
 from pitchgrain.llm.packing import slices
-from pitchgrain.llm.rare_shingles import rarest
+from pitchgrain.llm.rare_shingles import confirmed, rarest
 from pitchgrain.llm.shared import fresh_name, materialise, text_or_empty
 
 PERCENT = 85
@@ -124,30 +124,6 @@ def likely(pairs: DataFrame, percent: int, count: int, miss: float) -> DataFrame
     return pairs.mapInArrow(compared, schema)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """a, b of the pairs whose full sets reach the threshold; pairs carry doc ids and set keys."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
-    with_b = pairs.join(texts.withColumnsRenamed({"id": "id_b", "text": "text_b"}), F.col("doc_b").eqNullSafe(F.col("id_b")))
-    both = with_b.join(texts.withColumnsRenamed({"id": "id_a", "text": "text_a"}), F.col("doc_a").eqNullSafe(F.col("id_a")))
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi in slices(batch.column("text_a")):
-                part = batch.slice(lo, hi - lo)
-                sets = zip(*(shingles.shingle_sets(part.column(c)) for c in ("text_a", "text_b")), strict=True)
-                keys = zip(*(part.column(c).to_pylist() for c in ("key_a", "key_b")), strict=True)
-                good = []
-                for i, ((a, b), want) in enumerate(zip(sets, keys, strict=True)):
-                    # Where ids repeat, texts of other rows come along; the set key tells them.
-                    if (shingles.set_key(a), shingles.set_key(b)) == want:
-                        common = len(np.intersect1d(a, b, assume_unique=True))
-                        if 100 * common >= percent * (len(a) + len(b) - common):
-                            good.append(i)
-                yield part.select(["a", "b"]).take(pa.array(good, pa.int64()))
-
-    return both.select("a", "b", "key_a", "key_b", "text_a", "text_b").mapInArrow(exact, "a long, b long").distinct()
-
-
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, miss_band: float = MISS_BAND, miss: float = MISS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
     count = rows * shingles.bands_for(percent / 100, rows, miss_band)
@@ -157,18 +133,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, m
     first = sets.select(F.col("node").alias("row"))
     nodes = materialise(signed.join(first, "row").withColumnRenamed("row", "node"), "nodes")
     members = nodes.select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("size"))
+    met = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    members = materialise(members.join(materialise(met, "met"), "key"), "members")
+    parts = materialise(texts_of(nodes.join(members.select("node").distinct(), "node"), docs), "parts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
-            facts = nodes.select(
-                F.col("node").alias(side),
-                *(F.col(c).alias(f"{new}_{side}") for c, new in (("doc_id", "doc"), ("set_key", "key"), ("signature", "signature"))),
-            )
-            pairs = pairs.join(facts, side)
-        return confirmed(materialise(likely(pairs, percent, count, miss), "likely"), docs, percent)
+            pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("signature").alias(f"signature_{side}")), side)
+        return confirmed(materialise(likely(pairs, percent, count, miss), "likely"), parts, percent)
 
     def refine(crowded: DataFrame) -> DataFrame:
-        return rarest(materialise(texts_of(nodes.join(crowded, "node"), docs), "crowded"), percent)
+        return rarest(parts.join(crowded, "node"), percent)
 
     labels = linked(members, verify, percent, refine)
     placed = materialise(sets.join(labels, "node", "left").select("set_key", "least", F.coalesce("label", "node").alias("label")), "placed-sets")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pitchgrain.llm import shingles
 from pitchgrain.llm.components import linked
 from pitchgrain.llm.packing import slices
-from pitchgrain.llm.rare_shingles import rarest
+from pitchgrain.llm.rare_shingles import confirmed, rarest
 from pitchgrain.llm.shared import fresh_name, materialise, text_or_empty
 
 PERCENT = 80
@@ -81,24 +81,6 @@ def fetched(nodes: DataFrame, wanted: DataFrame, texts: DataFrame) -> DataFrame:
     return met.select("node", F.split("text", "\n", -1)[F.col("place")].alias("part")).dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """a, b of the pairs whose full sets reach the threshold."""
-    both = pairs.join(parts.toDF("b", "part_b"), "b").join(parts.toDF("a", "part_a"), "a")
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for lo, hi in slices(batch.column("part_a")):
-                sets = zip(*(shingles.shingle_sets(batch.column(c)[lo:hi]) for c in ("part_a", "part_b")), strict=True)
-                for i, (a, b) in enumerate(sets, lo):
-                    common = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * common >= percent * (len(a) + len(b) - common):
-                        good.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
-
-    return both.select("a", "b", "part_a", "part_b").mapInArrow(exact, "a long, b long")
-
-
 def repeated(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """doc_id, text_key, place of each paragraph that goes, and of the one that stays for it kept_in (a doc_id) and kept_place."""
     count = rows * shingles.bands_for(percent / 100, rows, miss)

@@ -1,4 +1,4 @@
-"""Buckets of rare shingles, in which every pair above a similarity meets."""
+"""Buckets of rare shingles, in which every pair above a similarity meets, and the test of such pairs."""
 
 from __future__ import annotations
 
@@ -10,44 +10,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchgrain.llm import shingles
-
-SKETCH = 1 << 16
+from pitchgrain.llm.packing import slices
+from pitchgrain.llm.shared import discard, materialise
 
 
 def rarest(parts: DataFrame, percent: int) -> DataFrame:
-    """key, node, size: the rarest shingles of each node's text as buckets, of ``parts`` (node, part).
+    """key, node, size, at: the rarest shingles of each node's text as buckets, of ``parts`` (node, part).
 
     Of two sets of n and m shingles whose similarity reaches t, the first n - ceil(t n) + 1 and
-    m - ceil(t m) + 1 in any common order share one, so no linked pair is missed. Rare ones first, the
-    buckets are small. How rare is told by a table of ``SKETCH`` counters, a size that does not grow;
-    where counters are shared, the order is a worse one, and the rule holds all the same.
+    m - ceil(t m) + 1 in any common order share one, so no linked pair is missed. The order is by the
+    number of nodes with the shingle, the rarest first, and ``at`` is the shingle's place in it, from 0.
+    Shingles of a single node come before all others and are only counted.
     """
-    parts = parts.repartition("node")
-    slot = np.uint64(SKETCH - 1)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for values in shingles.shingle_sets(batch.column("part")):
-                total += np.bincount((values & slot).astype(np.int64), minlength=SKETCH)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
-
-    counts = np.zeros(SKETCH, np.int64)
-    for at, n in parts.mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():
-        counts[at] = n
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for lo, hi in slices(batch.column("part")):
+                sets = list(shingles.shingle_sets(batch.column("part")[lo:hi]))
+                sizes = np.array([len(s) for s in sets], np.int64)
+                row = np.repeat(np.arange(len(sets)), sizes)
+                keys = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+                node = batch.column("node")[lo:hi].take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), node, pa.array(sizes[row])], names=["key", "node", "size"])
+
+    each = materialise(parts.select("node", "part").mapInArrow(listed, "key long, node long, size long"), "shingles")
+    often = materialise(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "frequencies")
+    met = each.join(often, "key").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("met"))
+    prefix = F.slice("met", F.lit(1), F.greatest(F.size("met") - F.ceil(F.col("size") * percent / 100).cast("int") + 1, F.lit(0)))
+    first = met.select("node", "size", (F.col("size") - F.size("met")).alias("own"), F.posexplode(prefix).alias("place", "x"))
+    out = materialise(first.select("x.key", "node", "size", (F.col("own") + F.col("place")).alias("at")), "rarest")
+    discard(each, often)
+    return out
+
+
+def confirmed(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """a, b of the pairs whose full sets reach the threshold; ``parts`` (node, part) has their texts."""
+    both = pairs.join(parts.toDF("b", "part_b"), "b").join(parts.toDF("a", "part_a"), "a")
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, lengths, sizes = [], [], []
-            for values in shingles.shingle_sets(batch.column("part")):
-                order = np.lexsort((values, counts[(values & slot).astype(np.int64)]))
-                n = len(values)
-                keys.append(values[order[: n + percent * -n // 100 + 1]])
-                lengths.append(len(keys[-1]))
-                sizes.append(n)
-            row = np.repeat(np.arange(len(sizes)), lengths)
-            flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), batch.column("node").take(pa.array(row)), pa.array(np.array(sizes, np.int64)[row])], names=["key", "node", "size"])
-
-    return parts.mapInArrow(first, "key long, node long, size long")
+            good = []
+            for lo, hi in slices(batch.column("part_a")):
+                sets = zip(*(shingles.shingle_sets(batch.column(c)[lo:hi]) for c in ("part_a", "part_b")), strict=True)
+                for i, (a, b) in enumerate(sets, lo):
+                    common = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * common >= percent * (len(a) + len(b) - common):
+                        good.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+
+    return both.select("a", "b", "part_a", "part_b").mapInArrow(exact, "a long, b long")

@@ -311,8 +311,7 @@ def test_token_ids_of_odd_texts():
         assert ids[at[k] : at[k + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
-def test_crowded_paragraphs_meet_by_rare_shingles(spark, monkeypatch):
-    monkeypatch.setattr(components, "OUTSIDE", 2)
+def test_crowded_paragraphs_meet_by_rare_shingles(spark):
     rng = np.random.default_rng(5)
     rows = []
     for i in range(80):
@@ -325,8 +324,7 @@ def test_crowded_paragraphs_meet_by_rare_shingles(spark, monkeypatch):
     assert dict(tuple(r) for r in got.collect()) == want
 
 
-def test_crowded_documents_meet_by_rare_shingles(spark, monkeypatch):
-    monkeypatch.setattr(components, "OUTSIDE", 2)
+def test_crowded_documents_meet_by_rare_shingles(spark):
     rng = np.random.default_rng(6)
     texts = []
     for _ in range(60):
