@@ -234,6 +234,11 @@ def cosine_topk(
         hits = _shipped(d, QueryBlock.of(head))
     else:
         hits = _blocked(d, q, q.count())
+    return best(hits)
+
+
+def best(hits: DataFrame) -> DataFrame:
+    """query_id, doc_id, score, rank: of ``hits`` (query_id, doc_id, score, k) the k best of each query."""
     # Merged in two steps: with many tasks, a query's hits of all of them would meet in one.
     part = F.pmod(F.xxhash64("doc_id"), F.lit(MERGE_PARTS))
     near = Window.partitionBy("query_id", part).orderBy(F.desc("score"), "doc_id")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchgrain.functions.encoder import (
     QUERY_PREFIX,
@@ -15,13 +17,16 @@ from pitchgrain.functions.encoder import (
     encode_column,
     encode_query,
     token_hash_encoder,
+    unit_rows,
 )
-from pitchgrain.operators.topk import cosine_topk
+from pitchgrain.operators.topk import HITS, SCORE_DIGITS, UNDEFINED, best, cosine_topk
+from pitchgrain.session import materialise
 
-LSH_TABLES = 24
-LSH_PROJECTIONS = 4  # per table; more make a code rarer
-LSH_BUCKET = 0.3
-LSH_SEED = 7
+CODE_TABLES = 64
+CODE_BITS = 14  # per table; more make a code rarer
+FREE_BITS = 6  # of a query's code in a table, tried both ways
+OVERFULL = 65_536
+SALTS = 64
 
 
 def evened(scan: DataFrame) -> DataFrame:
@@ -83,60 +88,112 @@ def search_text(
 # ---------------------------------------------------------------- approximate search
 
 
-def fit_lsh(
-    vectors: DataFrame,
-    tables: int = LSH_TABLES,
-    projections: int = LSH_PROJECTIONS,
-    bucket: float = LSH_BUCKET,
-    seed: int = LSH_SEED,
-) -> BucketedRandomProjectionLSHModel:
-    """Random projections of the width of ``embedding``. Fitting looks at one row only."""
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_vector",
-        outputCol="_hashes",
-        numHashTables=tables * projections,
-        bucketLength=bucket,
-        seed=seed,
+def sign_matrix(width: int, columns: int) -> np.ndarray:
+    """Signs of the projections, a column for each bit; from a digest, so that SQL can do the same."""
+    return np.array(
+        [
+            [1 if hashlib.md5(f"{j}:{b}".encode()).hexdigest()[0] >= "8" else -1 for b in range(columns)]
+            for j in range(1, width + 1)
+        ],
+        dtype=np.int8,
     )
-    return lsh.fit(_as_vector(vectors))
 
 
-def _as_vector(df: DataFrame) -> DataFrame:
+def with_codes(df: DataFrame, tables: int = CODE_TABLES, bits: int = CODE_BITS, free: int = 0) -> DataFrame:
+    """Rows that have an ``embedding``, with ``codes``: for each table the signs of ``bits`` projections.
+
+    With ``free``, a table's codes are all those that differ from it in its ``free`` least certain
+    signs, the projections nearest to zero. Without, the single code of each table.
+    """
     present = df.filter(F.col("embedding").isNotNull())
-    return present.withColumn("_vector", array_to_vector(F.col("embedding")))
+    schema = T.StructType(present.schema.fields + [T.StructField("codes", T.ArrayType(T.ArrayType(T.IntegerType())))])
+    spread = np.array([[(i >> k) & 1 for k in range(free)] for i in range(1 << free)], dtype=np.int64)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signs = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            vectors = vectors.reshape(batch.num_rows, -1)
+            if signs is None:
+                signs = sign_matrix(vectors.shape[1], tables * bits)
+            ahead = (vectors @ signs).reshape(-1, tables, bits)
+            places = 1 << np.arange(bits)
+            order = np.argsort(np.abs(ahead), axis=2, kind="stable")[:, :, :free]
+            loose = places[order]
+            base = ((ahead > 0) * places).sum(axis=2) & ~loose.sum(axis=2)
+            every = (base[:, :, None] + loose @ spread.T).astype(np.int32)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, every.size + 1, 1 << free, dtype=np.int32)), pa.array(every.ravel()))
+            codes = pa.ListArray.from_arrays(pa.array(np.arange(0, batch.num_rows * tables + 1, tables, dtype=np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([*batch.columns, codes], names=[*batch.schema.names, "codes"])
+
+    return present.mapInArrow(coded, schema)
+
+
+def code_index(docs: DataFrame, tables: int = CODE_TABLES, bits: int = CODE_BITS) -> DataFrame:
+    """The inverted table: a row (table, code, doc_id, doc_type) for each document and table.
+
+    Written once, it answers any number of searches without a look at the documents.
+    """
+    coded = with_codes(docs.select("doc_id", "doc_type", "embedding"), tables, bits)
+    placed = coded.select("doc_id", F.col("doc_type").cast("string"), F.posexplode("codes").alias("table", "c"))
+    return placed.select("table", F.col("c")[0].alias("code"), "doc_id", "doc_type")
 
 
-def with_codes(
-    df: DataFrame,
-    model: BucketedRandomProjectionLSHModel,
-    projections: int = LSH_PROJECTIONS,
-) -> DataFrame:
-    """Add ``codes``: per table the combined bucket numbers of its projections.
+def candidates(index: DataFrame, queries: DataFrame, tables: int = CODE_TABLES, bits: int = CODE_BITS, free: int = FREE_BITS) -> DataFrame:
+    """query_id, doc_id: documents that share a code with a query, by equality of table and code.
 
-    For unit vectors near in Euclidean distance is near in cosine. Stored next to the embedding,
-    a code is computed once per row.
+    A code that more than ``OVERFULL`` documents have is split into ``SALTS`` parts, each asked by itself.
     """
-    hashed = model.transform(_as_vector(df))
-    buckets = [
-        vector_to_array(F.element_at("_hashes", i + 1)).getItem(0).cast("int")
-        for i in range(model.getNumHashTables())
-    ]
-    codes = F.array(
-        *[F.hash(*buckets[i : i + projections]) for i in range(0, len(buckets), projections)]
-    )
-    return hashed.withColumn("codes", codes).drop("_vector", "_hashes")
+    full = index.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > OVERFULL)
+    full = materialise(full.select("table", "code", F.lit(SALTS).alias("parts")), "overfull")
+    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1))).alias("part")
+    dealt = index.join(full, ["table", "code"], "left").select("table", "code", part, "doc_id", "doc_type")
+    coded = with_codes(queries.select("query_id", "doc_type", "embedding"), tables, bits, free)
+    placed = coded.select("query_id", F.col("doc_type").cast("string").alias("wanted"), F.posexplode("codes").alias("table", "c"))
+    asked = placed.select("query_id", "wanted", "table", F.explode("c").alias("code")).join(full, ["table", "code"], "left")
+    asked = asked.select("query_id", "wanted", "table", "code", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)).alias("part"))
+    met = asked.join(dealt, ["table", "code", "part"])
+    return met.filter(F.col("wanted").isNull() | (F.col("wanted") == F.col("doc_type"))).select("query_id", "doc_id").distinct()
+
+
+def rescored(found: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """query_id, doc_id, score, k: the exact cosine of each pair (query_id, doc_id)."""
+    vectors = docs.filter(F.col("embedding").isNotNull()).select("doc_id", F.col("embedding").alias("of_doc"))
+    asked = queries.select("query_id", F.col("embedding").alias("of_query"), F.col("k").cast("bigint").alias("k"))
+    pairs = found.join(vectors, "doc_id").join(asked, "query_id").select("query_id", "doc_id", "of_doc", "of_query", "k")
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                left, right = (
+                    unit_rows(batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1))
+                    for c in ("of_doc", "of_query")
+                )
+                score = np.round(np.einsum("ij,ij->i", left, right), SCORE_DIGITS)
+                score[~left.any(axis=1) | ~right.any(axis=1)] = UNDEFINED
+                own = [batch.column(c) for c in ("query_id", "doc_id")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(score), batch.column("k")], names=["query_id", "doc_id", "score", "k"])
+
+    return pairs.mapInArrow(scored, HITS)
 
 
 def approximate_topk(
     docs: DataFrame,
     queries: DataFrame,
-    model: BucketedRandomProjectionLSHModel | None = None,
-    projections: int = LSH_PROJECTIONS,
+    index: DataFrame | None = None,
+    tables: int = CODE_TABLES,
+    bits: int = CODE_BITS,
+    free: int = FREE_BITS,
 ) -> DataFrame:
-    """Top-k among documents that share a code with the query, scored exactly.
+    """Top-k among documents that share a code with the query, scored exactly: query_id, doc_id, score, rank.
 
-    Codes are compared inside the scan, so an overfull bucket costs arithmetic, not a skewed
-    join, and no candidate is cut off.
+    ``index`` is a stored ``code_index`` of the same ``tables`` and ``bits``; without one it is made here.
+    Only candidates' vectors are compared; no candidate is cut off.
     """
-    model = model or fit_lsh(docs, projections=projections)
-    return cosine_topk(with_codes(docs, model, projections), with_codes(queries, model, projections))
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    queries = queries.withColumn("query_id", F.col("query_id").cast("bigint")).filter(F.col("k") > 0)
+    if index is None:
+        index = materialise(code_index(docs, tables, bits), "codes")
+    return best(rescored(candidates(index, queries, tables, bits, free), docs, queries))

@@ -6,6 +6,7 @@ from pitchgrain import schemas as S
 from pitchgrain.functions.encoder import QUERY_PREFIX
 from pitchgrain.plans import wording as W
 from pitchgrain.plans.quality import METRIC_EVENTS
+from pitchgrain.plans.search import CODE_BITS, CODE_TABLES, FREE_BITS
 from pitchgrain.registry.base_sql import half_up, with_tables
 
 STATEMENTS: dict[str, str] = {}
@@ -655,6 +656,33 @@ says(
           FROM embeddings e JOIN q ON q.want IS NULL OR q.want = e.label)""",
 )
 
+says(
+    "vector_topk_lsh",
+    """
+    SELECT query_id, rank, doc_id, doc_type, score FROM ranked WHERE rank <= k""",
+    el=ELEMENTS,
+    mean="SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM el GROUP BY label, i",
+    signs=f"""
+    SELECT i, b // {CODE_BITS} AS t, b % {CODE_BITS} AS b, CASE WHEN substr(md5(i || ':' || b), 1, 1) >= '8' THEN 1 ELSE -1 END AS s
+    FROM (SELECT DISTINCT i FROM el), unnest(range({CODE_TABLES * CODE_BITS})) AS u(b)""",
+    doc_codes="""
+    SELECT vec_id, t, sum(CASE WHEN p > 0 THEN 1 << CAST(b AS INTEGER) ELSE 0 END) AS code
+    FROM (SELECT vec_id, t, b, sum(s * CAST(x AS DOUBLE)) AS p FROM el JOIN signs USING (i) GROUP BY ALL) GROUP BY ALL""",
+    query_codes=f"""
+    SELECT label, t, sum(CASE WHEN p > 0 AND r > {FREE_BITS} THEN 1 << CAST(b AS INTEGER) ELSE 0 END) AS code,
+           sum(CASE WHEN r > {FREE_BITS} THEN 1 << CAST(b AS INTEGER) ELSE 0 END) AS sure
+    FROM (SELECT *, row_number() OVER (PARTITION BY label, t ORDER BY abs(p), b) AS r
+          FROM (SELECT label, t, b, sum(s * x) AS p FROM mean JOIN signs USING (i) GROUP BY ALL)) GROUP BY ALL""",
+    found="SELECT DISTINCT q.label, d.vec_id FROM query_codes q JOIN doc_codes d ON q.t = d.t AND CAST(d.code AS BIGINT) & CAST(q.sure AS BIGINT) = CAST(q.code AS BIGINT)",
+    whole="SELECT label, list(x ORDER BY i) AS v FROM mean GROUP BY label",
+    ranked="""
+    SELECT CAST(m.label * 2 + a.wide AS BIGINT) AS query_id, vec_id AS doc_id, CAST(e.label AS VARCHAR) AS doc_type, a.k,
+           round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), m.v), 6) AS score,
+           row_number() OVER (PARTITION BY m.label, a.wide ORDER BY list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), m.v) DESC, vec_id) AS rank
+    FROM whole m JOIN found USING (label) JOIN embeddings e USING (vec_id), (VALUES (0, 3), (1, 5)) AS a(wide, k)
+    WHERE a.wide = 1 OR m.label = e.label""",
+)
+
 # ---------------------------------------------------------------- normalised landing rows
 
 says(

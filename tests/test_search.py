@@ -103,3 +103,28 @@ def test_lsh_finds_near_neighbours(spark):
     # what it returns is scored exactly
     scores = {(r.query_id, r.doc_id): r.score for r in cosine_topk(d, q).collect()}
     assert all(abs(scores[p] - s) < 1e-9 for p, s in close.items() if p in scores)
+
+
+def test_codes_prune(spark):
+    """Candidates come from the index alone, and few of them; a hot code is split without loss."""
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((50, 64))
+    points = np.repeat(centres, 40, axis=0) + 0.25 * rng.standard_normal((2000, 64))
+    rows = [(i, "a" if i % 2 else "b", points[i].astype(np.float32).tolist()) for i in range(2000)]
+    rows += [(2000 + i, "a", rows[0][2]) for i in range(300)] + [(9000, "a", None), (9001, "b", [0.0] * 64)]
+    d = spark.createDataFrame(rows, DOCS)
+    q = d.filter("doc_id % 100 = 0 and doc_id < 2000").select(
+        F.col("doc_id").alias("query_id"), "embedding", F.when(F.col("doc_id") % 200 == 0, F.col("doc_type")).alias("doc_type"), F.lit(5).alias("k")
+    )
+    index = V.materialise(V.code_index(d), "index")
+    pairs = {tuple(r) for r in V.candidates(index, q).collect()}
+    assert len(pairs) < 0.3 * 20 * len(rows)
+    V.OVERFULL, kept = 50, V.OVERFULL
+    try:
+        assert {tuple(r) for r in V.candidates(index, q).collect()} == pairs
+    finally:
+        V.OVERFULL = kept
+    exact = {(r.query_id, r.doc_id) for r in cosine_topk(d, q).collect()}
+    close = {(r.query_id, r.doc_id) for r in V.approximate_topk(d, q, index).collect()}
+    assert len(exact & close) / len(exact) >= 0.95
+    assert V.approximate_topk(d.limit(0), q).count() == 0 and V.approximate_topk(d, q.limit(0)).count() == 0
