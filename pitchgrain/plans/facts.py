@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchgrain import schemas as S
 from pitchgrain.functions.numeric import exact_ratio
-from pitchgrain.operators.choose import nulls_last
 from pitchgrain.operators.intervals import interval_minutes, state_timeline
-from pitchgrain.operators.skew import spread_join
 
 # Which payload attribute matters for which event type.
 DETAIL_KEYS = {
@@ -77,60 +75,64 @@ def _metrics() -> list[Column]:
 
 
 def player_event_totals(events: DataFrame) -> DataFrame:
-    """All event metrics per (match, player) in one pass; events without a player are left out.
+    """All event metrics per (match, player), and ``max_minute``, the match's last minute, in one scan.
 
     Every buffer is a fixed-width number, so the partial aggregate hashes in place and what is
-    shuffled is one row per key and task, however large a single match is.
+    shuffled is one row per key and task, however large a single match is. Events without a player
+    make a row of their own in each match: they count for its last minute, which the window takes
+    from the totals, a row for each player, and then they go.
     """
-    named = events.filter(F.col("player_id").isNotNull()).select(
-        "match_id", "player_id", "team_id", "type", "outcome", "shot_statsbomb_xg",
+    read = events.select(
+        "match_id", "player_id", "team_id", "type", "outcome", "shot_statsbomb_xg", "minute",
         _detail(events).alias("detail"),
     )
-    return named.groupBy("match_id", "player_id").agg(*_metrics())
+    totals = read.groupBy("match_id", "player_id").agg(*_metrics(), F.max("minute").alias("last"))
+    length = F.max("last").over(Window.partitionBy("match_id"))
+    return totals.withColumn("max_minute", length).drop("last").filter(F.col("player_id").isNotNull())
 
 
-def match_length(events: DataFrame) -> DataFrame:
-    """Last minute of each match over all periods; reads two columns of the events."""
-    return (
-        events.filter(F.col("minute").isNotNull())
-        .groupBy("match_id")
-        .agg(F.max("minute").alias("max_minute"))
+def player_stints(positions: DataFrame) -> DataFrame:
+    """The different position intervals of each (match, team, player) as a list, with how often each occurs."""
+    stint = ["from_period", "from_minute", "to_minute", "position_name"]
+    once = positions.groupBy("match_id", "team_id", "player_id", *stint).agg(
+        F.count(F.lit(1)).alias("times"), F.min("ordinal").alias("ordinal")
+    )
+    return once.groupBy("match_id", "team_id", "player_id").agg(
+        F.collect_list(F.struct(*stint, "times", "ordinal")).alias("stints")
     )
 
 
-def player_intervals(positions: DataFrame, length: DataFrame) -> DataFrame:
-    """Minutes played and longest-held position per (match, team, player)."""
-    narrow = positions.select(
-        "match_id", "team_id", "player_id", "ordinal", "position_name",
-        "from_period", "from_minute", "to_minute",
-    )
-    timed = spread_join(narrow, length, ["match_id"], ["team_id", "player_id"]).withColumn(
-        "minutes", interval_minutes(F.col("from_minute"), F.col("to_minute"), F.col("max_minute"))
-    )
-    preference = F.struct(
-        -F.col("minutes"),
-        *nulls_last(F.col("from_period")),
-        *nulls_last(F.col("from_minute")),
-        F.col("ordinal"),
-    )
-    return timed.groupBy("match_id", "team_id", "player_id").agg(
-        F.sum("minutes").alias("minutes"),
-        F.min_by("position_name", preference).alias("position_played"),
+def squad_info(lineups: DataFrame, positions: DataFrame) -> DataFrame:
+    """One row per (match, player) of the line-ups: team, starter flag and position intervals."""
+    listed = lineups.select("match_id", "team_id", "player_id", "is_starter")
+    return listed.join(player_stints(positions), ["match_id", "team_id", "player_id"], "left").select(
+        "match_id", "player_id", F.col("team_id").alias("lineup_team_id"), "is_starter", "stints"
     )
 
 
-def squad_info(lineups: DataFrame, positions: DataFrame, length: DataFrame) -> DataFrame:
-    """One row per (match, player) of the line-ups: team, starter flag, minutes, position."""
-    held = player_intervals(positions, length)
-    listed = lineups.select("match_id", "team_id", "player_id", "is_starter")
-    return listed.join(held, ["match_id", "team_id", "player_id"], "left").select(
-        "match_id",
-        "player_id",
-        F.col("team_id").alias("lineup_team_id"),
-        "is_starter",
-        "minutes",
-        "position_played",
+def _held(x: Column) -> Column:
+    return interval_minutes(x["from_minute"], x["to_minute"], F.col("max_minute"))
+
+
+def _minutes() -> Column:
+    return F.aggregate("stints", F.lit(0).cast("bigint"), lambda total, x: total + x["times"] * _held(x))
+
+
+def _longest_position() -> Column:
+    """Of the interval held longest, then the earliest; an unknown start counts as latest."""
+    ranked = F.transform(
+        "stints",
+        lambda x: F.struct(
+            (-_held(x)).alias("held"),
+            x["from_period"].isNull().alias("no_period"),
+            x["from_period"].alias("from_period"),
+            x["from_minute"].isNull().alias("no_minute"),
+            x["from_minute"].alias("from_minute"),
+            x["ordinal"].alias("ordinal"),
+            x["position_name"].alias("position_name"),
+        ),
     )
+    return F.array_min(ranked)["position_name"]
 
 
 def player_match_stats(
@@ -138,13 +140,13 @@ def player_match_stats(
 ) -> DataFrame:
     """The fact table: one row per (match, player) that has events and a known team."""
     totals = player_event_totals(events)
-    squads = squad_info(lineups, positions, match_length(events))
-    joined = totals.join(squads, ["match_id", "player_id"], "left")
+    joined = totals.join(squad_info(lineups, positions), ["match_id", "player_id"], "left")
     team = F.coalesce("lineup_team_id", "event_team_id")
     attempted, completed = F.col("passes_attempted"), F.col("passes_completed")
     values = {
         "team_id": team,
-        "minutes_played": F.coalesce(F.col("minutes"), F.lit(0)).cast(S.MINUTES),
+        "minutes_played": F.coalesce(_minutes(), F.lit(0)).cast(S.MINUTES),
+        "position_played": _longest_position(),
         "is_starter": F.coalesce("is_starter", F.lit(False)),
         "pass_completion_rate": F.round(exact_ratio(completed, attempted), 4).cast(S.RATE),
         "progressive_passes": F.lit(None).cast("bigint"),
