@@ -46,6 +46,18 @@ def test_with_neighbour_equals_a_plain_window(spark, ahead, bits):
     assert got == want
 
 
+@pytest.mark.parametrize("ahead", [False, True])
+def test_with_neighbour_over_a_sparse_order(spark, ahead):
+    """Edges handed on through stretches of stretches, null keys and null values between."""
+    rng = random.Random(4)
+    data = [(rng.choice([1, None]), i, rng.choice(["x", "y", None])) for i in rng.sample(range(-(2**40), 2**40), 300)]
+    df = spark.createDataFrame(data, "g int, i bigint, v string")
+    w = Window.partitionBy("g").orderBy("i")
+    step = F.lead if ahead else F.lag
+    want = sorted(map(repr, rows(df.withColumn("n", step("v").over(w)))))
+    assert sorted(map(repr, rows(with_neighbour(df, ["g"], "i", {"n": "v"}, ahead, 12, levels=3)))) == want
+
+
 def test_spread_join_keeps_every_row_of_a_hot_key(spark):
     large = spark.createDataFrame([(1 if i % 3 else 2, i) for i in range(300)], "k int, i int")
     lookup = spark.createDataFrame([(1, "one"), (3, "three")], "k int, name string")
