@@ -1,17 +1,18 @@
 """Boilerplate lines, found by how many of a site's pages show them.
 
-Lines are counted for each site, once a page, by digest; a line on more than ``RATIO`` of the site's
-pages and on ``LEAST`` pages at least is boilerplate. A site has at most (mean lines of a page) /
-``RATIO`` such lines, whatever its size, so the list of a site fits beside each of its pages. The
-lists are written first: Spark then knows their size, sends small ones to all tasks, and joins large
-ones by site with hot sites split. Pages are filtered in place and never taken apart and rebuilt.
+A site's pages are first reduced to different texts, by digest, so that copies do not vouch for each
+other. Lines are counted once a text, by digest; a line in more than ``RATIO`` of the site's texts and
+in ``LEAST`` at least is boilerplate. A site has at most (mean lines of a page) / ``RATIO`` such lines,
+whatever its size, so the list of a site fits beside each of its pages. The lists are written first:
+Spark then knows their size, sends small ones to all tasks, and joins large ones by site with hot sites
+split. Pages are filtered in place and never taken apart and rebuilt.
 
-With ``copies_once`` copies do not vouch for each other: a site's pages are first reduced to different
-texts, and texts that are alike to one group (see ``groups``); lines and totals then count groups.
+With ``copies_once`` near copies do not vouch for each other either: texts that are alike make one group
+(see ``groups``), and lines and totals count groups.
 
 Cases: lines are compared without blanks at their ends; empty lines are never dropped. A null text
-stays null, an empty one empty. A null site is a site of its own. Repeated rows count each as a page,
-unless ``copies_once`` is set; all null texts of a site then count as one page.
+stays null, an empty one empty; both count as the empty text. A null site is a site of its own. Repeated
+rows count as one page.
 All columns of the input stay, whatever their names; only ``text`` changes. A page may lose all its
 lines and then has an empty text. An empty table gives an empty result.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pitchgrain.llm.shared import fresh_name, materialise
 
-RATIO = 0.1
+RATIO = 0.05
 LEAST = 3
 BLANKS = " \t\r"
 #: Of ``groups``: words of a shingle, hashes of a sketch, minima of a band, bands, and rounds in which labels spread.
@@ -102,7 +103,10 @@ def boilerplate(
         shown = pages.select("site", "label", F.explode("shown").alias("line")).distinct()
         pages = pages.select("site", "label").distinct()
     else:
-        shown = pages.select("site", F.explode(spoken(F.col("text"))).alias("line"))
+        page = F.md5(F.coalesce(F.col("text"), F.lit("")))
+        texts = pages.select("site", page.alias("page"), spoken(F.col("text")).alias("shown"))
+        pages = materialise(texts.groupBy("site", "page").agg(F.first("shown", ignorenulls=True).alias("shown")), "texts")
+        shown = pages.select("site", F.explode("shown").alias("line"))
     counts = shown.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     totals = materialise(pages.groupBy("site").agg(F.count(F.lit(1)).alias("total")), "site-totals")
     often = counts.join(totals.withColumnRenamed("site", "of"), F.col("site").eqNullSafe(F.col("of")))
@@ -135,8 +139,9 @@ def drop_boilerplate(
 #: In DuckDB's SQL.
 ORACLE = f"""
 WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
-shown AS (SELECT DISTINCT doc_id, source, trim(u.l, ' ' || chr(9) || chr(13)) AS line FROM pages, unnest(ls) AS u(l)),
-totals AS (SELECT source, count(*) AS total FROM documents GROUP BY 1),
+texts AS (SELECT DISTINCT source, coalesce(text, '') AS text FROM documents),
+shown AS (SELECT DISTINCT source, text, trim(u.l, ' ' || chr(9) || chr(13)) AS line FROM texts, unnest(string_split(text, chr(10))) AS u(l)),
+totals AS (SELECT source, count(*) AS total FROM texts GROUP BY 1),
 marks AS (
   SELECT s.source, list(s.line) AS marks FROM
   (SELECT source, line, count(*) AS n FROM shown WHERE line <> '' GROUP BY 1, 2) s JOIN totals t USING (source)

@@ -83,9 +83,10 @@ def exact_groups(rows: list[tuple]) -> list[tuple]:
 
 def without_boilerplate(rows: list[tuple], ratio: float, least: int) -> list[str | None]:
     """rows of (site, text)."""
-    total, shown = Counter(s for s, _ in rows), Counter()
-    for site, text in rows:
-        shown.update((site, x) for x in {x.strip(" \t\r") for x in (text or "").split("\n")} if x)
+    texts = {(site, text or "") for site, text in rows}
+    total, shown = Counter(s for s, _ in texts), Counter()
+    for site, text in texts:
+        shown.update((site, x) for x in {x.strip(" \t\r") for x in text.split("\n")} if x)
     bad = {k for k, n in shown.items() if n >= least and n > ratio * total[k[0]]}
     return [None if t is None else "\n".join(x for x in t.split("\n") if (s, x.strip(" \t\r")) not in bad) for s, t in rows]
 

@@ -32,6 +32,14 @@ def test_copies_do_not_make_boilerplate(spark):
     assert {r["doc_id"] for r in kept} == {0, 40, *range(80, 120)} and all(r["text"] for r in kept)
 
 
+def test_a_third_of_exact_copies_keeps_its_text(spark):
+    rng = random.Random(8)
+    one = written(rng, 6)
+    rows = [("s", one)] * 40 + [("s", f"{SHARED}\n{written(rng, 5)}") for _ in range(20)] + [("s", written(rng, 5)) for _ in range(60)]
+    got = [r["text"] for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "source string, text string")).collect()]
+    assert sorted(got) == sorted(t.removeprefix(f"{SHARED}\n") for _, t in rows)
+
+
 def test_awkward_pages(spark):
     rows = [("a", None), ("a", None), ("a", ""), (None, "x\ny"), (None, "x\ny"), (None, "x\ny"), ("b", " "), ("b", "word")]
     docs = spark.createDataFrame(rows, "source string, text string")

@@ -70,9 +70,9 @@ def test_chunks_join_to_the_text(spark):
 
 
 def test_lines(docs, none, rows):
-    got = line_dedup.drop_boilerplate(docs, ratio=0.12, least=3)
+    got = line_dedup.drop_boilerplate(docs, ratio=0.08, least=2)
     assert got.columns == docs.columns
-    want = brute.without_boilerplate([(r[2], r[1]) for r in rows], 0.12, 3)
+    want = brute.without_boilerplate([(r[2], r[1]) for r in rows], 0.08, 2)
     assert ordered(got.select("doc_id", "text", "source").collect()) == ordered((r[0], t, r[2]) for r, t in zip(rows, want, strict=True))
     assert any(t != r[1] for r, t in zip(rows, want, strict=True))
     assert line_dedup.drop_boilerplate(none).count() == 0
