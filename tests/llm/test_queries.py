@@ -20,7 +20,7 @@ def test_against_sql(spark, name):
 
 def test_registered():
     assert {"pipeline", *QUERIES} <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_packing_query(spark):
