@@ -25,30 +25,44 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all texts' words (runs without ASCII blanks, A-Z lowered), and where each text begins."""
+def words_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different words of all texts (runs without ASCII blanks, A-Z lowered), each text's words as places among them, and where each text begins."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
     counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = split.flatten().dictionary_encode()
     words = coded.dictionary.to_numpy(zero_copy_only=False)
-    values = pd.util.hash_array(words, categorize=False) if len(words) else np.empty(0, np.uint64)
     index = coded.indices.to_numpy(zero_copy_only=False)
     real = np.fromiter((w != "" for w in words), bool, len(words))[index]
     owner = np.repeat(np.arange(len(counts)), counts)[real]
     begin = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(counts)))))
-    return values[index[real]], begin
+    return words, index[real], begin
+
+
+def hashed(words: np.ndarray) -> np.ndarray:
+    return pd.util.hash_array(words, categorize=False) if len(words) else np.empty(0, np.uint64)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all texts' words, and where each text begins."""
+    words, index, begin = words_of(texts)
+    return hashed(words)[index], begin
 
 
 def shingle_sets(texts: pa.Array, size: int = SIZE) -> Iterator[np.ndarray]:
     """Each text's distinct shingles as sorted 64-bit hashes; of fewer words, the whole sequence as one."""
     words, begin = word_hashes(texts)
+    return sets_between(words, begin[:-1], begin[1:], size)
+
+
+def sets_between(words: np.ndarray, begins: np.ndarray, ends: np.ndarray, size: int = SIZE) -> Iterator[np.ndarray]:
+    """The same for each stretch of hashed words."""
     full = max(len(words) - size + 1, 0)
     runs = np.zeros(full, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(size):
             runs = runs * _STEP + words[k : k + full]
         runs = mixed(runs)
-        for b, e in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        for b, e in zip(begins.tolist(), ends.tolist(), strict=True):
             if e - b >= size:
                 yield np.unique(runs[b : e - size + 1])
             elif e > b:

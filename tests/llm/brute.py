@@ -119,10 +119,40 @@ def without_repeated_strings(texts: list[str | None], length: int) -> list[tuple
     return out
 
 
-def without_repeated_paragraphs(rows: list[tuple], percent: int) -> list[str | None]:
+def paragraphs_of(text: str | None, least: int) -> list[tuple[int, list[str]]]:
+    """First word's place, and words, of each sentence and each run of one word that is long enough."""
+    words = words_of(text)
+    same = [0] * len(words)
+    i = 0
+    while i < len(words):
+        j = i
+        while j < len(words) and words[j] == words[i]:
+            j += 1
+        for k in range(i, j):
+            same[k] = i + 1 if j - i >= least else 0
+        i = j
+    out, begin = [], 0
+    for k in range(1, len(words) + 1):
+        if k == len(words) or same[k] != same[k - 1] or (not same[k - 1] and words[k - 1][-1] in ".!?"):
+            if k - begin >= least:
+                out.append((begin, words[begin:k]))
+            begin = k
+    return out
+
+
+def without_repeated_paragraphs(rows: list[tuple], percent: int, least: int = 15) -> list[str | None]:
     """rows of (doc_id, text), different in id or text."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
-    places = [(i, k, line) for i in order for k, line in enumerate((rows[i][1] or "").split("\n")) if len(words_of(line)) >= 5]
-    first = components([shingle_set(line) for _, _, line in places], percent)
-    gone = {places[j][:2] for j, f in enumerate(first) if f != j}
-    return [None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, (_, t) in enumerate(rows)]
+    places = [(i, at, words) for i in order for at, words in paragraphs_of(rows[i][1], least)]
+    first = components([shingle_set(" ".join(words)) for _, _, words in places], percent)
+    gone = defaultdict(set)
+    for j, f in enumerate(first):
+        if f != j:
+            i, at, words = places[j]
+            gone[i].update(range(at, at + len(words)))
+    out = []
+    for i, (_, text) in enumerate(rows):
+        tokens = re.findall(BLANKS[:-1] + "*[^\\x20\\x09-\\x0D]+", text or "")
+        tail = re.search(BLANKS[:-1] + "*\\Z", text or "")[0]
+        out.append(text if i not in gone else "".join(t for k, t in enumerate(tokens) if k not in gone[i]) + tail)
+    return out
