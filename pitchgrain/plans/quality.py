@@ -7,6 +7,7 @@ it is shuffled. ``expected`` is NULL where a check only reports.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,51 +96,75 @@ def check_schema(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def check_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Duplicate keys, NULLs in keys and NULLs in required columns of each table."""
+def _entry(tag: int, key: list[Column], kept: Column, parent: bool = False) -> Column:
+    return F.struct(
+        F.lit(tag).alias("tag"),
+        F.array(*[k.cast("string") for k in key]).alias("key"),
+        F.lit(parent).alias("parent"),
+        kept.alias("kept"),
+    )
+
+
+def _tagged(entries: dict[str, list[Column]], tables: dict[str, DataFrame]) -> DataFrame:
+    """tag, key, n, parents: each table read once, its entries counted, all of them in one shuffle.
+
+    An entry is one row for each row of the table that it keeps; the map-side count makes one of a key that many rows have.
+    """
     parts = []
+    for name, own in entries.items():
+        each = tables[name].select(F.explode(F.filter(F.array(*own), lambda e: e["kept"])).alias("e"))
+        parts.append(each.select("e.tag", "e.key", "e.parent"))
+    return _union(parts).groupBy("tag", "key").agg(
+        F.count_if(~F.col("parent")).alias("n"), F.count_if(F.col("parent")).alias("parents")
+    )
+
+
+def _counted(spark, checks: list[tuple[str, str]], counts: DataFrame) -> DataFrame:
+    """A finding for each of ``checks`` (check, scope), whose place is the tag in ``counts`` (tag, n); none means 0."""
+    named = spark.createDataFrame([(i, *c) for i, c in enumerate(checks)], "tag int, check string, scope string")
+    n = F.coalesce("n", F.lit(0))
+    return named.join(counts, "tag", "left").select(
+        "check",
+        "scope",
+        n.cast("double").alias("observed"),
+        F.lit(0.0).alias("expected"),
+        _judge(n == 0, FAIL).alias("status"),
+    )
+
+
+def check_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Duplicate keys, NULLs in keys and NULLs in required columns of each table, in one pass over each."""
+    checks, entries = [], {}
     for name, df in tables.items():
         keys = [k for k in S.PRIMARY_KEYS[name] if k in df.columns]
-        twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        repeated = twice.agg(F.count(F.lit(1)).alias("n"))
-        none = F.lit(0)
-        parts.append(
-            _findings(
-                repeated,
-                [_finding("duplicate key", name, F.col("n"), none, _judge(F.col("n") == 0, FAIL))],
-            )
-        )
-        required = [c for c in [*keys, *S.NOT_NULL[name]] if c in df.columns]
-        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
-        parts.append(
-            _findings(
-                nulls,
-                [
-                    _finding("null", f"{name}.{c}", F.col(c), none, _judge(F.col(c) == 0, FAIL))
-                    for c in required
-                ],
-            )
-        )
-    return _union(parts)
+        entries[name] = [_entry(len(checks), [F.col(k) for k in keys], F.lit(True))]
+        checks.append(("duplicate key", name))
+        for c in [*keys, *S.NOT_NULL[name]]:
+            if c in df.columns:
+                entries[name].append(_entry(len(checks), [F.lit(None)], F.col(c).isNull()))
+                checks.append(("null", f"{name}.{c}"))
+    spark = next(iter(tables.values())).sparkSession
+    kinds = F.lit([c[0] == "duplicate key" for c in checks])
+    faults = F.when(F.get(kinds, F.col("tag")), (F.col("n") > 1).cast("bigint")).otherwise(F.col("n"))
+    return _counted(spark, checks, _tagged(entries, tables).groupBy("tag").agg(F.sum(faults).alias("n")))
 
 
 def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each child table whose reference has no parent. NULL references are allowed."""
-    parts = []
+    """Rows of each child table whose reference has no parent, all references in one pass over each table.
+
+    NULL references are allowed.
+    """
+    checks, entries = [], {}
     for child, child_keys, parent, parent_keys in S.FOREIGN_KEYS:
         if child not in tables or parent not in tables:
             continue
-        names = [f"k{i}" for i in range(len(child_keys))]
-        refs = tables[child].select(*[F.col(c).alias(n) for c, n in zip(child_keys, names)])
-        used = refs.dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-        known = tables[parent].select(*[F.col(c).alias(n) for c, n in zip(parent_keys, names)])
-        orphans = used.join(known, names, "left_anti").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n")
-        )
-        scope = f"{child}({', '.join(child_keys)}) -> {parent}"
-        finding = _finding("orphan", scope, F.col("n"), F.lit(0), _judge(F.col("n") == 0, FAIL))
-        parts.append(_findings(orphans, [finding]))
-    return _union(parts)
+        whole = [reduce(Column.__and__, [F.col(c).isNotNull() for c in keys]) for keys in (child_keys, parent_keys)]
+        entries.setdefault(child, []).append(_entry(len(checks), [F.col(c) for c in child_keys], whole[0]))
+        entries.setdefault(parent, []).append(_entry(len(checks), [F.col(c) for c in parent_keys], whole[1], True))
+        checks.append(("orphan", f"{child}({', '.join(child_keys)}) -> {parent}"))
+    spark = next(iter(tables.values())).sparkSession
+    orphans = _tagged(entries, tables).filter("parents = 0").groupBy("tag").agg(F.sum("n").alias("n"))
+    return _counted(spark, checks, orphans)
 
 
 def check_event_ids(events: DataFrame) -> DataFrame:
