@@ -41,8 +41,8 @@ def where_in(df: DataFrame, column: str, values: Iterable | None) -> DataFrame:
 
 def share_of_total(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """How often each value occurs and its percentage of all rows, most frequent first."""
-    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
     shares = counts.select(
         column, "n", (F.col("n").cast("double") / total.cast("double") * 100).alias("pct")
     ).orderBy(F.desc("n"), F.asc_nulls_last(column))

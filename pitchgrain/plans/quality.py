@@ -176,12 +176,13 @@ def check_event_ids(events: DataFrame) -> DataFrame:
 
 
 def check_tables(warehouse) -> DataFrame:
-    """Which expected tables exist. A listing, no data is read."""
+    """Which expected tables exist, and which others are there. A listing, no data is read."""
     rows = [
         ("table", name, float(found), 1.0, OK if found else FAIL)
         for name in S.TABLES
         for found in [warehouse.exists(name)]
     ]
+    rows += [("extra table", name, 1.0, 0.0, WARN) for name in warehouse.others()]
     return warehouse.spark.createDataFrame(
         rows, "check string, scope string, observed double, expected double, status string"
     )

@@ -1,15 +1,20 @@
-"""The staging and analytics tables as Parquet folders under published manifests.
-
-Every write goes to a folder of its own run; readers see what the newest manifest names. Manifests
-are small numbered files, each written aside and then renamed, so a run that fails anywhere leaves
-all tables as they were, and of two runs that publish at once one is told so. Season tables are laid
-out by competition_id and season_id; a change rewrites exactly one such part, which also holds when
-a scope ends up without rows. As nothing is overwritten, a rewrite may read what it replaces. Files
-are sorted by match_id, so row-group statistics skip other matches.
+"""The staging and analytics tables in Spark's catalog: tables of single runs behind views.
+
+Each write makes a table of its own, named after the run; what readers see is a view for each table,
+the union of those parts that count. A load writes all its tables first and redefines the views at the
+end, so a run that fails leaves all views as they were. Season tables have one part for each
+(competition_id, season_id), whose values are constants in the view: a filter on the scope leaves out
+the others, and a change rewrites one part, also where it ends up without rows. As nothing is
+overwritten, a rewrite may read what it replaces. Tables with matches are bucketed and sorted by
+match_id, so joins by match need no exchange where one part is read, and statistics skip matches.
+
+The database is named after ``root``, where the files lie. How long it is known is the catalog's affair:
+with the session's own catalog it ends with the session. One load at a time may publish.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable, Iterator
@@ -18,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchgrain import schemas as S
 from pitchgrain.operators.merge import merge_latest, replace_scope
@@ -25,21 +31,28 @@ from pitchgrain.operators.scope import Scope
 from pitchgrain.plans.facts import with_promoted
 from pitchgrain.plans.tables import MatchTables
 
-MANIFESTS = "_published"
 WHOLE = ""  # the part of a table without parts
+BUCKETS = 8
 
-Parts = dict[str, dict[str, str]]  # table -> part -> folder below the table
+Parts = dict[str, str]  # part, such as competition_id=43/season_id=106 -> table of the run that wrote it
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass
 class Warehouse:
     spark: SparkSession
     root: str
-    _pending: Parts | None = field(default=None, repr=False)
+    _pending: dict[str, Parts] | None = field(default=None, repr=False)
+
+    def __post_init__(self) -> None:
+        self.database = f"pitchgrain_{hashlib.md5(self.root.rstrip('/').encode()).hexdigest()[:16]}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION {_literal(self.root)}")
 
-    def path(self, table: str) -> str:
-        layer = "staging" if table in S.STAGING else "analytics"
-        return f"{self.root.rstrip('/')}/{layer}/{table}"
+    def view(self, table: str) -> str:
+        return f"{self.database}.{table}"
 
     def _stored(self, table: str) -> str:
         ddl = S.TABLES[table]
@@ -51,35 +64,28 @@ class Warehouse:
             ddl += ", competition_id INT, season_id INT"
         return ddl
 
-    # ------------------------------------------------------------ manifests
-
-    def _files(self):
-        """The folder of manifests, its file system, and the numbers there."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{MANIFESTS}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
-        return folder, fs, sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _published(self) -> tuple[int, Parts]:
-        folder, fs, numbers = self._files()
-        if not numbers:
-            return 0, {}
-        stream = fs.open(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{numbers[-1]}.json"))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return numbers[-1], json.loads(text)
-
-    def _publish(self, number: int, parts: Parts) -> None:
-        folder, fs, _ = self._files()
-        aside, named = (self.spark._jvm.org.apache.hadoop.fs.Path(folder, n) for n in (f"{uuid.uuid4().hex}.new", f"{number}.json"))
-        stream = fs.create(aside, False)
-        stream.write(bytearray(json.dumps(parts).encode()))
-        stream.close()
-        if fs.exists(named) or not fs.rename(aside, named):
-            fs.delete(aside, False)
-            raise RuntimeError("another run published meanwhile; run again")
+    # ------------------------------------------------------------ parts and views
+
+    def _published(self, table: str) -> Parts:
+        if not self.spark.catalog.tableExists(self.view(table)):
+            return {}
+        return json.loads(self.spark.sql(f"SHOW TBLPROPERTIES {self.view(table)} ('parts')").first()["value"])
+
+    def _parts(self, table: str) -> Parts:
+        return self._published(table) | (self._pending or {}).get(table, {})
+
+    def _select(self, table: str, parts: Parts) -> str:
+        """The rows of all parts in the table's layout, as SQL."""
+        fields = T.StructType.fromDDL(self._layout(table)).fields
+        selects = []
+        for part, stored in sorted(parts.items()):
+            fixed = dict(piece.split("=", 1) for piece in part.split("/") if "=" in piece)
+            columns = (
+                f"CAST({_literal(fixed[f.name]) if f.name in fixed else f'`{f.name}`'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in fields
+            )
+            selects.append(f"SELECT {', '.join(columns)} FROM {self.database}.{stored}")
+        return " UNION ALL ".join(selects)
 
     @contextmanager
     def publishing(self) -> Iterator[None]:
@@ -87,50 +93,49 @@ class Warehouse:
         if self._pending is not None:
             yield
             return
-        number, self._pending = self._published()
+        self._pending = {}
         try:
             yield
-            self._publish(number + 1, self._pending)
+            for table in self._pending:
+                parts = self._parts(table)
+                named = f"TBLPROPERTIES ('parts' = {_literal(json.dumps(parts))})"
+                self.spark.sql(f"CREATE OR REPLACE VIEW {self.view(table)} {named} AS {self._select(table, parts)}")
         finally:
             self._pending = None
 
-    def _parts(self, table: str) -> dict[str, str]:
-        parts = self._pending if self._pending is not None else self._published()[1]
-        return parts.get(table, {})
-
     def _write(self, table: str, part: str, df: DataFrame, keep: bool = False) -> None:
         """``df`` as the part's rows, or with ``keep`` in addition to the table's others."""
         run = uuid.uuid4().hex
-        folder = f"run={run}/{part}".rstrip("/")
-        df.write.parquet(f"{self.path(table)}/{folder}")
+        name = f"{table}_run_{run}"
+        writer = df.write.format("parquet")
+        if "match_id" in df.columns:
+            writer = writer.bucketBy(BUCKETS, "match_id").sortBy("match_id")
+        writer.saveAsTable(f"{self.database}.{name}")
         with self.publishing():
-            self._pending.setdefault(table, {})[run if keep else part] = folder
-
-    def remove_unpublished(self) -> int:
-        """Delete folders and manifests that the newest one does not use; how many folders. For times without readers or runs."""
-        folder, fs, numbers = self._files()
-        used = {f"{t}/{f.split('/')[0]}" for t, parts in self._published()[1].items() for f in parts.values()}
-        gone = 0
-        for table in S.TABLES:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-            for run in fs.listStatus(path) if fs.exists(path) else []:
-                if f"{table}/{run.getPath().getName()}" not in used:
-                    gone += fs.delete(run.getPath(), True)
-        for number in numbers[:-1]:
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number}.json"), False)
-        return gone
+            self._pending.setdefault(table, {})[run if keep else part] = name
+
+    def drop_unused(self) -> int:
+        """Drop tables of runs that no view reads; how many. For times without readers or loads."""
+        used = {stored for table in S.TABLES for stored in self._published(table).values()}
+        gone = [t.name for t in self.spark.catalog.listTables(self.database) if "_run_" in t.name and t.name not in used]
+        for name in gone:
+            self.spark.sql(f"DROP TABLE {self.database}.{name}")
+        return len(gone)
 
     def exists(self, table: str) -> bool:
         return bool(self._parts(table))
 
+    def others(self) -> list[str]:
+        """Tables and views of the database that no layout names."""
+        found = [t.name for t in self.spark.catalog.listTables(self.database)]
+        return sorted(n for n in found if n not in S.TABLES and n.partition("_run_")[0] not in S.TABLES)
+
     def read(self, table: str) -> DataFrame:
         """The table, or no rows if nothing was ever written."""
-        ddl = self._layout(table)
-        base = self.path(table)
-        folders = sorted(f"{base}/{folder}" for folder in self._parts(table).values())
-        if not folders:
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).option("basePath", base).parquet(*folders).select(*S.columns(ddl))
+        parts = self._parts(table)
+        if not parts:
+            return self.spark.createDataFrame([], self._layout(table))
+        return self.spark.sql(self._select(table, parts))
 
     # ------------------------------------------------------------ season tables
 
@@ -139,9 +144,8 @@ class Warehouse:
         if table == "events":
             df = with_promoted(df)
         columns = [c for c in S.columns(self._stored(table)) if c not in S.SEASON_KEYS]
-        ordered = ["match_id"] + [c for c in ("index", "player_id", "team_id") if c in columns]
         part = f"competition_id={scope.competition_id}/season_id={scope.season_id}"
-        self._write(table, part, df.select(*columns).sortWithinPartitions(*ordered))
+        self._write(table, part, df.select(*columns))
 
     def replace_matches(
         self, table: str, df: DataFrame | None, scope: Scope, match_ids: Iterable[int] | None
@@ -170,7 +174,7 @@ class Warehouse:
         """Insert rows or replace those with the same key."""
         keys = S.PRIMARY_KEYS[table]
         merged = merge_latest(self.read(table), df, keys, order)
-        self._write(table, WHOLE, merged.sortWithinPartitions(*keys))
+        self._write(table, WHOLE, merged)
 
     def append(self, table: str, df: DataFrame) -> None:
         self._write(table, WHOLE, df.select(*S.columns(S.TABLES[table])), keep=True)

@@ -148,16 +148,28 @@ def test_failed_run_leaves_all_tables(spark, place, monkeypatch):
     states = rows(runlog.run_states(table(spark, place, "ingestion_runs")), "status")
     assert sorted(states) == [("failed",), ("success",)]
     wh = Warehouse(spark, str(place / "wh"))
-    assert wh.remove_unpublished() > 0 and wh.remove_unpublished() == 0
+    assert wh.drop_unused() > 0 and wh.drop_unused() == 0
     assert {t: sorted(rows(table(spark, place, t)), key=repr) for t in names} == before
 
 
-def test_two_runs_at_once(spark, place):
+def test_writes_of_one_load_show_at_its_end(spark, place):
     one, two = (Warehouse(spark, str(place / "wh")) for _ in range(2))
-    with pytest.raises(RuntimeError, match="meanwhile"), one.publishing():
-        runlog.start(two, Scope())
+    with one.publishing():
         runlog.start(one, Scope())
-    assert two.read("ingestion_runs").count() == 1
+        assert one.read("ingestion_runs").count() == 1 and two.read("ingestion_runs").count() == 0
+        runlog.start(two, Scope())
+    assert two.read("ingestion_runs").count() == 2
+    assert spark.table(two.view("ingestion_runs")).count() == 2
+
+
+def test_stored_tables_join_by_match_without_an_exchange(spark, place):
+    run(spark, place)
+    lineups, stints = (table(spark, place, t) for t in ("match_lineups", "match_lineup_positions"))
+    joined = lineups.hint("merge").join(stints, "match_id")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    wh = Warehouse(spark, str(place / "wh"))
+    pruned = wh.read("events").filter("competition_id = 9")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation <empty>" in pruned
 
 
 def test_match_without_rows_disappears_and_others_stay(spark, place):
@@ -248,6 +260,10 @@ def test_table_presence(spark, place):
     found = {r.scope: r.status for r in quality.check_tables(Warehouse(spark, str(place / "wh"))).collect()}
     assert found["events"] == "ok" and found["embedding_documents"] == "fail"
     assert set(found) == set(S.TABLES)
+    wh = Warehouse(spark, str(place / "wh"))
+    spark.range(3).write.saveAsTable(f"{wh.database}.left_over")
+    extra = quality.check_tables(wh).filter("check = 'extra table'").collect()
+    assert [(r.scope, r.status) for r in extra] == [("left_over", "warn")]
 
 
 def test_snapshot(spark, tmp_path):
