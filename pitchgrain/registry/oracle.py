@@ -683,6 +683,19 @@ says(
     WHERE a.wide = 1 OR m.label = e.label""",
 )
 
+says(
+    "stored_upsert",
+    f"""
+    SELECT {big('team_id')}, CASE WHEN team_id % 2 = 0 THEN team_name || ' again' ELSE team_name END AS team_name FROM team
+    UNION ALL SELECT CAST(team_id + 1000 AS BIGINT), team_name FROM team WHERE team_id % 5 = 0""",
+)
+says(
+    "stored_replace",
+    f"""
+    SELECT {big('match_id')}, CAST(CASE WHEN match_id % 3 = 0 THEN home_score + 1 ELSE home_score END AS BIGINT) AS home_score
+    FROM ms WHERE match_id % 6 <> 3""",
+)
+
 # ---------------------------------------------------------------- normalised landing rows
 
 says(

@@ -41,6 +41,7 @@ from pitchgrain.sources.match_events import (
 )
 from pitchgrain.sql import run_statement
 from pitchgrain.schemas import DATA_SOURCE
+from pitchgrain.sources.warehouse import Warehouse
 from pitchgrain.session import checkpoint_root, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -412,6 +413,33 @@ def _scoped_replace(t: MatchTables) -> DataFrame:
     return replace_scope(old, fresh, season, ["match_id"])
 
 
+def _new_warehouse(spark: SparkSession) -> Warehouse:
+    return Warehouse(spark, f"{checkpoint_root(spark).rstrip('/')}/stored-{uuid.uuid4().hex}")
+
+
+@over_matches("stored_upsert")
+def _stored_upsert(t: MatchTables) -> DataFrame:
+    """Stored teams after a load that renames every second one and adds some."""
+    store = _new_warehouse(t.teams.sparkSession)
+    store.upsert("teams", t.teams)
+    renamed = t.teams.filter("team_id % 2 = 0").withColumn("team_name", F.concat("team_name", F.lit(" again")))
+    added = t.teams.filter("team_id % 5 = 0").withColumn("team_id", (F.col("team_id") + 1000).cast("int"))
+    store.upsert("teams", renamed.unionByName(added))
+    return store.read("teams").select("team_id", "team_name")
+
+
+@over_matches("stored_replace")
+def _stored_replace(t: MatchTables) -> DataFrame:
+    """Stored matches of the season after every third was replaced, by a row with another score or by none."""
+    store, season = _new_warehouse(t.matches.sparkSession), SCOPE.filter(t.matches)
+    store.replace_season("matches", season, SCOPE)
+    third = season.filter("match_id % 3 = 0")
+    ids = [r.match_id for r in third.select("match_id").collect()]
+    fresh = third.filter("match_id % 2 = 0").withColumn("home_score", (F.col("home_score") + 1).cast("int"))
+    store.replace_matches("matches", fresh, SCOPE, ids)
+    return store.read("matches").select("match_id", "home_score")
+
+
 @over_matches("run_log_state")
 def _run_log_state(t: MatchTables) -> DataFrame:
     """A log with one run per match: a start row, and an end row once the match has a goal."""
