@@ -2,6 +2,13 @@
 
 Every stage takes all that its predecessor kept and returns the columns of ``documents``; the last
 returns the pieces that packing makes. Rows that a stage changes get their ``n_chars`` anew.
+
+Cases: null and empty texts are scored like others; where the model accepts them they stay, as they have neither
+lines to lose nor shingles to share, and packing makes them one end token each. Of a group of equal or
+near-equal rows one stays: the smallest ``doc_id``, nulls last, then the least digest of the text; ids may
+repeat. A null source is a site of its own. Without labels all scores are a half, and all rows are
+accepted; an empty benchmark rejects none; an empty ``documents`` gives an empty result. Further columns go
+through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
