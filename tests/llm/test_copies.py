@@ -69,3 +69,25 @@ def test_rejected_rows_of_an_accepted_id_go(spark):
     again = corpus_pipeline.quality.quality_scores(repeated, labels)
     assert kept.dtypes == docs.dtypes and kept.count() == again.where("predicted = 1").count() < docs.count()
     assert len(scores) == docs.count() and set(scores.values()) == {0, 1}
+
+
+def test_stages_on_awkward_tables(spark, tmp_path):
+    """Null texts, ids and sources, names that operators use inside, and tables without rows."""
+    rng = random.Random(9)
+    texts = [None, "", " \n", written(rng, 3), written(rng, 3), written(rng, 40), written(rng, 400)]
+    rows = [(i % 4 or None, t, "en", None if i % 3 else "s", 1, *["x"] * 9) for i, t in enumerate(texts + texts)]
+    names = "kept_row string, row string, key string, marks string, of string, good_row string, node string, label string, spans string"
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{table}.parquet").write.parquet(str(tmp_path / f"full/{table}.parquet"))
+        spark.read.parquet(f"{SF}/{table}.parquet").limit(0).write.parquet(str(tmp_path / f"none/{table}.parquet"))
+    for folder, table in (("full", docs), ("none", docs), ("full", docs.limit(0))):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, str(tmp_path / folder))
+            assert out.dtypes == docs.dtypes, name
+            table = line_dedup.materialise(out, "stage")
+        packed = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path / folder))
+        assert packed.count() >= table.count()
+        if folder == "none":
+            kept = [r["text"] for r in table.collect()]
+            assert sorted(map(repr, kept)) == sorted(map(repr, [*texts[:3], *texts]))
