@@ -31,7 +31,7 @@ from pitchgrain.llm import shingles
 from pitchgrain.llm.components import linked
 from pitchgrain.llm.packing import slices
 from pitchgrain.llm.rare_shingles import confirmed, rarest
-from pitchgrain.llm.shared import fresh_name, materialise, text_or_empty
+from pitchgrain.llm.shared import discard, fresh_name, materialise, text_or_empty, told_apart
 
 PERCENT = 85
 ROWS = 6
@@ -85,13 +85,14 @@ def sign(docs: DataFrame, percent: int, rows: int, miss: float) -> DataFrame:
                     names=["doc_id", "n_shingles", "set_key", "bands", "signature"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    return texts.mapInArrow(signed, "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary")
+    texts = docs.select("doc_id", text_or_empty().alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(signed, f"doc_id {kind}, n_shingles long, set_key binary, bands array<long>, signature binary")
 
 
 def texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """node, part: the text of each of ``nodes`` (node, doc_id, set_key)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("part"))
+    texts = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("part"))
     met = texts.join(nodes.select("node", "doc_id", "set_key"), F.col("id").eqNullSafe(F.col("doc_id")))
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +126,7 @@ def likely(pairs: DataFrame, percent: int, count: int, miss: float) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, miss_band: float = MISS_BAND, miss: float = MISS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
+    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``. Ids may be of any type that has an order."""
     count = rows * shingles.bands_for(percent / 100, rows, miss_band)
     signed = materialise(sign(docs, percent, rows, miss_band).withColumn("row", F.monotonically_increasing_id()), "signed")
     sets = signed.where("set_key is not null").groupBy("set_key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
@@ -146,6 +147,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, m
         return rarest(parts.join(crowded, "node"), percent)
 
     labels = linked(members, verify, percent, refine)
+    discard(members, parts, nodes)
     placed = materialise(sets.join(labels, "node", "left").select("set_key", "least", F.coalesce("label", "node").alias("label")), "placed-sets")
     smallest = materialise(placed.groupBy("label").agg(F.min("least").alias("component_id")), "smallest")
     named = materialise(placed.join(smallest, "label").select("set_key", "component_id"), "named-sets")
@@ -160,7 +162,7 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Ids may repeat or be null, as rows are told apart by a key of their own. Rows without shingles all stay.
     """
     row = fresh_name(docs, "row")
-    keyed = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    keyed = told_apart(docs, row)
     found = near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), percent)
     groups = found.where("n_shingles > 0").select(F.col("doc_id").alias("of"), "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), F.col(row).alias("row"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchgrain.llm.packing import slices
-from pitchgrain.llm.shared import materialise, text_or_empty
+from pitchgrain.llm.shared import discard, materialise, text_or_empty
 
 STEPS = 10
 RIDGE = 0.03
@@ -96,7 +96,7 @@ def features(texts: pa.Array) -> np.ndarray:
 
 
 def described(docs: DataFrame, row: str | None = None) -> DataFrame:
-    """doc_id, x: the features of each text; with ``row`` also that column, a key of BIGINT, as ``row``."""
+    """doc_id, x: the features of each text; with ``row`` also that column, a key of any type, as ``row``."""
     kept = ["doc_id", "row"] if row else ["doc_id"]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,9 +107,13 @@ def described(docs: DataFrame, row: str | None = None) -> DataFrame:
                 own = [batch.column(c)[lo:hi] for c in kept]
                 yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(edges), pa.array(x.ravel()))], names=[*kept, "x"])
 
-    key = [F.col(row).cast("long").alias("row")] if row else []
+    key = [F.col(row).alias("row")] if row else []
     texts = docs.select(F.col("doc_id").cast("long"), *key, text_or_empty().alias("text"))
-    return texts.mapInArrow(measured, ", ".join(f"{c} long" for c in kept) + ", x array<float>")
+    return texts.mapInArrow(measured, f"{ddl(texts, kept)}, x array<float>")
+
+
+def ddl(df: DataFrame, columns: list[str]) -> str:
+    return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
 def expanded(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -220,6 +224,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, steps: int = STEPS, row:
     measured = materialise(described(docs, row), "features")
     known = measured.join(trusted, F.col("doc_id") == F.col("of_id"), "left")
     table = materialise(known.select(*kept, "x", F.coalesce("positive", F.lit(False)).alias("positive")), "training")
+    discard(measured)
     model = fit(table, prior, steps)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,5 +232,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, steps: int = STEPS, row:
             scores = pa.array(model.score(matrix(batch.column("x"))))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), scores], names=[*kept, "score"])
 
-    out = table.select(*kept, "x").mapInArrow(scored, ", ".join(f"{c} long" for c in kept) + ", score double")
+    out = table.select(*kept, "x").mapInArrow(scored, f"{ddl(table, kept)}, score double")
     return out.select(*kept, held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
