@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchgrain.llm import decontamination, line_dedup, near_dedup, packing, quality
-from pitchgrain.llm.shared import fresh_name, materialise, read_table
+from pitchgrain.llm.shared import fresh_name, materialise, read_table, told_apart
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality model accepts, whatever their ids."""
     row = fresh_name(docs, "row")
-    keyed = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    keyed = told_apart(docs, row)
     scores = quality.quality_scores(keyed, read_table(spark, sf_dir, "labels"), row=row)
     good = scores.where("predicted = 1").select(F.col("row").alias("good_row"))
     return keyed.join(good, keyed[row] == good["good_row"], "left_semi").select(*(keyed[c] for c in docs.columns))
