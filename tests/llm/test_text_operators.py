@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -311,6 +312,46 @@ def test_token_ids_of_odd_texts():
         assert ids[at[k] : at[k + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def words_of_letters(count: int) -> list[str]:
+    rng = np.random.default_rng(5)
+    return list(dict.fromkeys("".join(rng.choice(list("abcdefgλя"), 9)) for _ in range(count)))
+
+
+class Counted:
+    """The tokenizer, with the number of texts it was handed."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_are_encoded_together_and_once():
+    # U+0130 becomes a letter and a mark, so it spoils its group, and that is encoded word by word.
+    words = [*words_of_letters(5000), "İx", "it's", "a-b"]
+    encoder, plain = packing.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    want = [*plain.encode(" ".join(words), add_special_tokens=False).ids, 2]
+    for _ in range(2):
+        ids, at = packing.token_ids(pa.array([" ".join(words)]), encoder)
+        assert ids.tolist() == want and at.tolist() == [0, len(want)]
+    assert counted.texts < len(words) / 4
+
+
+def test_remembered_words_take_little_memory():
+    words = words_of_letters(20000)
+    encoder = packing.Encoder(VOCABULARY)
+    packing.token_ids(pa.array(["warm up"]), encoder)
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+    packing.token_ids(pa.array([" ".join(words)]), encoder)
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 100 * len(words)
+
+
 def test_crowded_paragraphs_meet_by_rare_shingles(spark):
     rng = np.random.default_rng(5)
     rows = []
