@@ -9,8 +9,9 @@ only strings around equal minimizers need to be compared, wherever they are.
    as one from here. Stretches with a minimizer that the corpus holds once are done with.
 2. A stretch that occurs twice repeats in all its strings. Different stretches with one minimizer
    may share some: their bytes are fetched once for each different stretch and sorted.
-3. Tasks sort them as suffixes in two stages (``suffix_sort``) and compare neighbours: strings whose
-   prefix is shared over the whole length repeat.
+3. Tasks leave out strings that cannot repeat, as no other stretch holds the bytes inside them around the
+   minimizer, sort the others as suffixes in two stages (``suffix_sort``) and compare neighbours: strings
+   whose prefix is shared over the whole length repeat.
 4. Repeated strings return to their texts as ranges, and the ranges' union is removed.
 
 A minimizer with more than ``CROWD`` different stretches (the edge of a very common passage) is not
@@ -44,6 +45,8 @@ LENGTH = 200
 GRAM = 32
 CROWD = 1000
 WIDTHS = (42, 10, 2, 1, 0)
+#: Strings of a block by which a task leaves out what cannot repeat before it sorts.
+NARROW = 10
 #: Strings that are worked at a time, and bytes that are sorted at a time.
 BLOCK = 1 << 21
 SORTED = 1 << 21
@@ -147,8 +150,51 @@ def fetched(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     return placed.select("p.gram", "p.content", F.expr("substring(text, p.start + 1, p.size + %d)" % (length - 1)).alias("bytes"))
 
 
+def alike(keys: list[tuple[int, int, int]], parts: list[bytes], length: int) -> Iterator[tuple[int, int, int]]:
+    """A part's number, and first and last string (from 0), of each run of strings that may occur in another part of its group.
+
+    Strings are told apart by blocks as in ``split_parts``: equal ones are in blocks of one number and with one core,
+    so a block whose core no other part of the group (gram, core) holds has none that repeats.
+    """
+    width = min(NARROW, length - GRAM + 1)
+    grams, cores = (np.array([k[i] for k in keys], np.int64) for i in (0, 1))
+    sizes = np.array([len(p) for p in parts])
+    begin, strings = np.cumsum(sizes) - sizes, sizes - length + 1
+    hashes = gram_hashes(b"".join(parts), int(sizes.sum()) - GRAM + 1)
+    # The minimizer is the first gram with its hash of those inside all strings of the part.
+    met = np.flatnonzero(hashes.view(np.int64) == np.repeat(grams, sizes)[: len(hashes)])
+    of = np.searchsorted(begin, met, side="right") - 1
+    place = met - begin[of]
+    inside = (place >= strings[of] - 1) & (place <= length - GRAM)
+    anchor = place[inside][np.unique(of[inside], return_index=True)[1]]
+
+    low, high = (anchor - strings + 1) // width, anchor // width
+    blocks = high - low + 1
+    part = np.repeat(np.arange(len(parts)), blocks)
+    block = np.arange(len(part)) - np.repeat(np.cumsum(blocks) - high - 1, blocks)
+    at, last = begin[part] + anchor[part] - block * width, length + 1 - width - GRAM
+    with np.errstate(over="ignore"):
+        core = mixed(grams.view(np.uint64) * _FACTORS[0] + cores.view(np.uint64))[part] + block.view(np.uint64)
+        for shift in (*range(0, last, GRAM), last):
+            core = mixed(core * _FACTORS[1] + hashes[at + shift])
+    _, kind, times = np.unique(core, return_inverse=True, return_counts=True)
+    live = np.flatnonzero(times[kind] > 1)
+    if len(live):
+        part, block = part[live], block[live]
+        first = np.flatnonzero(np.append(True, (np.diff(part) != 0) | (np.diff(block) != 1)))
+        final = np.append(first[1:], len(live)) - 1
+        part, least, most = part[first], block[first], block[final]
+        lo, hi = np.maximum(anchor[part] - most * width - width + 1, 0), np.minimum(anchor[part] - least * width, strings[part] - 1)
+        yield from zip(part.tolist(), lo.tolist(), hi.tolist(), strict=True)
+
+
 def repeated_in(keys: list[tuple[int, int, int]], parts: list[bytes], length: int) -> Iterator[tuple[int, int, int, int, int]]:
     """A part's key, and first and last string (from 0), of each run of strings that occur in another part."""
+    runs = list(alike(keys, parts, length))
+    if not runs:
+        return
+    base = [lo for _, lo, _ in runs]
+    keys, parts = [keys[k] for k, _, _ in runs], [parts[k][lo : hi + length] for k, lo, hi in runs]
     text = np.frombuffer(b"\xff".join(parts), np.uint8)  # no UTF-8 text holds that byte
     order = suffix_array(text, length)
     shared = common_prefixes(text, order, length) >= length
@@ -163,7 +209,7 @@ def repeated_in(keys: list[tuple[int, int, int]], parts: list[bytes], length: in
         first = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(part) != 0)))
         last = np.append(first[1:], len(at)) - 1
         for f, z in zip(first.tolist(), last.tolist(), strict=True):
-            yield (*keys[part[f]], int(inner[f]), int(inner[z]))
+            yield (*keys[part[f]], base[part[f]] + int(inner[f]), base[part[f]] + int(inner[z]))
 
 
 def sorted_groups(parts: DataFrame, length: int) -> DataFrame:

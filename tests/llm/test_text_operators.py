@@ -1,6 +1,7 @@
 """Each operator against a plain version, on rows with nulls, repeats, ties, long texts and clashing columns."""
 
 import base64
+import collections
 import hashlib
 import tracemalloc
 import zlib
@@ -202,6 +203,39 @@ def test_substrings(docs, none, rows, crowd, monkeypatch):
     assert substring_dedup.strip_repeats(none).count() == 0
 
 
+def test_only_strings_that_may_repeat_are_sorted(monkeypatch):
+    rng = np.random.default_rng(2)
+    some = lambda n: rng.integers(97, 123, n, np.uint8).tobytes()
+    marks = [some(32) for _ in range(4)]
+    left, right = some(168), some(168)
+
+    def part(mark, a, b):  # shares at least ``a`` bytes before the mark and ``b`` behind it, and all its strings hold the mark
+        behind = int(rng.integers(b, 169))
+        before = int(rng.integers(max(a, 168 - behind), 169))
+        return some(before - a) + left[168 - a :] + mark + right[:b] + some(behind - b)
+
+    shares = {0: [(60, 40), (10, 100), (100, 10), (0, 0)], 1: [(84, 84), (100, 90), (120, 30)], 2: [(168, 0), (168, 168), (0, 168), (167, 0)], 3: [(84, 83), (84, 83), (83, 84)]}
+    made = [(g, part(marks[g], a, b)) for g, pairs_ in shares.items() for a, b in pairs_ for _ in range(3)]
+    grams = [int(substring_dedup.gram_hashes(m, 1).view(np.int64)[0]) for m in marks]
+    keys = [(grams[g], 0, k) for k, (g, _) in enumerate(made)]
+    parts = [p for _, p in made]
+    held = collections.defaultdict(set)
+    for k, p in enumerate(parts):
+        for i in range(len(p) - 199):
+            held[p[i : i + 200]].add(k)
+    want = {(*keys[k], i) for k, p in enumerate(parts) for i in range(len(p) - 199) if len(held[p[i : i + 200]]) > 1}
+    sorted_ = []
+    monkeypatch.setattr(substring_dedup, "suffix_array", lambda text, depth: sorted_.append(text.tobytes()) or suffix_sort.suffix_array(text, depth))
+    got = [(*key, i) for *key, lo, hi in substring_dedup.repeated_in(keys, parts, 200) for i in range(lo, hi + 1)]
+    assert want and sorted(got) == sorted(want)
+    assert not any(marks[0] in text for text in sorted_)
+    strings = sum(len(piece) - 199 for text in sorted_ for piece in text.split(b"\xff"))
+    assert len(want) <= strings <= len(want) + 2 * substring_dedup.NARROW * len(parts) < sum(len(p) - 199 for p in parts)
+
+    sorted_.clear()
+    assert not list(substring_dedup.repeated_in(keys[:12], parts[:12], 200)) and not sorted_
+
+
 def test_stretches_of_blocks(monkeypatch):
     data = bytes(np.random.default_rng(1).integers(97, 101, 5000, np.uint8)) + b"ab" * 600
     ends = np.array([100, 3000, 3199, len(data)])
