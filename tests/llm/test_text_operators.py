@@ -399,6 +399,29 @@ def test_crowded_paragraphs_meet_by_rare_shingles(spark):
     assert dict(tuple(r) for r in got.collect()) == want
 
 
+def test_paragraphs_exactly_at_the_threshold_meet(spark):
+    # 16 of 20 shingles are common; seven bands of two minima overlook these pairs.
+    rows = []
+    for i in (875, 2001, 3467, 3539, 4087):
+        words = [f"a{i}b{k}" for k in range(24)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:20]))]
+    got = paragraph_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert dict(tuple(r) for r in got.collect()) == {i: "" if i % 2 else t for i, t in rows}
+
+
+@pytest.mark.parametrize("percent", [1, 55, 80, 100])
+def test_leading_shingles_of_alike_sets_meet(percent):
+    rng = np.random.default_rng(percent)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30), dtype=np.uint64)) for _ in range(60)] + [np.empty(0, np.uint64)]
+    ends, keys = shingles.leading(sets, percent)
+    assert len(ends) == len(sets) + 1 and ends[-1] == len(keys) and shingles.leading([], percent)[0].tolist() == [0]
+    first = [set(keys[b:e].tolist()) for b, e in zip(ends, ends[1:])]
+    for a, x in zip(sets, first):
+        for b, y in zip(sets, first):
+            common = len(np.intersect1d(a, b))
+            assert x & y or not common or 100 * common < percent * (len(a) + len(b) - common)
+
+
 def test_crowded_documents_meet_by_rare_shingles(spark):
     rng = np.random.default_rng(6)
     texts = []
